@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tradelake.operators import calls, dedupe, gaps, logs, normalize
 from tradelake.plans import quality, reports, runs
 from tradelake.schema import PRODUCT, TRADE_KEY
-from tradelake.session import scratch_path
+from tradelake.session import materialize, scratch_path
 from tradelake.sources import curated, raw, state, views
 from tradelake.streaming import ingest
 
@@ -48,11 +48,12 @@ def _calls(fn, **options) -> Query:
 
 def _history(trades: DataFrame) -> DataFrame:
     """One run per day; it passes with at most 2% duplicates."""
-    return (
+    return materialize(
         trades.groupBy(F.date_trunc("day", "trade_ts").alias("ts"))
         .agg(F.count(F.lit(1)).alias("batch_size"), F.count_distinct(*TRADE_KEY).alias("keys"))
         .withColumn("duplicates_found", F.col("batch_size") - F.col("keys"))
-        .withColumn("passed", F.col("duplicates_found") * 50 <= F.col("batch_size"))
+        .withColumn("passed", F.col("duplicates_found") * 50 <= F.col("batch_size")),
+        "history",
     )
 
 
@@ -145,7 +146,8 @@ def unprocessed_files(spark: SparkSession, root: str) -> DataFrame:
 def listed_symbols(spark: SparkSession, root: str) -> DataFrame:
     """Trades per product of a product list (the products that traded on the last day)."""
     trades = views.trades(spark, root)
-    listed = trades.where(F.col("trade_ts") >= _at("2024-01-30 00:00:00")).select(*PRODUCT)
+    last_day = trades.where(F.col("trade_ts") >= _at("2024-01-30 00:00:00"))
+    listed = materialize(last_day.select(*PRODUCT).distinct(), "listed")
     kept = dedupe.restrict_to_products(trades, listed)
     return kept.groupBy(*PRODUCT).agg(F.count(F.lit(1)).alias("trades"))
 
@@ -203,7 +205,7 @@ def rate_limit_tiers(spark: SparkSession, root: str) -> DataFrame:
 
 def run_invariants(spark: SparkSession, root: str) -> DataFrame:
     lines = normalize.parse_lines(views.raw_json(spark, root))
-    normalized = normalize.normalize(lines)
+    normalized = materialize(normalize.normalize(lines), "normalized")
     trades = normalize.accepted(normalized)
     old = state.batch_watermarks(_before(trades))
     new = state.merge_watermarks(old, state.batch_watermarks(_since(trades)))
@@ -223,7 +225,7 @@ def metric_rollup(spark: SparkSession, root: str) -> DataFrame:
 
 def _round_points(rollup: DataFrame) -> DataFrame:
     return rollup.withColumn("sum_value", F.round("sum_value", 4)).withColumn(
-        "avg_value", F.round("avg_value", 4)
+        "avg_value", F.round("avg_value", 8)
     )
 
 

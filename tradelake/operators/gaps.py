@@ -4,21 +4,24 @@ A window over a whole product would put all rows of a busy product into one task
 fold the rows into cells of fixed width (one second, 64 ids), then look at neighbours within a block of
 cells, then at the edges of neighbouring blocks. A block holds a fixed number of cells at most, so no
 window group grows with the data, and a gap needs nothing but the two rows at its ends, so the levels
-are simply united.
+are simply united. The folded rows are written out once, because every level reads them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.functions.scalars import whole_units
+from tradelake.functions.scalars import ratio, whole_units
 from tradelake.operators.profile import id_words
 from tradelake.schema import PRODUCT
+from tradelake.session import materialize
 
 # A block is 2**20 cells. 64-bit ids are 2**58 words, so two levels of blocks leave 2**18 per product.
 _BLOCK_BITS, _LEVELS = 20, 2
 
+WEEK = 7 * 86400
+
 
 def _neighbours(cells: DataFrame, group: list, first: str, last: str, order: str) -> DataFrame:
     """Pairs (end of a cell, start of the next one) within each group."""
@@ -34,12 +37,12 @@ def time_gaps(trades: DataFrame) -> DataFrame:
     Columns: exchange, symbol, gap_start, gap_end, gap_seconds (complete seconds). Shorter gaps count as 0
     seconds and are left out; a product with n trades has n - 1 gaps in all.
     """
-    seconds = (
+    seconds = materialize(
         trades.where(F.col("trade_ts").isNotNull())
         .groupBy(*PRODUCT, F.date_trunc("second", "trade_ts").alias("second"))
-        .agg(F.min("trade_ts").alias("first_ts"), F.max("trade_ts").alias("last_ts"))
-        .withColumn("day", F.date_trunc("day", "second"))
-    )
+        .agg(F.min("trade_ts").alias("first_ts"), F.max("trade_ts").alias("last_ts")),
+        "seconds",
+    ).withColumn("day", F.date_trunc("day", "second"))
     days = seconds.groupBy(*PRODUCT, "day").agg(
         F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
     )
@@ -52,52 +55,53 @@ def time_gaps(trades: DataFrame) -> DataFrame:
     )
 
 
-def gap_histogram(gaps: DataFrame) -> DataFrame:
-    """Number of gaps per product and length, for lengths up to a week (longer ones are data edges).
+def scored_lengths(gaps: DataFrame) -> DataFrame:
+    """Gap lengths per product with their number `n`, the product's statistics and the z-score.
 
-    At most 604,799 rows per product, whatever the number of trades.
+    The statistics leave out gaps of a week or more (edges of the data), but every length is scored. A
+    product has at most 604,799 shorter lengths and one row per longer gap, so its rows fit one task
+    whatever the number of trades. `seen` counts the gaps up to each length.
     """
-    return (
-        gaps.where((F.col("gap_seconds") > 0) & (F.col("gap_seconds") < 7 * 86400))
-        .groupBy(*PRODUCT, "gap_seconds")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def gap_stats(gaps: DataFrame, quantiles: dict[str, float] | None = None) -> DataFrame:
-    """Exact count, mean, sample deviation, quantiles and maximum of each product's gaps."""
+    n, length = F.col("n"), F.col("gap_seconds")
+    short = length < WEEK
     product = Window.partitionBy(*PRODUCT)
     running = product.orderBy("gap_seconds").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weighted = gap_histogram(gaps).select(
+    lengths = gaps.groupBy(*PRODUCT, "gap_seconds").agg(F.count(F.lit(1)).alias("n"))
+    totals = lengths.select(
         "*",
-        F.sum("n").over(product).alias("total"),
         F.sum("n").over(running).alias("seen"),
-        (F.sum(F.col("n") * F.col("gap_seconds")).over(product) / F.sum("n").over(product)).alias("mean"),
-    )
-    # Rank of a discrete quantile: the smallest one with at least that share of the rows at or below it.
-    rank = {
-        name: F.greatest(F.lit(1), F.col("total") - F.floor(F.col("total") - F.col("total") * F.lit(q)))
-        for name, q in (quantiles or {}).items()
-    }
-    deviation = F.sqrt(
-        F.sum(F.col("n") * F.pow(F.col("gap_seconds") - F.col("mean"), 2))
-        / F.nullif(F.first("total") - 1, F.lit(0))
-    )
-    return weighted.groupBy(*PRODUCT).agg(
-        F.first("total").alias("intervals"),
-        F.first("mean").alias("avg_gap"),
-        deviation.alias("std_gap"),
-        F.max("gap_seconds").alias("max_gap"),
-        *[F.min(F.when(F.col("seen") >= at, F.col("gap_seconds"))).alias(name) for name, at in rank.items()],
+        F.sum(F.when(short, n)).over(product).alias("intervals"),
+        F.sum(F.when(short, n * length)).over(product).alias("seconds"),
+        F.max(F.when(short, length)).over(product).alias("max_gap"),
+    ).withColumn("avg_gap", F.col("seconds") / F.col("intervals"))
+    squares = F.sum(F.when(short, n * F.pow(length - F.col("avg_gap"), 2))).over(product)
+    return (
+        totals.where(F.col("intervals").isNotNull())
+        .withColumn("std_gap", F.sqrt(squares / F.nullif(F.col("intervals") - 1, F.lit(0))))
+        .withColumn("z", ratio(length - F.col("avg_gap"), F.col("std_gap")))
     )
 
 
+def length_quantile(share: float) -> Column:
+    """Discrete quantile of a product's shorter gaps, as an aggregate over scored_lengths."""
+    total = F.col("intervals")
+    rank = F.greatest(F.lit(1), total - F.floor(total - total * F.lit(share)))
+    return F.min(F.when((F.col("seen") >= rank) & (F.col("gap_seconds") < WEEK), F.col("gap_seconds")))
+
+
+def written_words(trades: DataFrame) -> DataFrame:
+    """The id roll-up as a table: at most one row per 64 ids and other id text of a product."""
+    return materialize(id_words(trades), "words")
+
+
 def id_gaps(trades: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """Every run of missing ids between two consecutive numeric ids of a product.
 
-    Columns: exchange, symbol, last_seen_id, next_seen_id, missing. Repeated ids open no gap.
+    Columns: exchange, symbol, last_seen_id, next_seen_id, missing. Repeated ids open no gap. `words` is the
+    roll-up of the trades, if the caller has written it already.
     """
-    words = id_words(trades) if words is None else words
+    if words is None:
+        words = written_words(trades)
     words = words.where(F.col("id_word").isNotNull()).select(
         *PRODUCT, "id_word", "id_bits", "min_id", "max_id"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.session import broadcast_if_small, cut_lineage
+from tradelake.session import broadcast_if_small, materialize
 
 
 def with_position(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
@@ -13,15 +13,16 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], name: str =
 
     A row_number over the key would sort a busy key in one task. Here the rows are range-partitioned by
     (keys, order), which splits a busy key over many tasks, and numbered in place; the number of earlier
-    rows of the key is then added per partition. The numbered rows are checkpointed, because two
+    rows of the key is then added per partition. The numbered rows are written out, because two
     computations of a range partitioning need not cut at the same rows. `order` should identify a row
     within its key: rows equal in all of it stay in one partition.
     """
     by = [*keys, *order]
-    numbered = cut_lineage(
+    numbered = materialize(
         df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
-        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}),
+        "positions",
     )
     pieces = numbered.groupBy(*keys, "_part").agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")

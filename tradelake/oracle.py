@@ -111,7 +111,7 @@ _OVERVIEW = """
 SELECT exchange, symbol, count(*) AS total_trades, count(DISTINCT trade_id) AS unique_trade_ids,
   min(trade_ts) AS earliest_trade, max(trade_ts) AS latest_trade,
   date_sub('day', min(trade_ts), max(trade_ts)) AS days_of_data,
-  round(sum(price * quantity), 4) AS total_volume_usd, round(avg(price), 4) AS avg_price,
+  round(sum(price * quantity), 4) AS total_volume_usd, round(avg(price), 8) AS avg_price,
   min(price) AS min_price, max(price) AS max_price
 FROM trades GROUP BY exchange, symbol"""
 
@@ -226,7 +226,7 @@ _POINTS = """
   UNION ALL SELECT ts, 'ExchangeResponseTime', latency_ms FROM calls
 ), rolled AS (
   SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period_start, metric, round(sum(value), 4) AS sum_value,
-    round(avg(value), 4) AS avg_value, quantile_disc(value, 0.5) AS p50_value,
+    round(avg(value), 8) AS avg_value, quantile_disc(value, 0.5) AS p50_value,
     quantile_disc(value, 0.99) AS p99_value, max(value) AS max_value, count(*) AS points
   FROM points GROUP BY 1, 2
 )"""
@@ -286,7 +286,7 @@ SELECT t.exchange, t.symbol, max(trade_ts) AS latest_trade_time, max(n) AS lates
   count(*) AS total_trades
 FROM trades t JOIN stale s USING (exchange, symbol) GROUP BY t.exchange, t.symbol"""
     q["freshness_totals"] = TRADES + _STALE + """
-SELECT count(*) AS total_products, round(avg(m), 4) AS avg_minutes_stale, min(m) AS min_minutes_stale,
+SELECT count(*) AS total_products, round(avg(m), 8) AS avg_minutes_stale, min(m) AS min_minutes_stale,
   max(m) AS max_minutes_stale, quantile_disc(m, 0.5) AS median_minutes_stale,
   count(CASE WHEN m < 60 THEN 1 END) AS fresh_products,
   count(CASE WHEN m >= 60 AND m < 180 THEN 1 END) AS stale_products,
@@ -360,7 +360,7 @@ SELECT exchange, symbol, minutes_stale, completeness_pct, health_status FROM lab
     q["symbol_health_joined"] = q["symbol_health"]
     q["hourly_bars"] = TRADES + f"""
 SELECT exchange, symbol, CAST(date_trunc('hour', trade_ts) AS TIMESTAMP) AS "hour", count(*) AS trade_count,
-  round(sum(price * quantity), 4) AS volume_usd, round(avg(price), 4) AS avg_price,
+  round(sum(price * quantity), 4) AS volume_usd, round(avg(price), 8) AS avg_price,
   min(price) AS low, max(price) AS high
 FROM trades WHERE trade_ts >= {NOW} - INTERVAL 7 DAY GROUP BY 1, 2, 3"""
     q["low_activity_periods"] = TRADES + _low("day", -2)
@@ -375,7 +375,7 @@ FROM trades WHERE trade_ts >= {NOW} - INTERVAL 30 DAY GROUP BY 1"""
   SELECT exchange, symbol, date_sub('second', trade_ts, ingest_ts) AS s FROM trades
   WHERE trade_ts >= {NOW} - INTERVAL 7 DAY AND ingest_ts IS NOT NULL
 )
-SELECT exchange, symbol, round(avg(s), 4) AS avg_latency_seconds, min(s) AS min_latency_seconds,
+SELECT exchange, symbol, round(avg(s), 8) AS avg_latency_seconds, min(s) AS min_latency_seconds,
   max(s) AS max_latency_seconds, quantile_disc(s, 0.5) AS median_latency_seconds,
   quantile_disc(s, 0.95) AS p95_latency_seconds
 FROM lags GROUP BY exchange, symbol ORDER BY avg(s) DESC, exchange, symbol LIMIT 20"""

@@ -19,6 +19,7 @@ from tradelake.operators.gaps import time_gaps
 from tradelake.operators.normalize import REASON
 from tradelake.operators.profile import product_profile, product_totals
 from tradelake.schema import PRODUCT, REQUIRED_COLUMNS, TRADE
+from tradelake.session import materialize
 
 SIDES = ("buy", "sell")
 MAX_DUPLICATE_PCT = 5
@@ -222,7 +223,7 @@ def quality_metrics(trades: DataFrame, as_of=None, footprint: DataFrame | None =
 
     `footprint` is the result of storage_footprint.
     """
-    products = _per_product(trades, as_of)
+    products = materialize(_per_product(trades, as_of), "products")
     growth = F.col("records") / F.greatest(F.col("span_days"), F.lit(1))
     single = {
         "TotalRecords": F.col("records"),

@@ -1,8 +1,8 @@
 """Report queries over curated trades.
 
-Every report is `fn(trades, as_of=None, ...) -> DataFrame`; nothing runs until the caller acts. A product
-is an (exchange, symbol) pair. Sums and means of doubles are rounded to four digits, because their last
-bits depend on the order of addition. Sorted reports end with the product as tie-breaker, so a limit
+Every report is `fn(trades, as_of=None, ...) -> DataFrame`. Reports run when the caller acts; only those
+that read an intermediate result several times write that result to the shared folder first. A product is an (exchange, symbol) pair. Sums and means of doubles are rounded (to four and eight digits), because their
+last bits depend on the order of addition. Sorted reports end with the product as tie-breaker, so a limit
 always keeps the same rows. Sorting puts nulls last.
 """
 
@@ -26,16 +26,16 @@ from tradelake.functions.scalars import (
     ratio,
     whole_units,
 )
-from tradelake.operators.gaps import gap_stats, id_gaps, time_gaps
+from tradelake.operators.gaps import id_gaps, length_quantile, scored_lengths, time_gaps, written_words
 from tradelake.operators.profile import (
     distinct_in_row,
-    id_words,
     product_profile,
     product_totals,
 )
 from tradelake.schema import PRODUCT, TRADE_KEY
+from tradelake.session import materialize
 
-DIGITS = 4
+SUM_DIGITS, MEAN_DIGITS = 4, 8
 
 
 def _asc(*names: str) -> list[Column]:
@@ -46,8 +46,12 @@ def _desc(*names: str) -> list[Column]:
     return [F.col(n).desc_nulls_last() for n in names]
 
 
-def _rounded(name: str, digits: int = DIGITS) -> Column:
-    return F.round(name, digits)
+def _sum(value: Column) -> Column:
+    return F.round(value, SUM_DIGITS)
+
+
+def _mean(value: Column) -> Column:
+    return F.round(value, MEAN_DIGITS)
 
 
 def _minutes(as_of: Column, since: str = "last_ts") -> Column:
@@ -72,8 +76,8 @@ def overview_by_symbol(trades: DataFrame) -> DataFrame:
             F.col("first_ts").alias("earliest_trade"),
             F.col("last_ts").alias("latest_trade"),
             whole_units("DAY", F.col("first_ts"), F.col("last_ts")).alias("days_of_data"),
-            _rounded("volume").alias("total_volume_usd"),
-            _rounded("avg_price").alias("avg_price"),
+            _sum(F.col("volume")).alias("total_volume_usd"),
+            _mean(F.col("avg_price")).alias("avg_price"),
             "min_price",
             "max_price",
         )
@@ -83,7 +87,7 @@ def overview_by_symbol(trades: DataFrame) -> DataFrame:
 
 def overview_totals(trades: DataFrame) -> DataFrame:
     """Totals of the whole table. An id used by several products counts once."""
-    words = id_words(trades)
+    words = written_words(trades)
     products = (
         words.groupBy(*PRODUCT)
         .agg(
@@ -114,7 +118,7 @@ def overview_totals(trades: DataFrame) -> DataFrame:
         "earliest_data",
         "latest_data",
         whole_units("DAY", F.col("earliest_data"), F.col("latest_data")).alias("total_days_span"),
-        _rounded("volume").alias("total_volume_usd"),
+        _sum(F.col("volume")).alias("total_volume_usd"),
     )
 
 
@@ -125,7 +129,7 @@ def top_symbols_by_volume(trades: DataFrame, as_of=None, n: int = 10) -> DataFra
             *PRODUCT,
             F.col("trades").alias("trade_count"),
             F.round("volume", 2).alias("volume_usd"),
-            _rounded("avg_price").alias("avg_price"),
+            F.round("avg_price", 4).alias("avg_price"),
             F.col("first_ts").alias("first_trade"),
             F.col("last_ts").alias("last_trade"),
             _minutes(as_of_column(as_of)).alias("minutes_stale"),
@@ -143,17 +147,13 @@ def latest_trades(trades: DataFrame, symbol: str, n: int = 100, exchange: str |
     return (
         trades.where(wanted)
         .select(
-            *TRADE_KEY, "price", "quantity", "side", "trade_ts", _rounded_expr(notional()).alias("volume_usd")
+            *TRADE_KEY, "price", "quantity", "side", "trade_ts", _sum(notional()).alias("volume_usd")
         )
         .orderBy(*_desc("trade_ts"), numeric_id(F.col("trade_id")).desc_nulls_last(), *_desc("trade_id"))
         .limit(n)
     )
 
 
-def _rounded_expr(value: Column, digits: int = DIGITS) -> Column:
-    return F.round(value, digits)
-
-
 # --- freshness ----------------------------------------------------------------------------------------
 
 
@@ -183,7 +183,7 @@ def freshness_totals(trades: DataFrame, as_of=None) -> DataFrame:
     m = F.col("minutes")
     return _staleness(trades, as_of).agg(
         F.count(F.lit(1)).alias("total_products"),
-        _rounded_expr(F.avg(m)).alias("avg_minutes_stale"),
+        _mean(F.avg(m)).alias("avg_minutes_stale"),
         F.min(m).alias("min_minutes_stale"),
         F.max(m).alias("max_minutes_stale"),
         F.percentile_approx(m, 0.5, 10000).alias("median_minutes_stale"),
@@ -234,10 +234,15 @@ def time_gap_anomalies(trades: DataFrame, z_min: float = 3, n: int = 100) -> Dat
     """
     gaps = time_gaps(trades)
     longest = Window.partitionBy(*PRODUCT).orderBy(*_desc("gap_seconds"), *_asc("gap_end"))
-    candidates = gaps.withColumn("rank", F.row_number().over(longest)).where(F.col("rank") <= n).drop("rank")
+    candidates = gaps.withColumn("rank", F.row_number().over(longest)).where(F.col("rank") <= n)
+    stats = (
+        scored_lengths(gaps)
+        .groupBy(*PRODUCT)
+        .agg(F.first("avg_gap").alias("avg_gap"), F.first("std_gap").alias("std_gap"))
+    )
     z = ratio(F.col("gap_seconds") - F.col("avg_gap"), F.col("std_gap"))
     return (
-        candidates.join(gap_stats(gaps), [*PRODUCT])
+        candidates.join(stats, [*PRODUCT])
         .withColumn("z", z)
         .where(F.col("z") > z_min)
         .orderBy(*_desc("z"), *_asc(*PRODUCT, "gap_end"))
@@ -257,32 +262,34 @@ def time_gap_anomalies(trades: DataFrame, z_min: float = 3, n: int = 100) -> Dat
 
 def time_gap_summary(trades: DataFrame) -> DataFrame:
     """Gap statistics per product with the number of anomalous (3 sigma) and extreme (5 sigma) gaps."""
-    gaps = time_gaps(trades)
-    stats = gap_stats(gaps, {"median_gap": 0.5, "p95_gap": 0.95, "p99_gap": 0.99})
-    z = ratio(F.col("gap_seconds") - F.col("avg_gap"), F.col("std_gap"))
-    # Every gap is scored, also one too long for the statistics; equal gaps share one row.
-    lengths = gaps.groupBy(*PRODUCT, "gap_seconds").agg(F.count(F.lit(1)).alias("n"))
-    outliers = (
-        lengths.join(stats.select(*PRODUCT, "avg_gap", "std_gap"), [*PRODUCT])
+
+    def outliers(sigma: int) -> Column:
+        return F.sum(F.when(F.col("z") > sigma, F.col("n")).otherwise(0))
+
+    return (
+        scored_lengths(time_gaps(trades))
         .groupBy(*PRODUCT)
         .agg(
-            F.sum(F.when(z > 3, F.col("n")).otherwise(0)).alias("anomalous"),
-            F.sum(F.when(z > 5, F.col("n")).otherwise(0)).alias("extreme"),
+            F.first("intervals").alias("total_intervals"),
+            F.first("avg_gap").alias("avg_gap"),
+            length_quantile(0.5).alias("median_gap"),
+            length_quantile(0.95).alias("p95_gap"),
+            length_quantile(0.99).alias("p99_gap"),
+            F.first("max_gap").alias("max_gap"),
+            outliers(3).alias("anomalous_gap_count"),
+            outliers(5).alias("extreme_gap_count"),
         )
-    )
-    return (
-        stats.join(outliers, [*PRODUCT], "left")
         .orderBy(*_desc("max_gap"), *_asc(*PRODUCT))
         .select(
             *PRODUCT,
-            F.col("intervals").alias("total_intervals"),
+            "total_intervals",
             F.round(F.col("avg_gap") / 60.0, 2).alias("avg_gap_minutes"),
             F.round(F.col("median_gap") / 60.0, 2).alias("median_gap_minutes"),
             F.round(F.col("p95_gap") / 60.0, 2).alias("p95_gap_minutes"),
             F.round(F.col("p99_gap") / 60.0, 2).alias("p99_gap_minutes"),
             F.round(F.col("max_gap") / 3600.0, 2).alias("max_gap_hours"),
-            F.coalesce("anomalous", F.lit(0)).alias("anomalous_gap_count"),
-            F.coalesce("extreme", F.lit(0)).alias("extreme_gap_count"),
+            "anomalous_gap_count",
+            "extreme_gap_count",
         )
     )
 
@@ -325,7 +332,7 @@ def duplicate_keys(trades: DataFrame, n: int = 100) -> DataFrame:
     One shuffle finds the keys; their distinct times are then counted by a second scan against at most n
     broadcast rows, which spares shuffling every (key, time) pair.
     """
-    repeated = (
+    repeated = materialize(
         trades.groupBy(*TRADE_KEY)
         .agg(
             F.count(F.lit(1)).alias("occurrence_count"),
@@ -334,7 +341,8 @@ def duplicate_keys(trades: DataFrame, n: int = 100) -> DataFrame:
         )
         .where(F.col("occurrence_count") > 1)
         .orderBy(*_desc("occurrence_count"), *_asc(*TRADE_KEY))
-        .limit(n)
+        .limit(n),
+        "repeated",
     )
     top = repeated.select([F.col(c).alias(f"top_{c}") for c in TRADE_KEY])
     same_key = [F.col(c).eqNullSafe(F.col(f"top_{c}")) for c in TRADE_KEY]
@@ -426,7 +434,7 @@ def _word_sums(words: DataFrame) -> DataFrame:
 
 def id_gap_summary(trades: DataFrame) -> DataFrame:
     """Missing ids per product; only products that miss some."""
-    words = id_words(trades)
+    words = written_words(trades)
     return (
         _gap_sums(words)
         .join(_word_sums(words), [*PRODUCT])
@@ -444,7 +452,7 @@ def id_gap_summary(trades: DataFrame) -> DataFrame:
 
 def id_gap_totals(trades: DataFrame) -> DataFrame:
     """Missing ids over all products. Without a gap the largest is 0, or -1 if ids only repeat."""
-    words = id_words(trades)
+    words = written_words(trades)
     # The lead of an id that has a successor is at least 0; that of a repeated row is -1.
     no_gap = F.when(F.col("ids") > 1, 0).when(F.col("trades") > F.col("ids"), -1)
     return (
@@ -565,8 +573,8 @@ def hourly_bars(trades: DataFrame, as_of=None, days: int = 7, from_midnight: boo
         .groupBy(*PRODUCT, F.date_trunc("hour", "trade_ts").alias("hour"))
         .agg(
             F.count(F.lit(1)).alias("trade_count"),
-            _rounded_expr(F.sum(notional())).alias("volume_usd"),
-            _rounded_expr(F.avg("price")).alias("avg_price"),
+            _sum(F.sum(notional())).alias("volume_usd"),
+            _mean(F.avg("price")).alias("avg_price"),
             F.min("price").alias("low"),
             F.max("price").alias("high"),
         )
@@ -578,7 +586,7 @@ def hourly_volume_one_symbol(trades: DataFrame, symbol: str) -> DataFrame:
     return (
         trades.where(F.col("symbol") == symbol)
         .groupBy(F.date_trunc("hour", "trade_ts").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("trades"), _rounded_expr(F.sum(notional())).alias("volume"))
+        .agg(F.count(F.lit(1)).alias("trades"), _sum(F.sum(notional())).alias("volume"))
         .orderBy(*_desc("hour"))
     )
 
@@ -594,7 +602,7 @@ def daily_summary(trades: DataFrame, as_of=None, days: int = 30) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("active_products"),
             F.sum("trades").alias("total_trades"),
-            _rounded_expr(F.sum("volume")).alias("total_volume_usd"),
+            _sum(F.sum("volume")).alias("total_volume_usd"),
         )
         .withColumn("avg_trades_per_product", F.expr("total_trades div active_products"))
         .orderBy(*_desc("date"))
@@ -610,7 +618,7 @@ def ingest_latency(trades: DataFrame, as_of=None, days: int = 7, n: int = 20) ->
         .select(*PRODUCT, whole_units("SECOND", F.col("trade_ts"), F.col("ingest_ts")).alias("lag"))
         .groupBy(*PRODUCT)
         .agg(
-            _rounded_expr(F.avg(lag)).alias("avg_latency_seconds"),
+            _mean(F.avg(lag)).alias("avg_latency_seconds"),
             F.min(lag).alias("min_latency_seconds"),
             F.max(lag).alias("max_latency_seconds"),
             F.percentile_approx(lag, 0.5, 10000).alias("median_latency_seconds"),
@@ -630,7 +638,7 @@ def dq_overview(trades: DataFrame) -> DataFrame:
         .select(
             *PRODUCT,
             F.col("trades").alias("total_records"),
-            _rounded("volume").alias("total_volume"),
+            _sum(F.col("volume")).alias("total_volume"),
             F.col("first_ts").alias("earliest_trade"),
             F.col("last_ts").alias("latest_trade"),
         )

@@ -12,7 +12,7 @@ from tradelake.operators.mapping import COINBASE, Mapping
 from tradelake.operators.normalize import REASON, normalize, raw_record
 from tradelake.plans.quality import batch_validation, full_validation, quality_gates
 from tradelake.schema import CORRUPT, RAW_FIELDS, RUN, TRADE
-from tradelake.session import cut_lineage
+from tradelake.session import materialize
 from tradelake.sources import curated, state
 from tradelake.sources.raw import GLOB, list_files, new_files, read_raw, write_raw
 
@@ -64,7 +64,7 @@ def _merge(batch: DataFrame, root: str, rebuild: bool) -> tuple[int, int]:
         version = curated.write_version(batch, root)
         return curated.read_current(spark, root).count(), version
     current = curated.read_current(spark, root)
-    compared = cut_lineage(with_known_time(batch, current))
+    compared = materialize(with_known_time(batch, current), "compared")
     counts = compared.agg(
         F.count_if(~F.col("known")).alias("new"),
         F.count_if(F.col("known") & (F.col("trade_ts") > F.col("known_ts"))).alias("newer"),

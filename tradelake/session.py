@@ -1,4 +1,4 @@
-"""Session setup, lineage cuts and size-checked broadcasts."""
+"""Session setup, intermediate tables and size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -50,12 +50,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder once, so that later steps see one fixed copy."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as a Parquet table in the shared folder and return that table.
+
+    For a result that several branches of a query read: it is computed once, the branches read only the
+    columns they need, joins know its size, and a lost executor does not bring the work back. The session
+    leaves the files behind, as it does with checkpoints; the folder should expire old ones.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
