@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.scalars import error_tier
 from tradelake.operators.position import with_position
+from tradelake.operators.topk import first_per_key
 
 ROLLING_CALLS = 100
 EMA_ALPHA = 0.2
@@ -20,9 +21,8 @@ def _failed() -> Column:
 
 
 def _newest(calls: DataFrame, n: int) -> DataFrame:
-    """The newest n calls of each source, with `age` 1 for the newest. Cut before the shuffle too."""
-    newest = Window.partitionBy("source").orderBy(F.col("ts").desc(), F.col("id").desc())
-    return calls.withColumn("age", F.row_number().over(newest)).where(F.col("age") <= n)
+    """The newest n calls of each source, with `age` 1 for the newest."""
+    return first_per_key(calls, ["source"], [F.col("ts").desc(), F.col("id").desc()], n, "age")
 
 
 def rolling_error_rate(calls: DataFrame, size: int = ROLLING_CALLS) -> DataFrame:

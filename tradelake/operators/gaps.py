@@ -89,9 +89,13 @@ def length_quantile(share: float) -> Column:
     return F.min(F.when((F.col("seen") >= rank) & (F.col("gap_seconds") < WEEK), F.col("gap_seconds")))
 
 
-def written_words(trades: DataFrame) -> DataFrame:
-    """The id roll-up as a table: at most one row per 64 ids and other id text of a product."""
-    return materialize(id_words(trades), "words")
+def written_words(trades: DataFrame, *extra: str) -> DataFrame:
+    """The id roll-up as a table: at most one row per 64 ids and other id text of a product.
+
+    Holds the id columns, the row count and the named further columns of id_words.
+    """
+    kept = [*PRODUCT, "id_word", "id_text", "id_bits", "min_id", "max_id", "trades", *extra]
+    return materialize(id_words(trades).select(*kept), "words")
 
 
 def id_gaps(trades: DataFrame, words: DataFrame | None = None) -> DataFrame:

@@ -87,7 +87,7 @@ def overview_by_symbol(trades: DataFrame) -> DataFrame:
 
 def overview_totals(trades: DataFrame) -> DataFrame:
     """Totals of the whole table. An id used by several products counts once."""
-    words = written_words(trades)
+    words = written_words(trades, "first_ts", "last_ts", "volume")
     products = (
         words.groupBy(*PRODUCT)
         .agg(

@@ -64,6 +64,7 @@ def _merge(batch: DataFrame, root: str, rebuild: bool) -> tuple[int, int]:
         version = curated.write_version(batch, root)
         return curated.read_current(spark, root).count(), version
     current = curated.read_current(spark, root)
+    batch = materialize(batch, "batch")
     compared = materialize(with_known_time(batch, current), "compared")
     counts = compared.agg(
         F.count_if(~F.col("known")).alias("new"),
@@ -108,11 +109,11 @@ def transform(
     staged = stage(read_raw(spark, names, glob), f"{root}/staging/run_id={run_id}", mapping, mode)
     counts = staged.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("rejected") == 0).alias("usable")).first()
     usable = staged.where(F.col("rejected") == 0)
-    written, version, checks = 0, curated.current_version(spark, root), None
+    written, version = 0, curated.current_version(spark, root)
     if counts.usable:
         batch = usable.select([F.col(f.name) for f in TRADE.fields])
         written, version = _merge(dedupe_newest(batch), root, rebuild)
-        checks = batch_validation(batch)
+        checks = materialize(batch_validation(batch), "checks")
         full = full_validation(curated.read_current(spark, root), as_of) if full_scan else None
         verdict = quality_gates(checks, full).first()
         duplicates = checks.where(F.col("check") == "duplicate_keys").first().value

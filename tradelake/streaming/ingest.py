@@ -48,11 +48,12 @@ def curate(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = normalize(batch, mapping, mode).persist()
-        usable = dedupe_newest(accepted(rows))
+        usable = dedupe_newest(accepted(rows)).persist()
         fresh = unseen(usable, _other_batches(batch.sparkSession, trades_path, batch_id))
         fresh.write.mode("overwrite").parquet(f"{trades_path}/batch_id={batch_id}")
         rejected(rows).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
         state.save_watermarks(state.batch_watermarks(usable), root, f"stream-{batch_id}")
+        usable.unpersist()
         rows.unpersist()
 
     return (
