@@ -202,7 +202,8 @@ def _score() -> Column:
     duplicates = F.least(F.lit(20), F.col("duplicates"))
     incomplete = F.when(F.col("min_pct") < 99, F.least(F.lit(30.0), (100 - F.col("min_pct")) * 3)).otherwise(0.0)
     missing = F.when(F.col("missing") > 100, F.least(F.lit(20), F.expr("missing div 100"))).otherwise(0)
-    stale = F.coalesce(F.least(F.lit(30.0), 100 * ratio(F.col("stale"), F.col("products"))), F.lit(0.0))
+    stale_pct = 100 * ratio(F.col("stale"), F.col("products"))
+    stale = F.when(F.col("products") > 0, F.least(F.lit(30.0), stale_pct)).otherwise(0.0)
     return F.greatest(F.lit(0.0), F.lit(100.0) - duplicates - incomplete - missing - stale)
 
 

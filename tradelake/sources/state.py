@@ -75,18 +75,19 @@ def merge_watermarks(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def load_watermarks(spark: SparkSession, root: str) -> DataFrame:
+    """Highest cursor per product, with the time it was first reached."""
+    earliest = F.max(F.struct("cursor", -F.unix_micros("updated_at"))).alias("top")
     return (
         load(spark, root, "watermarks")
         .groupBy(*PRODUCT)
-        .agg(F.max("cursor").alias("cursor"), F.max_by("updated_at", "cursor").alias("updated_at"))
+        .agg(earliest)
+        .select(*PRODUCT, F.col("top.cursor").alias("cursor"), F.timestamp_micros(-F.col("top.col2")).alias("updated_at"))
     )
 
 
 def save_watermarks(new: DataFrame, root: str, batch: str) -> None:
-    """Record the products whose watermark advances."""
-    old = load_watermarks(new.sparkSession, root).select(*PRODUCT, F.col("cursor").alias("_old"))
-    ahead = new.join(old, [*PRODUCT], "left").where(F.col("_old").isNull() | (F.col("cursor") > F.col("_old")))
-    append(ahead.drop("_old"), root, "watermarks", batch)
+    """Record a batch's watermarks; as the highest cursor counts, they cannot take a product back."""
+    append(new, root, "watermarks", batch)
 
 
 def backlog(watermarks: DataFrame, targets: DataFrame) -> DataFrame:
