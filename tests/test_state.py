@@ -99,3 +99,13 @@ def test_state_tables_start_empty_and_keep_one_copy_per_batch(spark, tmp_path):
     for batch in ("a", "a", "b"):
         state.append(rows, root, "processed_files", batch)
     assert state.load(spark, root, "processed_files").count() == 2
+
+
+def test_product_list_files(spark, tmp_path):
+    document = tmp_path / "seed.json"
+    document.write_text('{\n "product_ids": ["B-USD", "A-USD"],\n "metadata": {"source": "x"}\n}')
+    listed = state.read_products(spark, str(document))
+    assert sorted(r.symbol for r in listed.collect()) == ["A-USD", "B-USD"]
+    state.write_products(listed, str(tmp_path / "saved"))
+    again = state.read_products(spark, str(tmp_path / "saved"))
+    assert sorted(map(tuple, again.collect())) == [("coinbase", "A-USD"), ("coinbase", "B-USD")]

@@ -106,17 +106,24 @@ def raw_records(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def rule_violations(spark: SparkSession, root: str) -> DataFrame:
-    """Rules checked on trades of which some lost a value or got a bad one."""
+def _damaged(spark: SparkSession, root: str) -> DataFrame:
+    """Trades of which some lost a value or got a bad one."""
     n = F.col("trade_id").cast("bigint")
-    damaged = views.trades(spark, root).withColumns(
+    return views.trades(spark, root).withColumns(
         {
             "price": F.when(n % 13 == 0, -F.col("price")).otherwise(F.col("price")),
             "quantity": F.when(n % 17 != 0, F.col("quantity")),
             "side": F.when(n % 19 == 0, "hold").otherwise(F.col("side")),
         }
     )
-    return normalize.rule_violations(damaged)
+
+
+def rule_violations(spark: SparkSession, root: str) -> DataFrame:
+    return normalize.rule_violations(_damaged(spark, root))
+
+
+def invalid_sides(spark: SparkSession, root: str) -> DataFrame:
+    return quality.invalid_sides(_damaged(spark, root))
 
 
 def watermark_merge(spark: SparkSession, root: str) -> DataFrame:
@@ -246,7 +253,9 @@ def source_health(spark: SparkSession, root: str) -> DataFrame:
 
 def latency_ema(spark: SparkSession, root: str) -> DataFrame:
     ema = calls.latency_ema(views.call_log(spark, root))
-    return ema.withColumn("avg_response_ms", F.round("avg_response_ms", 6))
+    return ema.withColumn("avg_response_ms", F.round("avg_response_ms", 6)).withColumn(
+        "avg_response_s", F.round("avg_response_s", 8)
+    )
 
 
 # --- sources and sinks: through files in the shared folder ------------------------------------------------
@@ -368,6 +377,7 @@ _QUERIES: dict[str, Query] = {
     "rejected_trades": rejected_trades,
     "raw_records": raw_records,
     "rule_violations": rule_violations,
+    "invalid_sides": invalid_sides,
     "product_list_update": product_list_update,
     "product_coverage": product_coverage,
     "listed_symbols": listed_symbols,

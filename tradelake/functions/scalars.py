@@ -90,6 +90,16 @@ def percent(top: Column, bottom: Column, digits: int) -> Column:
     return F.round(ratio(F.lit(100.0) * top, bottom), digits)
 
 
+def quantile_of_counts(value: Column, seen: Column, total: Column, share: float) -> Column:
+    """Exact discrete quantile, as an aggregate over distinct values with running counts.
+
+    It is the smallest value with at least that share of the `total` rows at or below it; `seen` counts the
+    rows up to and including each value.
+    """
+    rank = F.greatest(F.lit(1), total - F.floor(total - total * F.lit(share)))
+    return F.min(F.when(seen >= rank, value))
+
+
 def freshness_tier(minutes: Column) -> Column:
     return (
         F.when(minutes < FRESH_MINUTES, "FRESH")

@@ -108,10 +108,11 @@ def latency_ema(calls: DataFrame, alpha: float = EMA_ALPHA) -> DataFrame:
     )
     decay = F.pow(F.lit(1 - alpha), F.col("steps"))
     weight = F.when(F.col("steps") == F.col("seed"), decay).otherwise(decay * alpha)
-    return seeded.groupBy("source").agg(
+    averages = seeded.groupBy("source").agg(
         F.sum(F.col("latency_ms") * weight).alias("avg_response_ms"),
         F.count(F.lit(1)).alias("calls_used"),
     )
+    return averages.withColumn("avg_response_s", F.col("avg_response_ms") / 1000)
 
 
 def metric_rollup(

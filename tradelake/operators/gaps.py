@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.functions.scalars import ratio, whole_units
+from tradelake.functions.scalars import quantile_of_counts, ratio, whole_units
 from tradelake.operators.profile import id_words
 from tradelake.schema import PRODUCT
 from tradelake.session import materialize
@@ -84,9 +84,8 @@ def scored_lengths(gaps: DataFrame) -> DataFrame:
 
 def length_quantile(share: float) -> Column:
     """Discrete quantile of a product's shorter gaps, as an aggregate over scored_lengths."""
-    total = F.col("intervals")
-    rank = F.greatest(F.lit(1), total - F.floor(total - total * F.lit(share)))
-    return F.min(F.when((F.col("seen") >= rank) & (F.col("gap_seconds") < WEEK), F.col("gap_seconds")))
+    short = F.when(F.col("gap_seconds") < WEEK, F.col("gap_seconds"))
+    return quantile_of_counts(short, F.col("seen"), F.col("intervals"), share)
 
 
 def written_words(trades: DataFrame, *extra: str) -> DataFrame:

@@ -450,6 +450,7 @@ FROM trades"""
             ("allowed:side", "n % 19 = 0"),
         ]
     )
+    q["invalid_sides"] = TRADES + "SELECT DISTINCT 'hold' AS side FROM trades WHERE n % 19 = 0"
     q["product_list_update"] = TRADES + """
 SELECT exchange, symbol FROM trades WHERE trade_ts >= TIMESTAMP '2024-01-30 00:00:00'
 UNION SELECT exchange, symbol FROM trades WHERE regexp_matches(symbol, '^SYM[456]-')"""
@@ -589,10 +590,11 @@ SELECT source, requests, recent_calls, round(rate, 6) AS error_rate,
 SELECT source, min(ts) AS run_start, max(ts) AS run_end, min(id) AS first_id, count(*) AS failures
 FROM r WHERE NOT ok GROUP BY source, island HAVING count(*) >= 3"""
     q["latency_ema"] = CALLS + """
-SELECT source, round(list_reduce(list(latency_ms ORDER BY ts, id),
-  lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.8e0 * a + 0.2e0 * x END), 6) AS avg_response_ms,
-  least(count(*), 999) AS calls_used
-FROM calls WHERE ok GROUP BY source"""
+, e AS (SELECT source, count(*) AS c, list_reduce(list(latency_ms ORDER BY ts, id),
+  lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.8e0 * a + 0.2e0 * x END) AS ema
+  FROM calls WHERE ok GROUP BY source)
+SELECT source, round(ema, 6) AS avg_response_ms, round(ema / 1000, 8) AS avg_response_s,
+  least(c, 999) AS calls_used FROM e"""
     q["metric_rollup"] = CALLS + _POINTS + "SELECT * FROM rolled"
     q["stream_rollup"] = CALLS + _POINTS + """
 SELECT * FROM rolled WHERE period_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM calls) - INTERVAL 10 MINUTE"""

@@ -23,6 +23,7 @@ from tradelake.functions.scalars import (
     notional,
     numeric_id,
     percent,
+    quantile_of_counts,
     ratio,
     whole_units,
 )
@@ -610,19 +611,29 @@ def daily_summary(trades: DataFrame, as_of=None, days: int = 30) -> DataFrame:
 
 
 def ingest_latency(trades: DataFrame, as_of=None, days: int = 7, n: int = 20) -> DataFrame:
-    """Seconds between trade and ingestion per product, slowest first."""
+    """Seconds between trade and ingestion per product, slowest first.
+
+    Rows are counted per product and lag first; mean and exact quantiles then come from one row per
+    distinct lag, where quantile sketches would be shipped from every task for every product.
+    """
     since = as_of_column(as_of) - F.expr(f"interval {int(days)} days")
-    lag = F.col("lag")
-    return (
+    lag, rows = F.col("lag"), F.col("n")
+    product = Window.partitionBy(*PRODUCT)
+    running = product.orderBy("lag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = (
         trades.where((F.col("trade_ts") >= since) & F.col("ingest_ts").isNotNull())
-        .select(*PRODUCT, whole_units("SECOND", F.col("trade_ts"), F.col("ingest_ts")).alias("lag"))
-        .groupBy(*PRODUCT)
+        .groupBy(*PRODUCT, whole_units("SECOND", F.col("trade_ts"), F.col("ingest_ts")).alias("lag"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("*", F.sum("n").over(running).alias("seen"), F.sum("n").over(product).alias("total"))
+    )
+    return (
+        counted.groupBy(*PRODUCT)
         .agg(
-            _mean(F.avg(lag)).alias("avg_latency_seconds"),
+            _mean(F.sum(rows * lag) / F.sum(rows)).alias("avg_latency_seconds"),
             F.min(lag).alias("min_latency_seconds"),
             F.max(lag).alias("max_latency_seconds"),
-            F.percentile_approx(lag, 0.5, 10000).alias("median_latency_seconds"),
-            F.percentile_approx(lag, 0.95, 10000).alias("p95_latency_seconds"),
+            quantile_of_counts(lag, F.col("seen"), F.col("total"), 0.5).alias("median_latency_seconds"),
+            quantile_of_counts(lag, F.col("seen"), F.col("total"), 0.95).alias("p95_latency_seconds"),
         )
         .orderBy(*_desc("avg_latency_seconds"), *_asc(*PRODUCT))
         .limit(n)

@@ -30,9 +30,9 @@ def write_trades(trades: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def read_trades(spark: SparkSession, path: str) -> DataFrame:
-    """All trade files below a folder as one table."""
-    return spark.read.parquet(path)
+def read_trades(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """All trade files below a folder as one table; `merge_schema` also finds columns only some files have."""
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
 def version_path(root: str, version: int) -> str:

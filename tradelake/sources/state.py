@@ -116,6 +116,18 @@ def backlog(watermarks: DataFrame, targets: DataFrame) -> DataFrame:
 # --- product list -------------------------------------------------------------------------------------
 
 
+def read_products(spark: SparkSession, path: str, exchange: str = "coinbase") -> DataFrame:
+    """Product list from JSON: documents with a `product_ids` array, or one {"symbol": ...} per line."""
+    schema = "product_ids array<string>, exchange string, symbol string"
+    listed = spark.read.schema(schema).option("multiLine", path.endswith(".json")).json(path)
+    names = F.coalesce("product_ids", F.array("symbol"))
+    return listed.select(F.coalesce("exchange", F.lit(exchange)).alias("exchange"), F.explode(names).alias("symbol"))
+
+
+def write_products(products: DataFrame, path: str) -> None:
+    products.select(*PRODUCT).write.mode("overwrite").json(path)
+
+
 def update_products(existing: DataFrame, found: DataFrame, pattern: str | None = None, merge: bool = True) -> DataFrame:
     """Distinct product names found (optionally only those matching a pattern), with the ones already listed."""
     names = found.where(F.col("symbol").isNotNull() & (F.col("symbol") != "")).select(*PRODUCT)
