@@ -35,6 +35,42 @@ def test_id_gaps_match_a_loop(trades, spread):
     assert spark_id_gaps(trades(rows)) == brute_id_gaps(rows)
 
 
+@pytest.mark.parametrize("spread", [40, 5_000, 3_000_000, 2**45, 2**62])
+def test_id_gap_sums_match_a_loop(trades, spread):
+    rng = random.Random(spread + 1)
+    rows = [(f"S{rng.randrange(3)}", str(rng.randrange(-spread, spread)), "2024-01-01 00:00:00") for _ in range(200)]
+    # Runs of every length within a word.
+    rows += [("RUNS", str(x), "2024-01-01 00:00:00") for x in [sum(range(i + 1)) for i in range(70)]]
+    expected = defaultdict(list)
+    for symbol, _, _, missing in brute_id_gaps(rows):
+        expected[symbol].append(missing)
+    got = {r.symbol: r for r in gaps.id_gap_sums(trades(rows)).collect()}
+    for symbol, lengths in expected.items():
+        row = got[symbol]
+        assert (row.missing, row.occurrences, row.largest) == (sum(lengths), len(lengths), max(lengths))
+        assert (row.over_10, row.over_100) == (sum(m > 10 for m in lengths), sum(m > 100 for m in lengths))
+        ids = {int(r[1]) for r in rows if r[0] == symbol}
+        assert (row.ids, row.min_id, row.max_id) == (len(ids), min(ids), max(ids))
+
+
+def test_every_pattern_of_a_short_word(trades):
+    rows = []
+    for bits in range(1, 2**7):
+        rows += [(f"P{bits}", str(60 + i), "2024-01-01 00:00:00") for i in range(7) if bits >> i & 1]
+    assert spark_id_gaps(trades(rows)) == brute_id_gaps(rows)
+    largest = {r.symbol: r.largest for r in gaps.id_gap_sums(trades(rows)).collect()}
+    for symbol in largest:
+        assert largest[symbol] == max([g[3] for g in brute_id_gaps([r for r in rows if r[0] == symbol])], default=0)
+
+
+@pytest.mark.parametrize("n", [1, 3, 25, 1000])
+def test_longest_id_gaps_are_the_first_of_all_gaps(trades, n):
+    rng = random.Random(n)
+    rows = [(f"S{rng.randrange(3)}", str(rng.randrange(900)), "2024-01-01 00:00:00") for _ in range(400)]
+    got = [(r.symbol, r.last_seen_id, r.next_seen_id, r.missing) for r in gaps.longest_id_gaps(trades(rows), n).collect()]
+    assert got == sorted(brute_id_gaps(rows), key=lambda g: (-g[3], g[0], g[1]))[:n]
+
+
 def test_id_gaps_at_word_and_block_edges(trades):
     ids = [0, 63, 64, 127, 129, 2**26 - 1, 2**26, 2**26 + 65, 2**46 - 1, 2**46, 2**46 + 1]
     rows = [("A", str(i), "2024-01-01 00:00:00") for i in ids]
@@ -86,6 +122,11 @@ def test_time_gaps_match_a_loop(trades):
     rows = [("A", str(i), t.isoformat(sep=" ")) for i, t in enumerate(times)]
     got = sorted((r.gap_start, r.gap_end, r.gap_seconds) for r in gaps.time_gaps(trades(rows)).collect())
     assert got == sorted(brute_time_gaps(times))
+    counted = {r.gap_seconds: r.n for r in gaps.gap_lengths(gaps.rolled_seconds(trades(rows))).collect()}
+    expected = [g[2] for g in brute_time_gaps(times)]
+    assert counted == {length: expected.count(length) for length in set(expected)}
+    longest = max((b - a) / timedelta(microseconds=1) for a, b, _ in brute_time_gaps(times))
+    assert gaps.longest_gaps(trades(rows)).first().gap_micros == longest
 
 
 def test_gap_of_a_week_is_scored_but_not_in_the_statistics(trades):

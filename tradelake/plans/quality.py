@@ -15,7 +15,7 @@ from tradelake.functions.scalars import (
     score_tier,
     whole_units,
 )
-from tradelake.operators.gaps import time_gaps
+from tradelake.operators.gaps import longest_gaps
 from tradelake.operators.normalize import REASON
 from tradelake.operators.profile import product_profile, product_totals
 from tradelake.schema import PRODUCT, REQUIRED_COLUMNS, TRADE
@@ -99,12 +99,7 @@ def batch_validation(batch: DataFrame, last_updates: DataFrame | None = None, as
 def full_validation(trades: DataFrame, as_of=None) -> DataFrame:
     """Checks of the whole table as (check, severity, value, issue)."""
     now = as_of_column(as_of)
-    longest = (
-        time_gaps(trades)
-        .groupBy(*PRODUCT)
-        .agg(F.max(F.unix_micros("gap_end") - F.unix_micros("gap_start")).alias("gap_micros"))
-        .withColumn("gap_minutes", F.col("gap_micros") / F.lit(6e7))
-    )
+    longest = longest_gaps(trades).withColumn("gap_minutes", F.col("gap_micros") / F.lit(6e7))
     one = (
         product_profile(trades)
         .select(*PRODUCT, "trades", "distinct_ids", "last_ts")

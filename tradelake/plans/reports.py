@@ -27,7 +27,17 @@ from tradelake.functions.scalars import (
     ratio,
     whole_units,
 )
-from tradelake.operators.gaps import id_gaps, length_quantile, scored_lengths, time_gaps, written_words
+from tradelake.operators.gaps import (
+    gap_lengths,
+    id_gap_sums,
+    length_quantile,
+    longest_id_gaps,
+    rolled_seconds,
+    scored_lengths,
+    time_gaps_of_seconds,
+    written_seconds,
+    written_words,
+)
 from tradelake.operators.profile import (
     distinct_in_row,
     product_profile,
@@ -233,11 +243,12 @@ def time_gap_anomalies(trades: DataFrame, z_min: float = 3, n: int = 100) -> Dat
     Within a product the z-score grows with the gap, so the first n overall are among the n longest of each
     product. Only those are joined to the statistics.
     """
-    gaps = time_gaps(trades)
+    seconds = written_seconds(trades)
+    gaps = time_gaps_of_seconds(seconds)
     longest = Window.partitionBy(*PRODUCT).orderBy(*_desc("gap_seconds"), *_asc("gap_end"))
     candidates = gaps.withColumn("rank", F.row_number().over(longest)).where(F.col("rank") <= n)
     stats = (
-        scored_lengths(gaps)
+        scored_lengths(gap_lengths(seconds))
         .groupBy(*PRODUCT)
         .agg(F.first("avg_gap").alias("avg_gap"), F.first("std_gap").alias("std_gap"))
     )
@@ -268,7 +279,7 @@ def time_gap_summary(trades: DataFrame) -> DataFrame:
         return F.sum(F.when(F.col("z") > sigma, F.col("n")).otherwise(0))
 
     return (
-        scored_lengths(time_gaps(trades))
+        scored_lengths(gap_lengths(rolled_seconds(trades)))
         .groupBy(*PRODUCT)
         .agg(
             F.first("intervals").alias("total_intervals"),
@@ -394,7 +405,7 @@ def duplicate_totals(trades: DataFrame) -> DataFrame:
 
 def id_gap_list(trades: DataFrame, n: int = 100) -> DataFrame:
     """The n longest runs of missing ids, with the newest time of the last id seen before each."""
-    top = id_gaps(trades).orderBy(*_desc("missing"), *_asc(*PRODUCT, "last_seen_id")).limit(n)
+    top = longest_id_gaps(trades, n)
     numbered = trades.withColumn("last_seen_id", numeric_id(F.col("trade_id")))
     # At most n rows are broadcast; the trades are read once more but not shuffled.
     return (
@@ -405,40 +416,11 @@ def id_gap_list(trades: DataFrame, n: int = 100) -> DataFrame:
     )
 
 
-def _gap_sums(words: DataFrame) -> DataFrame:
-    return (
-        id_gaps(words, words)
-        .groupBy(*PRODUCT)
-        .agg(
-            F.sum("missing").alias("missing"),
-            F.count(F.lit(1)).alias("occurrences"),
-            F.max("missing").alias("largest"),
-            F.count_if(F.col("missing") > 10).alias("over_10"),
-            F.count_if(F.col("missing") > 100).alias("over_100"),
-        )
-    )
-
-
-def _word_sums(words: DataFrame) -> DataFrame:
-    """Counts of the rows with a numeric id."""
-    return (
-        words.where(F.col("id_word").isNotNull())
-        .groupBy(*PRODUCT)
-        .agg(
-            F.sum("trades").alias("trades"),
-            F.sum(F.bit_count("id_bits")).cast("bigint").alias("ids"),
-            F.min("min_id").alias("min_id"),
-            F.max("max_id").alias("max_id"),
-        )
-    )
-
-
 def id_gap_summary(trades: DataFrame) -> DataFrame:
     """Missing ids per product; only products that miss some."""
-    words = written_words(trades)
     return (
-        _gap_sums(words)
-        .join(_word_sums(words), [*PRODUCT])
+        id_gap_sums(trades)
+        .where(F.col("missing") > 0)
         .select(
             *PRODUCT,
             F.col("trades").alias("total_trades"),
@@ -453,20 +435,15 @@ def id_gap_summary(trades: DataFrame) -> DataFrame:
 
 def id_gap_totals(trades: DataFrame) -> DataFrame:
     """Missing ids over all products. Without a gap the largest is 0, or -1 if ids only repeat."""
-    words = written_words(trades)
     # The lead of an id that has a successor is at least 0; that of a repeated row is -1.
-    no_gap = F.when(F.col("ids") > 1, 0).when(F.col("trades") > F.col("ids"), -1)
-    return (
-        _word_sums(words)
-        .join(_gap_sums(words), [*PRODUCT], "left")
-        .agg(
-            F.count(F.lit(1)).alias("products_analyzed"),
-            F.coalesce(F.sum("missing"), F.lit(0)).alias("total_missing_trades"),
-            F.coalesce(F.sum("occurrences"), F.lit(0)).alias("gap_occurrences"),
-            F.max(F.greatest(F.col("largest"), no_gap)).alias("largest_single_gap"),
-            F.coalesce(F.sum("over_10"), F.lit(0)).alias("gaps_over_10"),
-            F.coalesce(F.sum("over_100"), F.lit(0)).alias("gaps_over_100"),
-        )
+    largest = F.when(F.col("ids") > 1, F.col("largest")).when(F.col("trades") > F.col("ids"), -1)
+    return id_gap_sums(trades).agg(
+        F.count(F.lit(1)).alias("products_analyzed"),
+        F.coalesce(F.sum("missing"), F.lit(0)).alias("total_missing_trades"),
+        F.coalesce(F.sum("occurrences"), F.lit(0)).alias("gap_occurrences"),
+        F.max(largest).alias("largest_single_gap"),
+        F.coalesce(F.sum("over_10"), F.lit(0)).alias("gaps_over_10"),
+        F.coalesce(F.sum("over_100"), F.lit(0)).alias("gaps_over_100"),
     )
 
 
