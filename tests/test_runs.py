@@ -151,5 +151,9 @@ def test_stream_takes_only_new_files_and_new_keys(spark, tmp_path):
     put(raw_root, "b.jsonl", [line(2), line(3, "2001-01-01T00:00:00Z")])
     assert ids(stream(spark, raw_root, root)) == [("BTC-USD", str(i), 1.5) for i in (1, 2, 3)]
     assert ids(stream(spark, raw_root, root)) == [("BTC-USD", str(i), 1.5) for i in (1, 2, 3)]
+    # A correction waits until the table is settled.
+    put(raw_root, "c.jsonl", [line(1, "2024-01-03T00:00:00Z", price="7")])
+    assert ids(stream(spark, raw_root, root)) == [("BTC-USD", str(i), 1.5) for i in (1, 2, 3)]
+    assert ids(ingest.settled(spark, root)) == [("BTC-USD", "1", 7.0), ("BTC-USD", "2", 1.5), ("BTC-USD", "3", 1.5)]
     assert spark.read.parquet(f"{root}/rejected").count() == 1
     assert state.load_watermarks(spark, root).first().cursor == 3

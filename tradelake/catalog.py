@@ -307,7 +307,7 @@ def _stream_curated(spark: SparkSession, root: str) -> str:
 
 
 def stream_curate(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{_stream_curated(spark, root)}/trades").drop("batch_id", "ingest_ts")
+    return ingest.settled(spark, _stream_curated(spark, root)).drop("ingest_ts")
 
 
 def stream_watermarks(spark: SparkSession, root: str) -> DataFrame:

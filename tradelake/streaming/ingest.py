@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradelake.operators.calls import metric_rollup
-from tradelake.operators.dedupe import dedupe_newest, unseen
+from tradelake.operators.dedupe import dedupe_newest, with_known_time
 from tradelake.operators.mapping import COINBASE, Mapping
 from tradelake.operators.normalize import accepted, normalize, rejected
 from tradelake.schema import TRADE, TRADE_KEY
@@ -26,13 +27,15 @@ def stream_raw(spark: SparkSession, path: str, files_per_batch: int | None = Non
     return reader.json(path)
 
 
-def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+def _written(spark: SparkSession, path: str) -> DataFrame:
+    """What earlier batches wrote, with their batch id; empty before the first."""
+    schema = T.StructType([*TRADE.fields, T.StructField("batch_id", T.LongType())])
     try:
-        return spark.read.parquet(path).where(F.col("batch_id") != batch_id)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], TRADE)
+        return spark.createDataFrame([], schema)
 
 
 def curate(
@@ -41,20 +44,26 @@ def curate(
     """Write each micro-batch's new trades under its batch id, rejected records beside them.
 
     Keys already written by another batch are left out, so overlapping files add nothing, however late they
-    come. A batch repeated after a failure replaces its own folders. A newer row of a known key is settled
-    by the next full de-duplication.
+    come. A newer row of a known key goes to the corrections, which `settled` applies. A batch repeated after
+    a failure replaces its own folders.
     """
-    trades_path, rejects_path = f"{root}/trades", f"{root}/rejected"
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = normalize(batch, mapping, mode).persist()
+        known = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
         usable = dedupe_newest(accepted(rows)).persist()
-        fresh = unseen(usable, _other_batches(batch.sparkSession, trades_path, batch_id))
-        fresh.write.mode("overwrite").parquet(f"{trades_path}/batch_id={batch_id}")
-        rejected(rows).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        compared = with_known_time(usable, known.where(F.col("batch_id") != batch_id)).persist()
+        parts = {
+            "trades": compared.where(~F.col("known")).select(*TRADE.fieldNames()),
+            "corrections": compared.where(F.col("trade_ts") > F.col("known_ts")).select(*TRADE.fieldNames()),
+            "rejected": rejected(rows),
+        }
+        for name, part in parts.items():
+            part.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
         state.save_watermarks(state.batch_watermarks(usable), root, f"stream-{batch_id}")
-        usable.unpersist()
-        rows.unpersist()
+        for cached in (compared, usable, rows):
+            cached.unpersist()
 
     return (
         raw.writeStream.foreachBatch(write)
@@ -64,6 +73,12 @@ def curate(
     )
 
 
+def settled(spark: SparkSession, root: str) -> DataFrame:
+    """Streamed trades with the newest row of every key, corrections applied."""
+    both = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
+    return dedupe_newest(both.drop("batch_id"))
+
+
 def drop_repeats(trades: DataFrame, overlap: str = OVERLAP) -> DataFrame:
     """Streaming de-duplication with bounded state. Rows later than the watermark are dropped: use `curate`
     where old trades may still arrive."""
