@@ -123,6 +123,11 @@ def test_catalog_table_and_footprint(spark, tmp_path, trades):
     curated.write_trades(trades([("A", "3", "2024-01-03")]), path, mode="append")
     curated.refresh_table(spark, "trades_table")
     assert spark.table("trades_table").count() == 3
+    other = str(tmp_path / "u")
+    extra = trades([("A", "4", "2024-01-04")]).withColumn("venue", F.lit("x"))
+    extra.withColumn("trade_date", F.to_date("trade_ts")).write.partitionBy("trade_date").parquet(other)
+    both = curated.read_trades(spark, path, other, merge_schema=True)
+    assert both.count() == 4 and "venue" in both.columns
     (tmp_path / "t" / "notes.json").write_text("{}")
     listed = curated.storage_footprint(spark, path).first()
     on_disk = [p for p in (tmp_path / "t").rglob("*.parquet")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +32,13 @@ def write_trades(trades: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def read_trades(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """All trade files below a folder as one table; `merge_schema` also finds columns only some files have."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+def read_trades(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
+    """All trade files below the folders as one table.
+
+    Folders may differ in their columns; `merge_schema` also finds columns only some files of a folder have.
+    """
+    tables = [spark.read.option("mergeSchema", merge_schema).parquet(path) for path in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def version_path(root: str, version: int) -> str:
