@@ -70,3 +70,11 @@ def test_first_per_key_equals_a_sort(spark):
     for key in ("hot", "cold"):
         expected = [r[1] for r in sorted((r for r in rows if r[0] == key), key=lambda r: (-r[2], r[1]))[:20]]
         assert [r.i for r in sorted((r for r in got if r.k == key), key=lambda r: r["rank"])] == expected
+
+
+def test_keys_with_a_null_part_are_one_key(trades):
+    rows = [(None, "1", "2024-01-01", "buy", 1.0), (None, "1", "2024-01-02", "buy", 2.0)]
+    assert prices(dedupe.dedupe_newest(trades(rows))) == [2.0]
+    assert prices(dedupe.duplicate_members(trades(rows))) == [1.0, 2.0]
+    for limit in (1000, 0):
+        assert dedupe.unseen(trades(rows), trades(rows[:1]), limit).count() == 0

@@ -82,6 +82,17 @@ def test_replay_rebuilds_everything_once(spark, tmp_path):
     assert curated.read_current(spark, root).count() == 2
 
 
+def test_deduplicate_the_current_version(spark, tmp_path, trades):
+    root = str(tmp_path)
+    rows = [("A", "1", "2024-01-01", "buy", 1.0), ("A", "1", "2024-01-02", "buy", 2.0), ("A", "2", "2024-01-01", "buy", 3.0)]
+    curated.write_version(trades(rows), root)
+    outcome = runs.deduplicate(spark, root).first()
+    assert tuple(outcome) == ("success", 3, 2, 1, 2)
+    assert ids(curated.read_current(spark, root)) == [("A", "1", 2.0), ("A", "2", 3.0)]
+    # Nothing left to do: the version stays.
+    assert tuple(runs.deduplicate(spark, root).first()) == ("skipped", 2, 2, 0, 2)
+
+
 def test_nothing_usable(spark, tmp_path):
     raw_root, root = str(tmp_path / "raw"), str(tmp_path / "lake")
     put(raw_root, "a.jsonl", ["oops"])

@@ -9,6 +9,16 @@ from tradelake.schema import PRODUCT, TRADE_KEY
 from tradelake.session import BROADCAST_ROWS, broadcast_if_small
 
 
+# Keys meet also where a part of them is null, as they do in a grouping.
+def _same_key() -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in TRADE_KEY]
+
+
+def _other(df: DataFrame) -> DataFrame:
+    """`df` with its key columns renamed for a join on _same_key."""
+    return df.withColumnsRenamed({c: f"_{c}" for c in TRADE_KEY})
+
+
 def _order_of_rest(df: DataFrame, first: list[Column], names: list[str]) -> list[Column]:
     """`first`, then every other column, so that the winner does not depend on partitioning."""
     rest = [c for c in df.columns if c not in names]
@@ -41,7 +51,7 @@ def duplicate_members(trades: DataFrame) -> DataFrame:
     the adaptive skew join, where a window over the key would not be.
     """
     repeated = trades.groupBy(*TRADE_KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return trades.join(repeated.select(*TRADE_KEY), [*TRADE_KEY], "left_semi")
+    return trades.join(_other(repeated), _same_key(), "left_semi")
 
 
 def with_known_time(batch: DataFrame, target: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -54,11 +64,12 @@ def with_known_time(batch: DataFrame, target: DataFrame, broadcast_rows: int = B
     small = keys.limit(broadcast_rows + 1).count() <= broadcast_rows
     old = target.select(*TRADE_KEY, "trade_ts")
     if small:
-        old = old.join(F.broadcast(keys), [*TRADE_KEY], "left_semi")
+        old = old.join(F.broadcast(_other(keys)), _same_key(), "left_semi")
     old = old.groupBy(*TRADE_KEY).agg(F.max("trade_ts").alias("known_ts"), F.lit(True).alias("known"))
     # When small, `old` holds no more keys than were counted.
-    joined = batch.join(F.broadcast(old) if small else old, [*TRADE_KEY], "left")
-    return joined.withColumn("known", F.coalesce("known", F.lit(False)))
+    old = _other(old)
+    joined = batch.join(F.broadcast(old) if small else old, _same_key(), "left")
+    return joined.select(*batch.columns, "known_ts", F.coalesce("known", F.lit(False)).alias("known"))
 
 
 def unseen(batch: DataFrame, target: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

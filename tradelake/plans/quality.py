@@ -129,7 +129,7 @@ def full_validation(trades: DataFrame, as_of=None) -> DataFrame:
 
 
 def quality_gates(batch_checks: DataFrame, full_checks: DataFrame | None = None) -> DataFrame:
-    """One row (passed, reasons). Exactly 5% duplicates and exactly 4 hours still pass."""
+    """One row (passed, reasons, duplicates). Exactly 5% duplicates and exactly 4 hours still pass."""
     checks = batch_checks.withColumn("scope", F.lit("batch"))
     if full_checks is not None:
         checks = checks.unionByName(full_checks.withColumn("scope", F.lit("full")))
@@ -154,7 +154,11 @@ def quality_gates(batch_checks: DataFrame, full_checks: DataFrame | None = None)
             F.when(F.col("age") > MAX_AGE_HOURS, "freshness"),
         )
     )
-    return one.select((F.size(reasons) == 0).alias("passed"), reasons.alias("reasons"))
+    return one.select(
+        (F.size(reasons) == 0).alias("passed"),
+        reasons.alias("reasons"),
+        F.col("duplicates").cast("bigint").alias("duplicates"),
+    )
 
 
 def _per_product(trades: DataFrame, as_of) -> DataFrame:

@@ -11,6 +11,7 @@ from tradelake.operators.dedupe import dedupe_newest, with_known_time
 from tradelake.operators.mapping import COINBASE, Mapping
 from tradelake.operators.normalize import REASON, normalize, raw_record
 from tradelake.plans.quality import batch_validation, full_validation, quality_gates
+from tradelake.plans.reports import dedupe_precheck
 from tradelake.schema import CORRUPT, RAW_FIELDS, RUN, TRADE
 from tradelake.session import materialize
 from tradelake.sources import curated, state
@@ -80,6 +81,26 @@ def _merge(batch: DataFrame, root: str, rebuild: bool) -> tuple[int, int]:
     return counts.new + counts.newer, version
 
 
+def deduplicate(spark: SparkSession, root: str) -> DataFrame:
+    """Keep the newest row of every key of the current version, in a new version; returns the outcome as one row.
+
+    One aggregate looks first whether there is anything to do.
+    """
+    current = curated.read_current(spark, root)
+    before = dedupe_precheck(current).first()
+    version, after = curated.current_version(spark, root), before.total
+    if not before.skip_dedupe:
+        version = curated.write_version(dedupe_newest(current.select(*TRADE.fieldNames())), root)
+        after = curated.read_current(spark, root).count()
+    return spark.range(1).select(
+        F.lit("skipped" if before.skip_dedupe else "success").alias("status"),
+        F.lit(before.total).alias("records_before"),
+        F.lit(after).alias("records_after"),
+        F.lit(before.total - after).alias("duplicates_removed"),
+        F.lit(version).alias("version"),
+    )
+
+
 def transform(
     spark: SparkSession,
     raw_root: str,
@@ -113,14 +134,12 @@ def transform(
     if counts.usable:
         batch = usable.select([F.col(f.name) for f in TRADE.fields])
         written, version = _merge(dedupe_newest(batch), root, rebuild)
-        checks = materialize(batch_validation(batch), "checks")
         full = full_validation(curated.read_current(spark, root), as_of) if full_scan else None
-        verdict = quality_gates(checks, full).first()
-        duplicates = checks.where(F.col("check") == "duplicate_keys").first().value
+        verdict = quality_gates(batch_validation(batch), full).first()
         state.save_watermarks(state.batch_watermarks(batch), root, f"transform-{run_id}")
         result = {
             "status": "success",
-            "duplicates_found": int(duplicates),
+            "duplicates_found": verdict.duplicates,
             "passed": verdict.passed,
             "issues": verdict.reasons,
         }
