@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 MIN_LONG = -(2**63)
 
@@ -26,3 +30,44 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that their Python can import it."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        to = tempfile.mkdtemp(prefix="package-")  # of the driver, which serves the archive to the executors
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{to}/tradelake", "zip", root, "tradelake"))
+        _shipped.add(app)
+
+
+def add_columns(docs: DataFrame, compute: Callable, fields: str) -> tuple[DataFrame, str]:
+    """`docs` with one more struct column of `fields`, and that column's name, which no column of `docs` has.
+
+    `compute` gets the texts of a record batch (None where null) and returns one list per field. It runs on Arrow
+    batches and so never holds more than a batch; every other column passes through as it is.
+    """
+    ship_package(docs.sparkSession)
+    name = "_added"
+    while name in docs.columns:
+        name += "_"
+    added = StructType.fromDDL(fields)
+    schema = StructType([*docs.schema.fields, StructField(name, added)])
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = compute(batch.column("text").to_pylist())
+            arrays = [pa.array(v, type=to_arrow_type(f.dataType)) for v, f in zip(values, added.fields, strict=True)]
+            struct = pa.StructArray.from_arrays(arrays, names=added.fieldNames())
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema), name

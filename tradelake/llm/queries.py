@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradelake.llm import chat, sharding, winnowing
+import public_tokenizers
+from tradelake.llm import chat, langid, pieces, quality, sharding, winnowing
 from tradelake.llm.common import table
 from tradelake.session import scratch_path
 
@@ -26,6 +27,23 @@ def op3_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    found, name = pieces.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return found.select("doc_id", f"{name}.*")
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found, name = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), f"{name}.*")
+
+
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, name = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return found.select("doc_id", "source", f"{name}.*")
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row of `conversations` is one event that brings a whole message."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -39,7 +57,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op2_winnowing, op3_virtual_slots, op10_chat)}
+    return {q.__name__: q for q in (
+        op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op7_host_rules, op10_chat,
+    )}
 
 
 def all_oracles() -> dict[str, str]:
