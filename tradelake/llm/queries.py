@@ -8,13 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tradelake.llm import chat, langid, pieces, quality, sharding, winnowing
+from tradelake.llm import chat, langid, packing, pieces, quality, sharding, winnowing
 from tradelake.llm.common import table
 from tradelake.session import scratch_path
 
 SHARDS = 24
 
 
+def word_tokenizer() -> str:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.edit_and_compare(table(spark, sf_dir, "documents"))
 
@@ -58,7 +67,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op7_host_rules, op10_chat,
+        op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op7_host_rules, op10_chat,
     )}
 
 
