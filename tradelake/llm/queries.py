@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tradelake.llm import chat, langid, packing, pieces, quality, sharding, winnowing
+from tradelake.llm import chat, langid, neardup, packing, pieces, quality, sharding, winnowing
 from tradelake.llm.common import table
 from tradelake.session import scratch_path
 
@@ -48,6 +48,10 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), f"{name}.*")
 
 
+def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, name = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return found.select("doc_id", "source", f"{name}.*")
@@ -67,7 +71,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op7_host_rules, op10_chat,
+        op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op6_lsh_forest, op7_host_rules, op10_chat,
     )}
 
 
