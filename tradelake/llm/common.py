@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tradelake.session import materialize
+
 MIN_LONG = -(2**63)
 
 
@@ -71,3 +73,24 @@ def add_columns(docs: DataFrame, compute: Callable, fields: str) -> tuple[DataFr
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema), name
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """As `materialize`, and the shuffle files of the write are removed as soon as it has ended."""
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a table written by `stage` that nothing reads any more."""
+    for file in df.inputFiles()[:1]:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.rpartition("/")[0])
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
