@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tradelake.session import materialize
+from tradelake.session import materialize, scratch_path as scratch_name
 
 MIN_LONG = -(2**63)
 

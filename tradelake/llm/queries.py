@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tradelake.llm import chat, langid, neardup, packing, pieces, quality, repeats, sharding, winnowing
+from tradelake.llm import chat, extraction, langid, neardup, packing, pieces, quality, repeats, sharding, winnowing
 from tradelake.llm.common import table
 from tradelake.session import scratch_path
 
@@ -57,6 +57,12 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", f"{name}.*")
 
 
+def op8_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = extraction.extract(pages, extraction.fit(pages))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, name = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), replace=False)
     return found.select("doc_id", f"{name}.*")
@@ -76,7 +82,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
-        op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op6_lsh_forest, op7_host_rules, op9_repeats, op10_chat,
+        op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op6_lsh_forest, op7_host_rules, op8_boosted_dom, op9_repeats, op10_chat,
     )}
 
 
