@@ -1,7 +1,7 @@
 """Near duplicates by an LSH forest.
 
-A document is the set of its three-word shingles. Each of `TREES` trees orders the documents by its own min-hash
-labels; documents whose labels share a prefix of `DEPTH` form a region of that tree. Candidates are documents of one
+A document is the set of its shingles of `words` words. Each of `trees` trees orders the documents by its own min-hash
+labels; documents whose labels share a prefix of DEPTH form a region of that tree. Candidates are documents of one
 region:
 
 - a small region gives all its pairs;
@@ -10,55 +10,75 @@ region:
   signatures, block by block: there the forest descends from DEPTH labels to all of them.
 
 Every link is confirmed on the full sets. Two documents of likeness s share no region with probability
-(1 - s**DEPTH)**TREES, which is 8e-7 at 0.85. Documents with equal sets are one node from the start.
+(1 - s**DEPTH)**trees, which is 8e-7 for 24 trees at 0.85 and 6e-7 for 36 trees at 0.8. Documents with equal sets are one node from the start.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import ship_package, texts
+from tradelake.llm.common import drop, ship_package, stage, texts
 from tradelake.llm.hashing import mix, word_hashes
-from tradelake.session import materialize
 
-SHINGLE = 3
-PERCENT = 85
-TREES, DEPTH = 24, 5
-LABELS = TREES * (DEPTH + 1)
+DEPTH = 5
 # Members of a region that gives all its pairs, and rows of a block of a larger one.
 SMALL, BLOCK = 16, 512
-# Signatures that agree in fewer places than this are of sets below PERCENT but for one case in 20,000.
-LEAST_ALIKE = int(LABELS * PERCENT / 100 - 4 * (LABELS * 0.85 * 0.15) ** 0.5)
+
+
+@dataclass(frozen=True)
+class Likeness:
+    """Shingles of `words` words, linked if `percent` alike or more, sought with `trees` trees."""
+
+    words: int = 5
+    percent: int = 80
+    trees: int = 36
+
+    @property
+    def labels(self) -> int:
+        return self.trees * (DEPTH + 1)
+
+    @property
+    def least_alike(self) -> int:
+        """Signatures that agree in fewer places are of sets below `percent` but for one case in 30,000."""
+        s = self.percent / 100
+        return int(self.labels * s - 4 * (self.labels * s * (1 - s)) ** 0.5)
+
 
 _draw = np.random.default_rng(11)
-_XOR = _draw.integers(0, 2**32, LABELS, dtype=np.uint64).astype(np.uint32)
-_ODD = _draw.integers(0, 2**32, LABELS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_XOR = _draw.integers(0, 2**32, 1024, dtype=np.uint64).astype(np.uint32)
+_ODD = _draw.integers(0, 2**32, 1024, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted hashes of the distinct three-word shingles; the whole text is one if it has fewer words; none without words."""
+def shingles(text: str | None, size: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of `size` words; a text of fewer words is one; none without words."""
     words = word_hashes((text or "").encode().lower())  # bytes lower only A-Z
     n = len(words)
     if not n:
         return words
-    if n < SHINGLE:
+    if n < size:
         return mix(np.array([sum(int(w) * (i + 3) for i, w in enumerate(words)) + n & 2**64 - 1], np.uint64))
-    return np.unique(mix(words[:-2] * _A + mix(words[1:-1] * _B + mix(words[2:] * _C))))
+    rolled = mix(words[: n - size + 1] * _A)
+    for i in range(1, size):
+        rolled = mix(rolled * _B + words[i : n - size + 1 + i] * _C)
+    return np.unique(rolled)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """The smallest value of the set under each of LABELS permutations."""
-    low = np.full(LABELS, 2**32 - 1, np.uint32)
+def signature(found: np.ndarray, labels: int) -> np.ndarray:
+    """The smallest value of the set under each of `labels` permutations."""
+    low = np.full(labels, 2**32 - 1, np.uint32)
+    xor, odd = _XOR[:labels], _ODD[:labels]
     short = (found >> np.uint64(32)).astype(np.uint32)
     for i in range(0, len(short), 4096):
-        np.minimum(low, ((short[i : i + 4096, None] ^ _XOR) * _ODD).min(0), out=low)
+        np.minimum(low, ((short[i : i + 4096, None] ^ xor) * odd).min(0), out=low)
     return low
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
     """doc_id, n_shingles, set_hash (of the whole set; 128 bits), labels of each row."""
 
     def run(batches):
@@ -67,11 +87,11 @@ def sketches(docs: DataFrame) -> DataFrame:
         for b in batches:
             sizes, hashes, labels = [], [], []
             for text in b.column("text").to_pylist():
-                found = shingles(text)
+                found = shingles(text, like.words)
                 sizes.append(len(found))
                 both = (int(found.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(found * _A)))) if len(found) else (0, 0)
                 hashes.append(b"".join(x.to_bytes(8, "little") for x in both))
-                labels.append(signature(found).tobytes() if len(found) else b"")
+                labels.append(signature(found, like.labels).tobytes() if len(found) else b"")
             arrays = [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(labels, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "set_hash", "labels"])
 
@@ -80,32 +100,32 @@ def sketches(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, labels binary")
 
 
-def forest(nodes: DataFrame) -> DataFrame:
+def forest(nodes: DataFrame, like: Likeness) -> DataFrame:
     """doc_id, n_shingles, tree, region: the place of each document in each tree."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            flat = np.frombuffer(b"".join(b.column("labels").to_pylist()), np.uint32).reshape(-1, TREES, DEPTH + 1)
+            flat = np.frombuffer(b"".join(b.column("labels").to_pylist()), np.uint32).reshape(-1, like.trees, DEPTH + 1)
             region = np.zeros(flat.shape[:2], np.uint64)
             for d in range(DEPTH):
                 region = mix(region * _A + flat[:, :, d])
             n = len(flat)
-            out = [np.repeat(b.column(c).to_numpy(), TREES) for c in ("doc_id", "n_shingles")]
-            out += [np.tile(np.arange(TREES, dtype=np.int32), n), region.view(np.int64).ravel()]
+            out = [np.repeat(b.column(c).to_numpy(), like.trees) for c in ("doc_id", "n_shingles")]
+            out += [np.tile(np.arange(like.trees, dtype=np.int32), n), region.view(np.int64).ravel()]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["doc_id", "n_shingles", "tree", "region"])
 
     return nodes.select("doc_id", "n_shingles", "labels").mapInArrow(run, "doc_id long, n_shingles long, tree int, region long")
 
 
-def _of_like_size(a: str, b: str):
-    """Sets can only be PERCENT alike if their sizes are."""
+def _of_like_size(a: str, b: str, like: Likeness):
+    """Sets can only be `percent` alike if their sizes are."""
     x, y = F.col(a), F.col(b)
-    return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
+    return 100 * F.least(x, y) >= like.percent * F.greatest(x, y)
 
 
-def small_pairs(members: DataFrame) -> DataFrame:
+def small_pairs(members: DataFrame, like: Likeness) -> DataFrame:
     """All pairs of small regions; a region has SMALL members at most, so its pairs are bounded."""
     groups = members.where(F.col("m") <= SMALL).groupBy("tree", "region").agg(
         F.array_sort(F.collect_list(F.struct("doc_id", "n_shingles"))).alias("all")
@@ -113,23 +133,23 @@ def small_pairs(members: DataFrame) -> DataFrame:
     first = groups.select("all", F.posexplode("all").alias("i", "x"))
     both = first.select("x", F.explode(F.slice("all", F.col("i") + 2, F.lit(SMALL))).alias("y"))
     flat = both.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n_shingles").alias("na"), F.col("y.n_shingles").alias("nb"))
-    return flat.where(_of_like_size("na", "nb")).select("a", "b")
+    return flat.where(_of_like_size("na", "nb", like)).select("a", "b")
 
 
-def leader_pairs(members: DataFrame) -> DataFrame:
+def leader_pairs(members: DataFrame, like: Likeness) -> DataFrame:
     """Every member of a large region with the region's leader: the member whose regions are largest in sum."""
     weights = members.groupBy("doc_id").agg(F.sum("m").alias("weight"))
     large = members.where(F.col("m") > SMALL).join(weights, "doc_id")
     best = F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"), F.col("n_shingles").alias("n"))).alias("best")
     leaders = large.groupBy("tree", "region").agg(best)
     led = large.join(leaders, ["tree", "region"]).withColumn("leader", -F.col("best.minus"))
-    led = led.withColumn("n_leader", F.col("best.n")).where(_of_like_size("n_shingles", "n_leader") & (F.col("doc_id") != F.col("leader")))
+    led = led.withColumn("n_leader", F.col("best.n")).where(_of_like_size("n_shingles", "n_leader", like) & (F.col("doc_id") != F.col("leader")))
     # The leader is `b`: rows of one leader lie together when links are confirmed.
     return led.select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
 
 
-def confirmed(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """The pairs whose full sets are PERCENT alike. `bodies` has doc_id and text of every document in a pair."""
+def confirmed(pairs: DataFrame, bodies: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs whose full sets are `percent` alike. `bodies` has doc_id and text of every document in a pair."""
 
     def run(batches):
         import pyarrow as pa
@@ -139,10 +159,10 @@ def confirmed(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
             hits = []
             for b, x, y in zip(*[batch.column(c).to_pylist() for c in ("b", "text_a", "text_b")], strict=True):
                 if b != last or kept is None:
-                    last, kept = b, shingles(y)
-                one = shingles(x)
+                    last, kept = b, shingles(y, like.words)
+                one = shingles(x, like.words)
                 both = len(np.intersect1d(one, kept, assume_unique=True))
-                hits.append(both > 0 and 100 * both >= PERCENT * (len(one) + len(kept) - both))
+                hits.append(both > 0 and 100 * both >= like.percent * (len(one) + len(kept) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(hits, pa.bool_()))
 
     one = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -157,8 +177,8 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours and then the label of that label, so that chains shorten
     by half. Every round's labels are written to the shared folder.
     """
-    both = materialize(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = materialize(
+    both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    labels = stage(
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "labels"
     )
     while True:
@@ -168,13 +188,13 @@ def components(edges: DataFrame) -> DataFrame:
         jumped = lower.join(of, "lower").select(
             "node", F.least("lower", "jump").alias("new"), (F.least("lower", "jump") != F.col("component")).alias("moved")
         )
-        step = materialize(jumped, "labels")
+        step = stage(jumped, "labels")
         labels = step.select("node", F.col("new").alias("component"))
         if step.where("moved").isEmpty():
             return labels
 
 
-def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     """Pairs of large regions that are in different components and whose whole signatures are alike.
 
     Of a region's components the largest is compared with all others, these also among themselves. Both sides are
@@ -188,7 +208,7 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> D
         F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("m"), F.count(F.lit(1)).alias("parts")
     )
     main = main.where("parts > 1").select("tree", "region", F.col("main.component").alias("main"), "m", (F.col("m") - F.col("main.count")).alias("rest"))
-    open_regions = materialize(placed.join(main, ["tree", "region"]).join(nodes.select("doc_id", "labels"), "doc_id"), "open-regions")
+    open_regions = stage(placed.join(main, ["tree", "region"]).join(nodes.select("doc_id", "labels"), "doc_id"), "open-regions")
     cut = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     mine = lambda n, seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), cut(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), cut(n) - 1))
@@ -201,12 +221,12 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> D
 
         side = table.column("asks").to_numpy()
         ids, n, part = (table.column(c).to_numpy() for c in ("doc_id", "n_shingles", "component"))
-        sign = np.frombuffer(b"".join(table.column("labels").to_pylist()), np.uint32).reshape(-1, LABELS)
+        sign = np.frombuffer(b"".join(table.column("labels").to_pylist()), np.uint32).reshape(-1, like.labels)
         q, r = np.flatnonzero(side), np.flatnonzero(~side)
         out = []
         for x in q:
-            fit = r[(part[r] != part[x]) & (100 * np.minimum(n[r], n[x]) >= PERCENT * np.maximum(n[r], n[x]))]
-            alike = fit[(sign[fit] == sign[x]).sum(1) >= LEAST_ALIKE]
+            fit = r[(part[r] != part[x]) & (100 * np.minimum(n[r], n[x]) >= like.percent * np.maximum(n[r], n[x]))]
+            alike = fit[(sign[fit] == sign[x]).sum(1) >= like.least_alike]
             out += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in alike]
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -214,29 +234,30 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> D
     return asks.union(rest).groupBy("tree", "region", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id, kept of each row.
 
     class_id is the smallest id with an equal set, component_id the smallest id reachable by links. A null or empty
     text, or one without words, has an empty set and is linked with nothing; so is a row with a null id, which is
     kept. Rows that share an id are one document. Equal texts have equal sets and are linked.
     """
-    found = materialize(sketches(docs), "sketches")
+    found = stage(sketches(docs, like), "sketches")
     full = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialize(full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")), "classes")
+    classes = stage(full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = classes.select(F.col("class_id").alias("doc_id"), "set_hash")
-    nodes = materialize(full.join(reps, ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"]), "nodes")
-    placed = materialize(forest(nodes), "forest")
+    nodes = stage(full.join(reps, ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"]), "nodes")
+    placed = stage(forest(nodes, like), "forest")
     regions = placed.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = materialize(placed.join(regions, ["tree", "region"]), "members")
-    first = materialize(small_pairs(members).union(leader_pairs(members)).distinct(), "pairs")
+    members = stage(placed.join(regions, ["tree", "region"]), "members")
+    drop(placed)
+    first = stage(small_pairs(members, like).union(leader_pairs(members, like)).distinct(), "pairs")
     near = members.select("doc_id").distinct()
-    bodies = materialize(texts(docs).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
-    links = materialize(confirmed(first, bodies), "links")
+    bodies = stage(texts(docs).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
+    links = stage(confirmed(first, bodies, like), "links")
     labels = components(links)
-    second = materialize(leftover_pairs(members, labels, nodes).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
+    second = stage(leftover_pairs(members, labels, nodes, like).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
-        links = links.union(materialize(confirmed(second, bodies), "links"))
+        links = links.union(stage(confirmed(second, bodies, like), "links"))
         labels = components(links)
     rows = found.select("doc_id", "n_shingles", "set_hash")
     known = rows.join(classes.select("set_hash", "n_shingles", "class_id"), ["set_hash", "n_shingles"], "left")

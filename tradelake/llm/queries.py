@@ -49,7 +49,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Likeness(words=3, percent=85, trees=24))
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
