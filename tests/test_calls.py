@@ -43,16 +43,15 @@ def test_position_with_a_null_key(spark):
     assert got == [("None", 1, 1), ("None", 2, 2), ("a", 1, 1)]
 
 
-@pytest.mark.parametrize("chunk", [150, 50_000])
-def test_rolling_error_rate(log, monkeypatch, chunk):
-    monkeypatch.setattr(calls, "_CHUNK", chunk)
+@pytest.mark.parametrize(("chunk", "size"), [(150, 100), (50_000, 100), (40, 130)])
+def test_rolling_error_rate(log, chunk, size):
     df, rows = log
     expected = {}
     for group in by_source(rows).values():
         for n, row in enumerate(group):
-            window = group[max(0, n - 99): n + 1]
+            window = group[max(0, n - size + 1): n + 1]
             expected[row[1]] = sum(not r[3] for r in window) / len(window)
-    got = {r.id: r.error_rate for r in calls.rolling_error_rate(df).collect()}
+    got = {r.id: r.error_rate for r in calls.rolling_error_rate(df, size, chunk).collect()}
     assert got.keys() == expected.keys()
     assert all(abs(got[k] - expected[k]) < 1e-12 for k in got)
 
@@ -99,8 +98,11 @@ def test_latency_ema_seeds_and_long_histories(spark):
     rows = [("z", i, BASE, True, 0.0) for i in range(3)]
     rows += [("a", 0, BASE, True, 0.0), ("a", 1, BASE, True, 100.0), ("a", 2, BASE, True, 200.0)]
     rows += [("long", i, BASE, True, float(i % 7 + 1)) for i in range(3000)]
+    apart = [100.0, *[0.0] * 1000, 50.0]
+    rows += [("apart", i, BASE, True, x) for i, x in enumerate(apart)]
     df = spark.createDataFrame(rows, "source string, id long, ts timestamp, ok boolean, latency_ms double")
     got = {r.source: r.avg_response_ms for r in calls.latency_ema(df).collect()}
+    assert abs(got["apart"] - ema(apart)) < 1e-9 and abs(got["apart"] - 10.0) < 1e-9
     assert got["z"] == 0.0 and abs(got["a"] - 120.0) < 1e-9
     assert abs(got["long"] - ema([float(i % 7 + 1) for i in range(3000)])) < 1e-9
 

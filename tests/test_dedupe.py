@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tradelake.operators import dedupe
 from tradelake.operators.topk import first_per_key
+from tradelake.plans.reports import dedupe_precheck
 
 ROWS = [
     ("A", "1", "2024-01-01 00:00:00", "buy", 1.0, 1.0, "2024-01-01 00:00:09"),
@@ -38,13 +39,12 @@ def test_dedupe_cuts_copies_before_the_shuffle(trades):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_unseen_by_broadcast_and_by_shuffle(trades):
+def test_unseen(trades):
     target = trades([("A", "1", "2024-01-01"), ("A", "1", "2024-01-02"), ("Z", "9", "2024-01-01")])
-    for limit in (1000, 1):
-        assert prices(dedupe.unseen(trades(ROWS), target, limit)) == [4.0, 5.0]
-        compared = dedupe.with_known_time(trades(ROWS), target, limit)
-        assert compared.count() == len(ROWS)
-        assert {str(r.known_ts) for r in compared.where("known").collect()} == {"2024-01-02 00:00:00"}
+    assert prices(dedupe.unseen(trades(ROWS), target)) == [4.0, 5.0]
+    compared = dedupe.with_known_time(trades(ROWS), target)
+    assert compared.count() == len(ROWS)
+    assert {str(r.known_ts) for r in compared.where("known").collect()} == {"2024-01-02 00:00:00"}
 
 
 def test_restrict_to_products(trades):
@@ -72,9 +72,11 @@ def test_first_per_key_equals_a_sort(spark):
         assert [r.i for r in sorted((r for r in got if r.k == key), key=lambda r: r["rank"])] == expected
 
 
-def test_keys_with_a_null_part_are_one_key(trades):
-    rows = [(None, "1", "2024-01-01", "buy", 1.0), (None, "1", "2024-01-02", "buy", 2.0)]
-    assert prices(dedupe.dedupe_newest(trades(rows))) == [2.0]
-    assert prices(dedupe.duplicate_members(trades(rows))) == [1.0, 2.0]
-    for limit in (1000, 0):
-        assert dedupe.unseen(trades(rows), trades(rows[:1]), limit).count() == 0
+def test_rows_without_a_full_key_repeat_no_other_row(trades):
+    rows = [(None, "1", "2024-01-01", "buy", 1.0), (None, "1", "2024-01-02", "buy", 2.0), ("A", None, "2024-01-01", "buy", 3.0)]
+    rows += [("A", "", "2024-01-01", "buy", 4.0), ("A", "", "2024-01-01", "buy", 5.0), ("A", "7", "2024-01-01", "buy", 6.0)]
+    assert prices(dedupe.dedupe_newest(trades(rows + rows[5:]))) == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    assert prices(dedupe.unseen(trades(rows), trades(rows))) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    check = dedupe_precheck(trades(rows)).first()
+    assert (check.total, check.unique_count, check.incomplete_keys, check.skip_dedupe) == (6, 1, 5, True)
+    assert not dedupe_precheck(trades(rows + rows[5:])).first().skip_dedupe

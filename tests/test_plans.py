@@ -81,9 +81,21 @@ def test_latest_rows_are_cut_before_every_shuffle(table):
         F.col("symbol").alias("source"), F.col("trade_id").cast("long").alias("id"), F.col("trade_ts").alias("ts"),
         F.lit(True).alias("ok"), F.col("price").alias("latency_ms"),
     )
-    assert plan(calls.latency_ema(log)).count("WindowGroupLimit") == 4
+    assert plan(calls.source_health(log)).count("WindowGroupLimit") == 4
 
 
 def test_product_totals_shuffle_no_ids(table):
     text = plan(reports.dq_freshness(table, NOW))
     assert "trade_id" not in re.search(r"ReadSchema: (\S+)", text).group(1)
+
+
+def test_reports_of_the_last_days_read_only_their_dates(spark, table, tmp_path):
+    from tradelake.plans import reports
+    from tradelake.sources import curated
+
+    curated.write_trades(table, str(tmp_path))
+    dated = curated.read_trades(spark, str(tmp_path))
+    for report in (reports.hourly_bars, reports.low_activity_periods, reports.daily_summary, reports.ingest_latency, reports.records_since_yesterday):
+        text = report(dated, as_of="2024-01-31 00:00:00")._jdf.queryExecution().executedPlan().toString()
+        filters = [part.split("]")[0] for part in text.split("PartitionFilters: [")[1:]]
+        assert filters and all("trade_date" in f for f in filters), text

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.functions import scalars
 from tradelake.operators import calls, dedupe, gaps, logs, normalize
+from tradelake.operators.mapping import Mapping
 from tradelake.plans import quality, reports, runs
 from tradelake.schema import PRODUCT, TRADE_KEY
 from tradelake.session import materialize, scratch_path
@@ -139,7 +142,8 @@ def backlog(spark: SparkSession, root: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("start_id"), F.max(F.col("trade_id").cast("bigint")).alias("target_id")
     )
     even = F.substring("symbol", 4, 1).cast("int") % 2 == 0
-    return state.backlog(state.batch_watermarks(_before(trades.where(even))), targets)
+    marks = state.batch_watermarks(_before(trades)).where(even)  # odd products have no watermark yet
+    return state.backlog(marks, targets)
 
 
 def unprocessed_files(spark: SparkSession, root: str) -> DataFrame:
@@ -282,9 +286,170 @@ def curated_version(spark: SparkSession, root: str) -> DataFrame:
 
 
 def storage_footprint(spark: SparkSession, root: str) -> DataFrame:
+    """What SQL can know of a written table's files: that every date has some, and no date more than its rows."""
     folder = scratch_path(spark, "footprint")
     curated.write_trades(views.trades(spark, root), folder)
-    return curated.storage_footprint(spark, folder)
+    whole = curated.storage_footprint(spark, folder)
+    rows = curated.read_trades(spark, folder).groupBy("trade_date").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.agg(F.count(F.lit(1)).alias("dates"), F.sum("rows").alias("rows")).select(
+        "dates",
+        "rows",
+        ((whole.select("files").scalar() >= F.col("dates")) & (whole.select("files").scalar() <= F.col("rows"))).alias("files_fit"),
+        (whole.select("bytes").scalar() > 0).alias("has_bytes"),
+    )
+
+
+def _curated(fn, **options) -> Query:
+    """A report over the trades as a table laid out by date."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        folder = scratch_path(spark, "dated")
+        curated.write_trades(views.trades(spark, root), folder)
+        return fn(curated.read_trades(spark, folder), as_of=views.AS_OF, **options)
+
+    return run
+
+
+def liveness_curated(spark: SparkSession, root: str) -> DataFrame:
+    folder = scratch_path(spark, "dated")
+    curated.write_trades(views.trades(spark, root), folder)
+    trades = curated.read_trades(spark, folder)
+    marks = trades.groupBy(*PRODUCT).agg(F.max("trade_ts").alias("updated_at"))
+    return quality.liveness(trades.select(*PRODUCT).distinct(), trades, marks, views.AS_OF)
+
+
+def catalog_table(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per date of a table registered in the catalog."""
+    folder, name = scratch_path(spark, "table"), f"trades_{uuid.uuid4().hex}"
+    curated.write_trades(views.trades(spark, root), folder)
+    curated.register_table(spark, name, folder)
+    return spark.table(name).groupBy("trade_date").agg(F.count(F.lit(1)).alias("trades"))
+
+
+def rebuilt(spark: SparkSession, root: str) -> DataFrame:
+    """An incremental run over half of the raw files, then a rebuild from all of them."""
+    raw_root, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    lines = views.raw_json(spark, root)
+    lines.where("event_id % 2 = 0").select("value").write.text(f"{raw_root}/first")
+    runs.transform(spark, raw_root, lake, run_id="first", as_of=views.AS_OF, glob="*.txt")
+    lines.where("event_id % 2 = 1").select("value").write.text(f"{raw_root}/second")
+    runs.transform(spark, raw_root, lake, rebuild=True, run_id="second", as_of=views.AS_OF, glob="*.txt")
+    return curated.read_current(spark, lake).drop("trade_date", "ingest_ts")
+
+
+def raw_files_again(spark: SparkSession, root: str) -> DataFrame:
+    """A run's raw files written twice: the second time replaces the first."""
+    folder = scratch_path(spark, "raw")
+    records = normalize.raw_record(_payloads(views.trades(spark, root)), F.col("symbol"), F.col("ingest_ts"))
+    for _ in range(2):
+        raw.write_raw(records, folder, "run")
+    return normalize.accepted(normalize.normalize(raw.read_raw(spark, folder)))
+
+
+def product_list_file(spark: SparkSession, root: str) -> DataFrame:
+    """Trades per product of a product list kept in a file."""
+    trades, path = views.trades(spark, root), scratch_path(spark, "products")
+    state.write_products(trades.where(F.col("trade_ts") >= _at("2024-01-30 00:00:00")).select(*PRODUCT).distinct(), path)
+    kept = dedupe.restrict_to_products(trades, state.read_products(spark, path))
+    return kept.groupBy(*PRODUCT).agg(F.count(F.lit(1)).alias("trades"))
+
+
+def normalized_compat(spark: SparkSession, root: str) -> DataFrame:
+    """Records without price or side, which the lenient mode fills in."""
+    trades = views.trades(spark, root, keep=("event_id",))
+    gone = lambda n, c: F.when(F.col("event_id") % n != 0, F.col(c).cast("string"))
+    fields = {"id": F.col("trade_id"), "product_id": F.col("symbol"), "side": gone(3, "side"), "price": gone(5, "price"), "size": F.col("quantity").cast("string")}
+    time = F.concat(F.date_format("trade_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time")
+    lines = trades.select(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()], time)).alias("value"))
+    return normalize.accepted(normalize.normalize(normalize.parse_lines(lines), mode="compat")).drop("ingest_ts")
+
+
+_OTHER = Mapping(
+    fields={"symbol": ["pair"], "trade_id": ["tid"], "side": ["dir"], "price": ["px"], "quantity": ["vol"], "trade_ts": ["at"]},
+    constants={"exchange": "elsewhere"},
+    casts={"side": "lower", "price": "double", "quantity": "double", "trade_ts": "timestamp"},
+    required=("trade_id", "symbol", "side", "price", "quantity", "trade_ts"),
+)
+
+
+def _other_lines(spark: SparkSession, root: str) -> DataFrame:
+    names = {"pair": "symbol", "tid": "trade_id", "dir": "side", "px": "price", "vol": "quantity"}
+    time = F.concat(F.date_format("trade_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("at")
+    cells = [F.col(c).cast("string").alias(n) for n, c in names.items()]
+    return views.trades(spark, root).select(F.to_json(F.struct(*cells, time)).alias("value"))
+
+
+def normalized_other_source(spark: SparkSession, root: str) -> DataFrame:
+    """A source with field names of its own."""
+    lines = normalize.parse_lines(_other_lines(spark, root), mapping=_OTHER)
+    return normalize.accepted(normalize.normalize(lines, _OTHER)).drop("ingest_ts")
+
+
+def stream_other_source(spark: SparkSession, root: str) -> DataFrame:
+    raw_root, lake = scratch_path(spark, "raw"), scratch_path(spark, "stream")
+    _other_lines(spark, root).write.text(raw_root)
+    rows = ingest.stream_raw(spark, raw_root, glob="*.txt", mapping=_OTHER)
+    ingest.curate(rows, lake, f"{lake}/checkpoint", _OTHER).awaitTermination()
+    return ingest.settled(spark, lake).drop("ingest_ts")
+
+
+def mixed_folders(spark: SparkSession, root: str) -> DataFrame:
+    """Two trade folders, of which one lacks a column."""
+    old, new = scratch_path(spark, "old"), scratch_path(spark, "new")
+    trades = views.trades(spark, root)
+    _before(trades).drop("ingest_ts").write.parquet(old)
+    curated.write_trades(_since(trades), new)
+    return curated.read_trades(spark, old, new).drop("trade_date")
+
+
+def failed_calls(spark: SparkSession, root: str) -> DataFrame:
+    """Error texts cut to 500 characters, by length."""
+    text = F.repeat(F.col("event_type"), (F.col("event_id") % 200 + 1).cast("int"))
+    events = spark.read.parquet(f"{root}/events.parquet").where("event_type = 'error'")
+    return events.select("event_id", F.length(scalars.shorten_error(text)).alias("length"))
+
+
+def dedupe_null_keys(spark: SparkSession, root: str) -> DataFrame:
+    """Some trades lose their id: they all stay, the others keep their newest row."""
+    lost = F.col("event_id") % 11 == 0
+    trades = views.trades(spark, root, keep=("event_id",))
+    trades = trades.withColumn("trade_id", F.when(~lost, F.col("trade_id"))).drop("event_id")
+    folder = scratch_path(spark, "lake")
+    curated.write_version(trades, folder)
+    for _ in range(2):  # the second time there is nothing to do
+        runs.deduplicate(spark, folder)
+    version = curated.current_version(spark, folder)
+    return curated.read_current(spark, folder).drop("trade_date").withColumn("version", F.lit(version))
+
+
+def replay_after_rebuild(spark: SparkSession, root: str) -> DataFrame:
+    """A batch with many repeats leads to one rebuild; asked again, there is nothing to do."""
+    raw_root, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    lines = views.raw_json(spark, root).select("value")
+    lines.union(lines).write.text(f"{raw_root}/first")
+    runs.transform(spark, raw_root, lake, run_id="first", as_of=views.AS_OF, glob="*.txt")
+    asked = [runs.replay_if_needed(spark, raw_root, lake, as_of=views.AS_OF, glob="*.txt").first().reason for _ in range(3)]
+    kept = curated.read_current(spark, lake).agg(F.count(F.lit(1)).alias("trades"))
+    return kept.select("trades", F.lit(curated.current_version(spark, lake)).alias("version"), F.lit(",".join(asked)).alias("reasons"))
+
+
+def _one_source(spark: SparkSession, root: str) -> DataFrame:
+    """All calls as those of one source; latency is zero but for the first and the last call."""
+    calls = views.call_log(spark, root)
+    ends = calls.where("ok").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    zero = (F.col("id") != ends.select("a").scalar()) & (F.col("id") != ends.select("b").scalar())
+    return calls.withColumns({"source": F.lit("all"), "latency_ms": F.when(zero, 0.0).otherwise(F.col("latency_ms"))})
+
+
+def latency_ema_zeros(spark: SparkSession, root: str) -> DataFrame:
+    ema = calls.latency_ema(_one_source(spark, root))
+    return ema.withColumn("avg_response_ms", F.round("avg_response_ms", 6)).withColumn("avg_response_s", F.round("avg_response_s", 8))
+
+
+def rolling_error_rate_wide(spark: SparkSession, root: str) -> DataFrame:
+    """A window of more calls than a chunk was asked to hold, over one source."""
+    rates = calls.rolling_error_rate(_one_source(spark, root), size=250, chunk=100)
+    return rates.withColumn("error_rate", F.round("error_rate", 6))
 
 
 def incremental_transform(spark: SparkSession, root: str) -> DataFrame:
@@ -323,12 +488,13 @@ def stream_drop_repeats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_rollup(spark: SparkSession, root: str) -> DataFrame:
-    """Five-minute roll-ups of the call log as a stream; periods that may still change are not emitted."""
+    """Five-minute roll-ups of the call log as a stream, with the last periods from the closing batch run."""
     out = scratch_path(spark, "rollup")
     points = calls.call_points(views.calls_of(views.event_stream(spark, root)))
     rollup = ingest.rollup(points.withColumn("source", F.lit("all")))
     ingest.write_available(rollup, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return _round_points(spark.read.parquet(f"{out}/rows")).drop("source")
+    batch = calls.call_points(views.call_log(spark, root)).withColumn("source", F.lit("all"))
+    return _round_points(ingest.closed_rollup(spark.read.parquet(f"{out}/rows"), batch, ("metric", "source"))).drop("source")
 
 
 # --- the list -------------------------------------------------------------------------------------------
@@ -374,6 +540,8 @@ _QUERIES: dict[str, Query] = {
     "dedupe_first": _report(dedupe.dedupe_first),
     "duplicate_members": _report(dedupe.duplicate_members),
     "normalized_trades": normalized_trades,
+    "normalized_compat": normalized_compat,
+    "normalized_other_source": normalized_other_source,
     "rejected_trades": rejected_trades,
     "raw_records": raw_records,
     "rule_violations": rule_violations,
@@ -387,6 +555,7 @@ _QUERIES: dict[str, Query] = {
     # Quality.
     "batch_validation": batch_validation,
     "full_validation": _report(quality.full_validation, dated=True),
+    "validation_offenders": _report(quality.validation_offenders, dated=True),
     "quality_gates": quality_gates,
     "health_score": _report(quality.health_score, dated=True),
     "quality_metrics": _report(quality.quality_metrics, dated=True),
@@ -401,7 +570,10 @@ _QUERIES: dict[str, Query] = {
     "rolling_error_rate": rolling_error_rate,
     "source_health": source_health,
     "failure_runs": _calls(calls.failure_runs, at_least=3),
+    "rolling_error_rate_wide": rolling_error_rate_wide,
     "latency_ema": latency_ema,
+    "latency_ema_zeros": latency_ema_zeros,
+    "failed_calls": failed_calls,
     "metric_rollup": metric_rollup,
     "metric_alarms": metric_alarms,
     "log_counts": lambda spark, root: logs.log_counts(views.log_lines(spark, root)),
@@ -421,6 +593,21 @@ _QUERIES: dict[str, Query] = {
     "stream_watermarks": stream_watermarks,
     "stream_drop_repeats": stream_drop_repeats,
     "stream_rollup": stream_rollup,
+    "stream_other_source": stream_other_source,
+    "catalog_table": catalog_table,
+    "rebuilt": rebuilt,
+    "raw_files_again": raw_files_again,
+    "product_list_file": product_list_file,
+    "mixed_folders": mixed_folders,
+    "replay_after_rebuild": replay_after_rebuild,
+    "dedupe_null_keys": dedupe_null_keys,
+    # Reports over a table laid out by date, of which only the asked dates are read.
+    "hourly_bars_curated": _curated(reports.hourly_bars),
+    "low_activity_periods_curated": _curated(reports.low_activity_periods, grain="day"),
+    "daily_summary_curated": _curated(reports.daily_summary),
+    "ingest_latency_curated": _curated(reports.ingest_latency),
+    "records_since_yesterday_curated": _curated(reports.records_since_yesterday),
+    "liveness_curated": liveness_curated,
 }
 
 

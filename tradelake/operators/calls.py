@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from tradelake.operators.topk import first_per_key
 
 ROLLING_CALLS = 100
 EMA_ALPHA = 0.2
-# 0.8 ** 999 is below 1e-96: older calls cannot change a double.
-_EMA_CALLS = 999
-_CHUNK = 50_000
+CHUNK = 50_000
+# Natural logarithm of the smallest positive double, rounded up: weights below it are zero.
+_SMALLEST = 746.0
 
 
 def _failed() -> Column:
@@ -25,16 +27,17 @@ def _newest(calls: DataFrame, n: int) -> DataFrame:
     return first_per_key(calls, ["source"], [F.col("ts").desc(), F.col("id").desc()], n, "age")
 
 
-def rolling_error_rate(calls: DataFrame, size: int = ROLLING_CALLS) -> DataFrame:
+def rolling_error_rate(calls: DataFrame, size: int = ROLLING_CALLS, chunk: int = CHUNK) -> DataFrame:
     """Share of failures among each call and the `size` - 1 calls of its source before it.
 
-    Rows are numbered per source and cut into chunks; each chunk also gets the last rows of the one before
-    it, so no window holds more than a chunk, however many calls a source has.
+    Rows are numbered per source and cut into chunks, which hold `size` rows at least; each chunk also gets the
+    last rows of the one before it, so no task holds more than two chunks, however many calls a source has.
     """
+    length = max(chunk, size)
     numbered = with_position(calls, ["source"], ["ts", "id"])
     index = F.col("position") - 1
-    home = F.floor(index / _CHUNK)
-    chunks = F.when(index % _CHUNK >= _CHUNK - (size - 1), F.array(home, home + 1)).otherwise(F.array(home))
+    home = F.floor(index / length)
+    chunks = F.when(index % length >= length - (size - 1), F.array(home, home + 1)).otherwise(F.array(home))
     recent = Window.partitionBy("source", "chunk").orderBy("position").rowsBetween(1 - size, 0)
     return (
         numbered.withColumn("home", home)
@@ -92,26 +95,21 @@ def failure_runs(calls: DataFrame, at_least: int = 5) -> DataFrame:
 def latency_ema(calls: DataFrame, alpha: float = EMA_ALPHA) -> DataFrame:
     """Exponential moving average of the latency of each source's successful calls, as of its last one.
 
-    The first value other than zero seeds the average. Written out, the average is a sum of latencies with
-    weights that fall by 1 - alpha per call; only weights a double can still add are summed, so each source
-    needs its newest calls only.
+    The first value other than zero seeds the average, wherever it lies. Written out, the average is a sum of
+    latencies with weights that fall by 1 - alpha per call. Calls so old that their weight is zero in a double
+    add nothing, so the newest calls of a source are enough, and their number follows from `alpha`.
     """
-    if not 0.05 <= alpha <= 1:
-        raise ValueError("alpha must be between 0.05 and 1")
-    recent = _newest(calls.where("ok"), _EMA_CALLS)
-    source = Window.partitionBy("source")
-    seeded = recent.select(
-        "source",
-        "latency_ms",
-        (F.col("age") - 1).alias("steps"),
-        F.max(F.when(F.col("latency_ms") != 0, F.col("age") - 1)).over(source).alias("seed"),
-    )
-    decay = F.pow(F.lit(1 - alpha), F.col("steps"))
-    weight = F.when(F.col("steps") == F.col("seed"), decay).otherwise(decay * alpha)
-    averages = seeded.groupBy("source").agg(
-        F.sum(F.col("latency_ms") * weight).alias("avg_response_ms"),
-        F.count(F.lit(1)).alias("calls_used"),
-    )
+    if not 0 < alpha <= 1:
+        raise ValueError("alpha must be above 0 and at most 1")
+    done = calls.where("ok")
+    steps_left = 1 if alpha == 1 else math.ceil(_SMALLEST / -math.log1p(-alpha)) + 1
+    first = done.where("latency_ms <> 0").groupBy("source").agg(F.min(F.struct("ts", "id")).alias("seed"))
+    aged = _newest(done, steps_left).join(first, "source", "left")
+    steps = F.col("age") - 1
+    decay = F.pow(F.lit(1 - alpha), steps)
+    at = F.struct("ts", "id")
+    weight = F.when(at == F.col("seed"), decay).otherwise(decay * alpha)
+    averages = aged.groupBy("source").agg(F.sum(F.col("latency_ms") * weight).alias("avg_response_ms"))
     return averages.withColumn("avg_response_s", F.col("avg_response_ms") / 1000)
 
 

@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelake.schema import PRODUCT, TRADE_KEY
-from tradelake.session import BROADCAST_ROWS, broadcast_if_small
+
+
+def full_key() -> Column:
+    """Whether a row has all parts of its key; rows that lack one, or have an empty id, repeat no other row."""
+    return F.col("exchange").isNotNull() & F.col("symbol").isNotNull() & (F.coalesce("trade_id", F.lit("")) != "")
 
 
 # Keys meet also where a part of them is null, as they do in a grouping.
@@ -27,9 +31,10 @@ def _order_of_rest(df: DataFrame, first: list[Column], names: list[str]) -> list
 
 def _keep_one(trades: DataFrame, order: list[Column]) -> DataFrame:
     # Spark cuts each key to its first row before the shuffle too, so a key with very many copies
-    # sends at most one row per task.
-    rank = F.row_number().over(Window.partitionBy(*TRADE_KEY).orderBy(*order))
-    return trades.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    # sends at most one row per task. Each row without a full key is a key of its own.
+    alone = F.when(~full_key(), F.monotonically_increasing_id()).alias("_alone")
+    rank = F.row_number().over(Window.partitionBy(*TRADE_KEY, "_alone").orderBy(*order))
+    return trades.select("*", alone).withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank", "_alone")
 
 
 def dedupe_newest(trades: DataFrame) -> DataFrame:
@@ -54,33 +59,27 @@ def duplicate_members(trades: DataFrame) -> DataFrame:
     return trades.join(_other(repeated), _same_key(), "left_semi")
 
 
-def with_known_time(batch: DataFrame, target: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_known_time(batch: DataFrame, target: DataFrame) -> DataFrame:
     """`batch` with `known` (its key is in `target`) and `known_ts` (the newest time there).
 
-    A batch of few keys is compared by broadcasting its keys to a scan of the target, so the target is not
-    shuffled; a larger batch takes an ordinary shuffle join.
+    Whether the few keys of a batch are broadcast or both sides are shuffled is left to adaptive execution. Rows
+    without a full key are never known.
     """
-    keys = batch.select(*TRADE_KEY).distinct()
-    small = keys.limit(broadcast_rows + 1).count() <= broadcast_rows
-    old = target.select(*TRADE_KEY, "trade_ts")
-    if small:
-        old = old.join(F.broadcast(_other(keys)), _same_key(), "left_semi")
-    old = old.groupBy(*TRADE_KEY).agg(F.max("trade_ts").alias("known_ts"), F.lit(True).alias("known"))
-    # When small, `old` holds no more keys than were counted.
-    old = _other(old)
-    joined = batch.join(F.broadcast(old) if small else old, _same_key(), "left")
+    keys = batch.where(full_key()).select(*TRADE_KEY).distinct()
+    old = target.select(*TRADE_KEY, "trade_ts").join(_other(keys), _same_key(), "left_semi")
+    old = _other(old.groupBy(*TRADE_KEY).agg(F.max("trade_ts").alias("known_ts"), F.lit(True).alias("known")))
+    joined = batch.join(old, _same_key(), "left")
     return joined.select(*batch.columns, "known_ts", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def unseen(batch: DataFrame, target: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def unseen(batch: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of `batch` whose key is not in `target`."""
-    compared = with_known_time(batch, target, broadcast_rows)
-    return compared.where(~F.col("known")).select(*batch.columns)
+    return with_known_time(batch, target).where(~F.col("known")).select(*batch.columns)
 
 
 def restrict_to_products(trades: DataFrame, products: DataFrame) -> DataFrame:
     """Trades of the listed products."""
-    return trades.join(broadcast_if_small(products.select(*PRODUCT).distinct()), [*PRODUCT], "left_semi")
+    return trades.join(products.select(*PRODUCT).distinct(), [*PRODUCT], "left_semi")
 
 
 def sorted_by_id(trades: DataFrame) -> DataFrame:

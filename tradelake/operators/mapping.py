@@ -6,6 +6,8 @@ import json
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class Mapping:
@@ -23,6 +25,11 @@ class Mapping:
     positive: tuple[str, ...] = ()
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
+    @property
+    def raw_names(self) -> list[str]:
+        """Raw fields the mapping reads."""
+        return [name for names in self.fields.values() for name in names]
+
 
 # Field names, constants and rules of the built-in source.
 COINBASE = Mapping(
@@ -90,10 +97,13 @@ def mapping_from_document(doc: dict[str, Any]) -> Mapping:
     )
 
 
-def load_mapping(path: str) -> Mapping:
-    """Read a mapping document: JSON, or YAML where a YAML reader is installed."""
-    with open(path, encoding="utf-8") as source:
-        text = source.read()
+def load_mapping(path: str, spark: SparkSession | None = None) -> Mapping:
+    """Read a mapping document: JSON, or YAML where a YAML reader is installed. With a session, from any store it reads."""
+    if spark:
+        text = spark.read.text(path, wholetext=True).first()[0]
+    else:
+        with open(path, encoding="utf-8") as source:
+            text = source.read()
     if path.endswith(".json"):
         return mapping_from_document(json.loads(text))
     try:

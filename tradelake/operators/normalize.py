@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradelake.functions.scalars import first_text, parse_double, parse_ts
 from tradelake.operators.mapping import COINBASE, Mapping
-from tradelake.schema import CORRUPT, PAYLOAD, RAW, TRADE
+from tradelake.schema import CORRUPT, PAYLOAD, TRADE, raw_schema
 
 REASON = "reject_reason"
 
@@ -20,11 +20,12 @@ def _evaluate_once(df: DataFrame, columns: list[Column]) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*columns))))
 
 
-def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON texts to raw records. A text that is no JSON object only fills the corrupt-record column."""
+def parse_lines(lines: DataFrame, column: str = "value", mapping: Mapping = COINBASE) -> DataFrame:
+    """JSON texts to raw records with the fields the mapping reads. A text that is no JSON object only fills the
+    corrupt-record column."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     others = [c for c in lines.columns if c != column]
-    return lines.select(*others, F.inline(F.array(F.from_json(column, RAW, options))))
+    return lines.select(*others, F.inline(F.array(F.from_json(column, raw_schema(mapping.raw_names), options))))
 
 
 def _raw(columns: list[str], names: list[str]) -> Column:

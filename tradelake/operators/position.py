@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.session import broadcast_if_small, materialize
+from tradelake.session import materialize
 
 
 def with_position(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
@@ -35,6 +35,6 @@ def with_position(df: DataFrame, keys: list[str], order: list[str], name: str =
         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_part") == F.col("_piece")]
-    return numbered.join(broadcast_if_small(shifts), same).select(
+    return numbered.join(shifts, same).select(
         *df.columns, (F.col("_row") + F.col("_shift")).alias(name)
     )

@@ -100,3 +100,15 @@ def product_totals(trades: DataFrame) -> DataFrame:
         F.avg("price").alias("avg_price"),
         F.max(numeric_id(F.col("trade_id"))).alias("max_id"),
     )
+
+
+def between(trades: DataFrame, since: Column, before: Column | None = None) -> DataFrame:
+    """Trades from `since` on (and before `before`); of a table laid out by trade_date only those dates are read."""
+    kept = trades.where(F.col("trade_ts") >= since)
+    if before is not None:
+        kept = kept.where(F.col("trade_ts") < before)
+    if "trade_date" in trades.columns:
+        kept = kept.where(F.col("trade_date") >= F.to_date(since))
+        if before is not None:
+            kept = kept.where(F.col("trade_date") <= F.to_date(before))
+    return kept

@@ -216,8 +216,8 @@ _METRICS = (
         f"SELECT '{name}' AS metric, '' AS dimension, CAST({value} AS DOUBLE) AS value FROM scored"
         for name, value in _SINGLE_METRICS
     )
-    + " UNION ALL SELECT 'RecordsPerProduct', symbol, CAST(trades AS DOUBLE) FROM products"
-    + " UNION ALL SELECT 'FreshnessMinutes', symbol, CAST(minutes AS DOUBLE) FROM products)"
+    + " UNION ALL SELECT 'RecordsPerProduct', exchange || ':' || symbol, CAST(trades AS DOUBLE) FROM products"
+    + " UNION ALL SELECT 'FreshnessMinutes', exchange || ':' || symbol, CAST(minutes AS DOUBLE) FROM products)"
 )
 
 _POINTS = """
@@ -401,7 +401,7 @@ FROM trades GROUP BY exchange, symbol HAVING count(*) > count(DISTINCT trade_id)
 SELECT count(*) AS records_today FROM trades WHERE trade_ts >= {NOW} - INTERVAL 1 DAY"""
     q["dedupe_precheck"] = TRADES + """
 , c AS (SELECT count(*) AS a, count(DISTINCT exchange || '|' || symbol || '|' || trade_id) AS b FROM trades)
-SELECT a AS total, b AS unique_count, a = b AS skip_dedupe FROM c"""
+SELECT a AS total, b AS unique_count, CAST(0 AS BIGINT) AS incomplete_keys, a = b AS skip_dedupe FROM c"""
     q["dedupe"] = TRADES + _newest()
     q["big_dedupe"] = BIG + _newest()
     q["curated_version"] = q["dedupe"]
@@ -593,16 +593,62 @@ FROM r WHERE NOT ok GROUP BY source, island HAVING count(*) >= 3"""
 , e AS (SELECT source, count(*) AS c, list_reduce(list(latency_ms ORDER BY ts, id),
   lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.8e0 * a + 0.2e0 * x END) AS ema
   FROM calls WHERE ok GROUP BY source)
-SELECT source, round(ema, 6) AS avg_response_ms, round(ema / 1000, 8) AS avg_response_s,
-  least(c, 999) AS calls_used FROM e"""
+SELECT source, round(ema, 6) AS avg_response_ms, round(ema / 1000, 8) AS avg_response_s FROM e"""
+    one = CALLS + """
+, ends AS (SELECT min(id) AS a, max(id) AS b FROM calls WHERE ok),
+one AS (SELECT 'all' AS source, id, ts, ok, CASE WHEN id IN (a, b) THEN latency_ms ELSE 0.0e0 END AS latency_ms FROM calls, ends)"""
+    q["latency_ema_zeros"] = one + """
+, e AS (SELECT source, list_reduce(list(latency_ms ORDER BY ts, id),
+  lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.8e0 * a + 0.2e0 * x END) AS ema
+  FROM one WHERE ok GROUP BY source)
+SELECT source, round(ema, 6) AS avg_response_ms, round(ema / 1000, 8) AS avg_response_s FROM e"""
+    q["rolling_error_rate_wide"] = one + """
+, r AS (SELECT *, avg(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY ts, id
+  ROWS BETWEEN 249 PRECEDING AND CURRENT ROW) AS rate FROM one)
+SELECT source, id, ts, ok, round(rate, 6) AS error_rate,
+  CASE WHEN rate < 0.1 THEN 'healthy' WHEN rate < 0.3 THEN 'degraded' ELSE 'unhealthy' END AS status FROM r"""
+    q["failed_calls"] = """
+SELECT event_id, CAST(least(500, length(repeat(event_type, CAST(event_id % 200 + 1 AS INTEGER)))) AS INTEGER) AS length
+FROM events WHERE event_type = 'error'"""
     q["metric_rollup"] = CALLS + _POINTS + "SELECT * FROM rolled"
-    q["stream_rollup"] = CALLS + _POINTS + """
-SELECT * FROM rolled WHERE period_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM calls) - INTERVAL 10 MINUTE"""
+    q["stream_rollup"] = q["metric_rollup"]
     q["metric_alarms"] = CALLS + """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS period_start, 'APIErrorCount' AS metric, sum(1.0e0) AS sum_value
 FROM calls WHERE NOT ok GROUP BY 1 HAVING count(*) > 2"""
     q["incremental_transform"] = TRADES + _newest(_UNIFIED, _USABLE)
     q["stream_curate"] = q["incremental_transform"]
+    q["rebuilt"] = q["incremental_transform"]
+    q["replay_after_rebuild"] = TRADES + f"""
+SELECT count(DISTINCT (exchange, symbol, trade_id)) AS trades, CAST(2 AS BIGINT) AS version, 'duplicate_ratio,,' AS reasons
+FROM trades WHERE {_USABLE}"""
+    q["raw_files_again"] = q["raw_files"]
+    q["catalog_table"] = TRADES + """
+SELECT CAST(trade_ts AS DATE) AS trade_date, count(*) AS trades FROM trades GROUP BY 1"""
+    q["product_list_file"] = q["listed_symbols"]
+    q["mixed_folders"] = TRADES + f"""
+SELECT exchange, symbol, trade_id, side, price, quantity, trade_ts,
+  CASE WHEN trade_ts >= {_SPLIT} THEN ingest_ts END AS ingest_ts FROM trades"""
+    q["storage_footprint"] = TRADES + """
+SELECT count(DISTINCT CAST(trade_ts AS DATE)) AS dates, count(*) AS rows, TRUE AS files_fit, TRUE AS has_bytes FROM trades"""
+    q["normalized_compat"] = TRADES + """
+SELECT exchange, symbol, trade_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE side END AS side,
+  CASE WHEN event_id % 5 = 0 THEN 0.0e0 ELSE price END AS price, quantity, trade_ts FROM trades"""
+    q["normalized_other_source"] = TRADES + """
+SELECT 'elsewhere' AS exchange, symbol, trade_id, side, price, quantity, trade_ts FROM trades"""
+    q["stream_other_source"] = TRADES + _newest(_UNIFIED).replace("SELECT exchange,", "SELECT 'elsewhere' AS exchange,", 1)
+    q["dedupe_null_keys"] = TRADES + f"""
+, lost AS (SELECT * REPLACE (CASE WHEN event_id % 11 = 0 THEN NULL ELSE trade_id END AS trade_id) FROM trades),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY exchange, symbol, trade_id
+    ORDER BY trade_ts DESC, side, price, quantity, ingest_ts) AS rn FROM lost)
+SELECT {_COLS}, CAST(2 AS BIGINT) AS version FROM ranked WHERE trade_id IS NULL OR rn = 1"""
+    q["validation_offenders"] = TRADES + _GAPS + _GAP_MINUTES + f"""
+, each AS (SELECT exchange, symbol, minutes, dups, date_sub('microsecond', last_ts, {NOW}) / 3.6e9 AS age
+  FROM per_product LEFT JOIN longest USING (exchange, symbol))
+SELECT 'long_gap' AS "check", exchange, symbol, round(minutes, 4) AS value FROM each WHERE minutes > 60
+UNION ALL SELECT 'stale', exchange, symbol, round(age, 4) FROM each WHERE age > 2
+UNION ALL SELECT 'duplicate_keys', exchange, symbol, CAST(dups AS DOUBLE) FROM each WHERE dups > 0"""
+    for name in ("hourly_bars", "low_activity_periods", "daily_summary", "ingest_latency", "records_since_yesterday", "liveness"):
+        q[f"{name}_curated"] = q[name]
     q["stream_watermarks"] = TRADES + f"""
 SELECT exchange, symbol, max(n) AS cursor FROM trades WHERE {_USABLE} GROUP BY 1, 2"""
     q["stream_drop_repeats"] = TRADES + "SELECT DISTINCT exchange, symbol, trade_id FROM trades"

@@ -17,7 +17,7 @@ from tradelake.functions.scalars import (
 )
 from tradelake.operators.gaps import longest_gaps
 from tradelake.operators.normalize import REASON
-from tradelake.operators.profile import product_profile, product_totals
+from tradelake.operators.profile import between, product_profile, product_totals
 from tradelake.schema import PRODUCT, REQUIRED_COLUMNS, TRADE
 from tradelake.session import materialize
 
@@ -70,8 +70,9 @@ def batch_validation(batch: DataFrame, last_updates: DataFrame | None = None, as
     missing = [c for c in REQUIRED_COLUMNS if c not in batch.columns]
     full = batch.withColumns({c: F.lit(None).cast(TRADE[c].dataType) for c in missing}) if missing else batch
     rules = {
-        "bad_price": F.col("price") <= 0,
-        "bad_quantity": F.col("quantity") <= 0,
+        # Neither null nor NaN is a positive number; a column that is missing as a whole is its own check.
+        "bad_price": F.coalesce(F.isnan("price") | (F.col("price") <= 0), F.lit("price" not in missing)),
+        "bad_quantity": F.coalesce(F.isnan("quantity") | (F.col("quantity") <= 0), F.lit("quantity" not in missing)),
         "bad_side": F.coalesce(~F.col("side").isin(*SIDES), F.lit("side" not in missing)),
     }
     one = product_profile(full, {name: _flag(broken) for name, broken in rules.items()}).agg(
@@ -128,6 +129,28 @@ def full_validation(trades: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+def validation_offenders(trades: DataFrame, as_of=None) -> DataFrame:
+    """Which products fail the checks of the whole table, as (check, exchange, symbol, value).
+
+    long_gap: longest gap in minutes, above 60. stale: hours without a trade, above 2. duplicate_keys: surplus rows.
+    """
+    longest = longest_gaps(trades).withColumn("gap_minutes", F.col("gap_micros") / F.lit(6e7))
+    age = _hours_between(F.col("last_ts"), as_of_column(as_of))
+    surplus = F.col("trades") - F.col("distinct_ids")
+    found = [
+        F.when(F.col("gap_minutes") > 60, F.struct(F.lit("long_gap").alias("check"), F.round("gap_minutes", 4).alias("value"))),
+        F.when(age > 2, F.struct(F.lit("stale").alias("check"), F.round(age, 4).alias("value"))),
+        F.when(surplus > 0, F.struct(F.lit("duplicate_keys").alias("check"), surplus.cast("double").alias("value"))),
+    ]
+    return (
+        product_profile(trades)
+        .select(*PRODUCT, "trades", "distinct_ids", "last_ts")
+        .join(longest, [*PRODUCT], "left")
+        .select(*PRODUCT, F.explode(F.array_compact(F.array(*found))).alias("f"))
+        .select("f.check", *PRODUCT, "f.value")
+    )
+
+
 def quality_gates(batch_checks: DataFrame, full_checks: DataFrame | None = None) -> DataFrame:
     """One row (passed, reasons, duplicates). Exactly 5% duplicates and exactly 4 hours still pass."""
     checks = batch_checks.withColumn("scope", F.lit("batch"))
@@ -219,7 +242,7 @@ def health_score(trades: DataFrame, as_of=None) -> DataFrame:
 
 
 def quality_metrics(trades: DataFrame, as_of=None, footprint: DataFrame | None = None) -> DataFrame:
-    """The quality metric set as (metric, dimension, value); dimension is the symbol or empty.
+    """The quality metric set as (metric, dimension, value); dimension is "exchange:symbol" or empty.
 
     `footprint` is the result of storage_footprint.
     """
@@ -244,7 +267,7 @@ def quality_metrics(trades: DataFrame, as_of=None, footprint: DataFrame | None =
     }
     each = {"RecordsPerProduct": F.col("trades"), "FreshnessMinutes": F.col("minutes")}
     metrics = _metric_rows(_totals(products), single, F.lit("")).unionByName(
-        _metric_rows(products, each, F.col("symbol"))
+        _metric_rows(products, each, F.concat_ws(":", *PRODUCT))
     )
     if footprint is not None:
         metrics = metrics.unionByName(_metric_rows(footprint, {"ParquetSizeGB": F.col("size_gb")}, F.lit("")))
@@ -343,7 +366,7 @@ def liveness(products: DataFrame, trades: DataFrame, watermarks: DataFrame, as_o
     start = day_ago - F.expr(f"interval {int(baseline_days)} days")
     recent = F.col("trade_ts") >= day_ago
     seen = (
-        trades.where((F.col("trade_ts") >= start) & (F.col("trade_ts") < now))
+        between(trades, start, now)
         .groupBy(*PRODUCT)
         .agg(F.count_if(recent).alias("recent"), F.count_if(~recent).alias("before"))
     )

@@ -39,6 +39,7 @@ from tradelake.operators.gaps import (
     written_words,
 )
 from tradelake.operators.profile import (
+    between,
     distinct_in_row,
     product_profile,
     product_totals,
@@ -197,7 +198,7 @@ def freshness_totals(trades: DataFrame, as_of=None) -> DataFrame:
         _mean(F.avg(m)).alias("avg_minutes_stale"),
         F.min(m).alias("min_minutes_stale"),
         F.max(m).alias("max_minutes_stale"),
-        F.percentile_approx(m, 0.5, 10000).alias("median_minutes_stale"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY minutes)").alias("median_minutes_stale"),
         _count_if(m < FRESH_MINUTES).alias("fresh_products"),
         _count_if((m >= FRESH_MINUTES) & (m < STALE_MINUTES)).alias("stale_products"),
         _count_if(m >= STALE_MINUTES).alias("old_products"),
@@ -214,7 +215,7 @@ def freshness_histogram(trades: DataFrame, as_of=None) -> DataFrame:
         _count_if((m >= STALE_MINUTES) & (m < OLD_MINUTES)).alias("old_3h_24h"),
         _count_if(m >= OLD_MINUTES).alias("very_old_gt_24h"),
         F.round(F.avg(m), 2).alias("avg_minutes_stale"),
-        F.percentile_approx(m, 0.5, 10000).alias("median_minutes_stale"),
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY minutes)").alias("median_minutes_stale"),
     )
 
 
@@ -312,7 +313,7 @@ def low_activity_periods(
     """Periods with unusually few trades for their product."""
     since = as_of_column(as_of) - F.expr(f"interval {int(days)} days")
     periods = (
-        trades.where(F.col("trade_ts") >= since)
+        between(trades, since)
         .groupBy(*PRODUCT, F.date_trunc(grain, "trade_ts").alias("period"))
         .agg(F.count(F.lit(1)).alias("trade_count"))
     )
@@ -547,7 +548,7 @@ def hourly_bars(trades: DataFrame, as_of=None, days: int = 7, from_midnight: boo
     if from_midnight:
         end = F.date_trunc("day", end)
     return (
-        trades.where(F.col("trade_ts") >= end - F.expr(f"interval {int(days)} days"))
+        between(trades, end - F.expr(f"interval {int(days)} days"))
         .groupBy(*PRODUCT, F.date_trunc("hour", "trade_ts").alias("hour"))
         .agg(
             F.count(F.lit(1)).alias("trade_count"),
@@ -573,7 +574,7 @@ def daily_summary(trades: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     """Active products, trades and volume per day; counted per product and day first."""
     since = as_of_column(as_of) - F.expr(f"interval {int(days)} days")
     return (
-        trades.where(F.col("trade_ts") >= since)
+        between(trades, since)
         .groupBy(F.to_date("trade_ts").alias("date"), *PRODUCT)
         .agg(F.count(F.lit(1)).alias("trades"), F.sum(notional()).alias("volume"))
         .groupBy("date")
@@ -598,7 +599,8 @@ def ingest_latency(trades: DataFrame, as_of=None, days: int = 7, n: int = 20) ->
     product = Window.partitionBy(*PRODUCT)
     running = product.orderBy("lag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = (
-        trades.where((F.col("trade_ts") >= since) & F.col("ingest_ts").isNotNull())
+        between(trades, since)
+        .where(F.col("ingest_ts").isNotNull())
         .groupBy(*PRODUCT, whole_units("SECOND", F.col("trade_ts"), F.col("ingest_ts")).alias("lag"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select("*", F.sum("n").over(running).alias("seen"), F.sum("n").over(product).alias("total"))
@@ -658,18 +660,24 @@ def dq_duplicates(trades: DataFrame) -> DataFrame:
 
 def records_since_yesterday(trades: DataFrame, as_of=None) -> DataFrame:
     since = F.date_trunc("day", as_of_column(as_of)) - F.expr("interval 1 day")
-    return trades.where(F.col("trade_ts") >= since).agg(F.count(F.lit(1)).alias("records_today"))
+    return between(trades, since).agg(F.count(F.lit(1)).alias("records_today"))
 
 
 def dedupe_precheck(trades: DataFrame) -> DataFrame:
-    """Rows and distinct keys; when they are equal a de-duplication has nothing to do."""
-    # A key with a null part never equals another key, and is not counted.
+    """Rows, distinct keys and rows without a full key, which a de-duplication leaves alone.
+
+    It has nothing to do when the other rows are as many as the keys.
+    """
     complete = F.col("exchange").isNotNull() & F.col("symbol").isNotNull()
+    no_id = F.when(F.col("trade_id").isNull() | (F.col("trade_id") == ""), 1).otherwise(0)
+    empty_id = F.when(F.col("trade_id") == "", 1).otherwise(0)
+    profile = product_profile(trades, {"no_id": no_id, "empty_id": empty_id})
+    keys = F.when(complete, F.col("distinct_ids") - F.least(F.col("empty_id"), F.lit(1)))
     return (
-        product_profile(trades)
-        .agg(
+        profile.agg(
             F.coalesce(F.sum("trades"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(complete, F.col("distinct_ids"))), F.lit(0)).alias("unique_count"),
+            F.coalesce(F.sum(keys), F.lit(0)).alias("unique_count"),
+            F.coalesce(F.sum(F.when(complete, F.col("no_id")).otherwise(F.col("trades"))), F.lit(0)).alias("incomplete_keys"),
         )
-        .withColumn("skip_dedupe", F.col("total") == F.col("unique_count"))
+        .withColumn("skip_dedupe", F.col("total") - F.col("incomplete_keys") == F.col("unique_count"))
     )

@@ -12,7 +12,7 @@ from tradelake.operators.mapping import COINBASE, Mapping
 from tradelake.operators.normalize import REASON, normalize, raw_record
 from tradelake.plans.quality import batch_validation, full_validation, quality_gates
 from tradelake.plans.reports import dedupe_precheck
-from tradelake.schema import CORRUPT, RAW_FIELDS, RUN, TRADE
+from tradelake.schema import CORRUPT, RUN, TRADE, raw_schema
 from tradelake.session import materialize
 from tradelake.sources import curated, state
 from tradelake.sources.raw import GLOB, list_files, new_files, read_raw, write_raw
@@ -35,7 +35,7 @@ def stage(raw: DataFrame, path: str, mapping: Mapping, mode: str) -> DataFrame:
 
     Rejected rows keep their raw text and the file they came from.
     """
-    text = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[F.col(f"`{n}`") for n in RAW_FIELDS])))
+    text = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[F.col(f"`{n}`") for n in raw_schema(mapping.raw_names).names if n != CORRUPT])))
     rows = normalize(raw.withColumn("raw_text", text), mapping, mode, keep=("source_file", "raw_text"))
     usable = F.col(REASON).isNull()
     (
@@ -123,11 +123,13 @@ def transform(
         files = list_files(spark, raw_root, glob)
     else:
         files = new_files(spark, raw_root, state.load(spark, root, "processed_files"), glob)
-    # File names only; Spark's own file index holds the same list on the driver.
-    names = [row.file for row in files.select("file").toLocalIterator()]
+    # The list is written down: what is staged now and what is marked as done later is the same. Its names pass
+    # through the driver, as Spark's own index of the files to read does; the streaming form needs no such list.
+    files = materialize(files.select("file"), "run-files")
+    names = [row.file for row in files.toLocalIterator()]
     if not names:
         return _record(spark, run_id, as_of, status="no_new_files")
-    staged = stage(read_raw(spark, names, glob), f"{root}/staging/run_id={run_id}", mapping, mode)
+    staged = stage(read_raw(spark, names, glob, mapping), f"{root}/staging/run_id={run_id}", mapping, mode)
     counts = staged.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("rejected") == 0).alias("usable")).first()
     usable = staged.where(F.col("rejected") == 0)
     written, version = 0, curated.current_version(spark, root)
@@ -135,7 +137,9 @@ def transform(
         batch = usable.select([F.col(f.name) for f in TRADE.fields])
         written, version = _merge(dedupe_newest(batch), root, rebuild)
         full = full_validation(curated.read_current(spark, root), as_of) if full_scan else None
-        verdict = quality_gates(batch_validation(batch), full).first()
+        # A rebuild is judged by what it left: the repeats of the raw files were to be expected.
+        judged = curated.read_current(spark, root) if rebuild else batch
+        verdict = quality_gates(batch_validation(judged), full).first()
         state.save_watermarks(state.batch_watermarks(batch), root, f"transform-{run_id}")
         result = {
             "status": "success",
@@ -180,10 +184,14 @@ def replay_if_needed(
     spark: SparkSession, raw_root: str, root: str, flagged: bool = False, **options
 ) -> DataFrame:
     """Rebuild into a new version when the run history calls for it; returns the decision."""
-    decision = state.replay_decision(state.load(spark, root, "run_history"), flagged)
+    decision = materialize(
+        state.replay_decision(state.since_replay(spark, root), flagged), "decision"
+    )
     verdict = decision.first()
     if verdict.should_replay:
         old = curated.current_version(spark, root)
         transform(spark, raw_root, root, rebuild=True, **options)
-        state.mark_replay(spark, root, old, curated.current_version(spark, root), verdict.reason)
+        new = curated.current_version(spark, root)
+        if new > old:
+            state.mark_replay(spark, root, old, new, verdict.reason)
     return decision

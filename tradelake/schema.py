@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import types as T
 
 # Canonical curated trade. ingest_ts is optional: sources that do not record it leave it null.
@@ -31,7 +33,13 @@ RAW_FIELDS = (
     "id", "trade_id", "product_id", "product-id", "side", "price", "size", "qty", "time", "timestamp",
     "bid", "ask", "_source", "_source_ingest_ts", "_raw_payload",
 )
-RAW = T.StructType([T.StructField(name, T.StringType()) for name in (*RAW_FIELDS, CORRUPT)])
+
+
+def raw_schema(names: Iterable[str] = ()) -> T.StructType:
+    """The fields every source may have, and `names`, the raw fields of a mapping."""
+    every = dict.fromkeys((*RAW_FIELDS, *names))
+    return T.StructType([T.StructField(name, T.StringType()) for name in (*every, CORRUPT)])
+
 
 # Exchange API payload, embedded as text in a raw record.
 PAYLOAD = T.StructType(

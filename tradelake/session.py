@@ -1,4 +1,4 @@
-"""Session setup, intermediate tables and size-checked broadcasts."""
+"""Session setup and intermediate tables."""
 
 from __future__ import annotations
 
@@ -7,10 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows of narrow key data (about 100 bytes each) that may be broadcast after they were counted.
-BROADCAST_ROWS = 200_000
 
 
 def get_session(app: str = "tradelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -62,11 +58,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark `df` for broadcast when it has at most `max_rows` rows, else leave the join to a shuffle.
-
-    Counts at most `max_rows + 1` rows, so use it on data that is cheap to recompute.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -47,9 +47,8 @@ def version_path(root: str, version: int) -> str:
 
 def current_version(spark: SparkSession, root: str) -> int:
     """The version last published; 0 before the first."""
-    newest = state.load(spark, root, "published").orderBy(F.col("published_at").desc(), F.col("version").desc())
-    row = newest.first()
-    return int(row.version) if row else 0
+    newest = state.load(spark, root, "published").agg(F.max("version").alias("version")).first()
+    return int(newest.version or 0)
 
 
 def publish(spark: SparkSession, root: str, version: int) -> None:

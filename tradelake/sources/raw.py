@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.schema import CORRUPT, RAW
+from tradelake.operators.mapping import COINBASE, Mapping
+from tradelake.schema import CORRUPT, raw_schema
 
 GLOB = "*.{json,jsonl}"
 MAX_RECORDS_PER_FILE = 500_000
@@ -32,19 +33,19 @@ def new_files(spark: SparkSession, path: str, processed: DataFrame, glob: str =
     return unprocessed(list_files(spark, path, glob), processed).orderBy("file")
 
 
-def raw_reader(reader, glob: str = GLOB):
-    """Batch or stream reader set up for raw files. A line that is no JSON object keeps only its text."""
+def raw_reader(reader, glob: str = GLOB, mapping: Mapping = COINBASE):
+    """Batch or stream reader of raw files with the fields the mapping reads. A line that is no JSON object keeps only its text."""
     return (
-        reader.schema(RAW)
+        reader.schema(raw_schema(mapping.raw_names))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
     )
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], glob: str = GLOB) -> DataFrame:
+def read_raw(spark: SparkSession, paths: str | list[str], glob: str = GLOB, mapping: Mapping = COINBASE) -> DataFrame:
     """All raw records below the paths, with the file each came from."""
-    records = raw_reader(spark.read, glob).json(paths)
+    records = raw_reader(spark.read, glob, mapping).json(paths)
     return records.select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
@@ -52,12 +53,13 @@ def write_raw(records: DataFrame, root: str, run_id: str) -> str:
     """Write raw records as JSON lines, one folder per product; a retry of the run replaces its files.
 
     Times are ISO-8601 and null fields are kept. Rows are spread by product, and a busy product over
-    several files.
+    several files; within a file they are in order of their ids.
     """
     path = f"{root}/run_id={run_id}"
     (
         records.withColumn("product", F.col("product_id"))
         .hint("rebalance", "product")
+        .sortWithinPartitions("product", F.col("trade_id").try_cast("bigint"), "trade_id")
         .write.mode("overwrite")
         .partitionBy("product")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")

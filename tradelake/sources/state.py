@@ -153,7 +153,7 @@ def consecutive_failures(history: DataFrame) -> DataFrame:
 def recent_duplicate_ratio(history: DataFrame, runs: int = RECENT_RUNS) -> DataFrame:
     """Highest share of duplicates among the last runs, as one row; runs over no rows do not count."""
     return (
-        history.orderBy(F.col("ts").desc())
+        history.orderBy(F.col("ts").desc(), *[F.col(c).desc() for c in ("run_id",) if c in history.columns])
         .limit(runs)
         .where(F.col("batch_size") > 0)
         .agg(F.max(F.col("duplicates_found") / F.col("batch_size")).alias("max_duplicate_ratio"))
@@ -184,6 +184,13 @@ def replay_decision(history: DataFrame, flagged: bool = False) -> DataFrame:
     )
 
 
+def since_replay(spark: SparkSession, root: str) -> DataFrame:
+    """Runs that count for the next replay decision: those of the version the last replay made, and later ones."""
+    last = load(spark, root, "replays").agg(F.coalesce(F.max("new_version"), F.lit(0)).alias("last"))
+    runs = load(spark, root, "run_history")
+    return runs.where(F.coalesce("version", F.lit(0)) >= last.scalar())
+
+
 def mark_replay(spark: SparkSession, root: str, old: int, new: int, reason: str, at=None) -> None:
     row = spark.range(1).select(
         as_of_column(at).alias("ts"),

@@ -13,15 +13,18 @@ from tradelake.operators.dedupe import dedupe_newest, with_known_time
 from tradelake.operators.mapping import COINBASE, Mapping
 from tradelake.operators.normalize import accepted, normalize, rejected
 from tradelake.schema import TRADE, TRADE_KEY
+from tradelake.session import materialize
 from tradelake.sources import state
 from tradelake.sources.raw import GLOB, raw_reader
 
 OVERLAP = "90 minutes"
 
 
-def stream_raw(spark: SparkSession, path: str, files_per_batch: int | None = None, glob: str = GLOB) -> DataFrame:
+def stream_raw(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, glob: str = GLOB, mapping: Mapping = COINBASE
+) -> DataFrame:
     """Raw records of files not seen before; the query's checkpoint remembers the files."""
-    reader = raw_reader(spark.readStream, glob)
+    reader = raw_reader(spark.readStream, glob, mapping)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)
@@ -50,10 +53,10 @@ def curate(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = normalize(batch, mapping, mode).persist()
+        rows = materialize(normalize(batch, mapping, mode), "stream-rows")
         known = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
-        usable = dedupe_newest(accepted(rows)).persist()
-        compared = with_known_time(usable, known.where(F.col("batch_id") != batch_id)).persist()
+        usable = materialize(dedupe_newest(accepted(rows)), "stream-usable")
+        compared = materialize(with_known_time(usable, known.where(F.col("batch_id") != batch_id)), "stream-compared")
         parts = {
             "trades": compared.where(~F.col("known")).select(*TRADE.fieldNames()),
             "corrections": compared.where(F.col("trade_ts") > F.col("known_ts")).select(*TRADE.fieldNames()),
@@ -62,8 +65,6 @@ def curate(
         for name, part in parts.items():
             part.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
         state.save_watermarks(state.batch_watermarks(usable), root, f"stream-{batch_id}")
-        for cached in (compared, usable, rows):
-            cached.unpersist()
 
     return (
         raw.writeStream.foreachBatch(write)
@@ -90,6 +91,17 @@ def rollup(points: DataFrame, period: str = "5 minutes", delay: str = "10 minute
     return metric_rollup(points.withWatermark("ts", delay), period)
 
 
+def closed_rollup(emitted: DataFrame, points: DataFrame, by: tuple[str, ...], period: str = "5 minutes") -> DataFrame:
+    """What the stream has emitted, and the periods it still held back when it stopped, from the points themselves.
+
+    A batch run over the tail: only points from the last emitted period on are read again, and periods already
+    emitted stay as they are.
+    """
+    last = emitted.agg(F.coalesce(F.max("period_start"), F.lit("0001-01-01 00:00:00").cast("timestamp")).alias("t"))
+    tail = metric_rollup(points.where(F.col("ts") >= last.scalar()), period, by)
+    return emitted.unionByName(tail.join(emitted, ["period_start", *by], "left_anti").select(*emitted.columns))
+
+
 def write_available(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append everything available to a Parquet folder, then stop."""
     return (
