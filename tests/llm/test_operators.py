@@ -629,6 +629,16 @@ def test_pipeline_keeps_columns_and_packs_what_is_left(spark, docs, tmp_path, wo
     check_packing(packed, {r.doc_id: r.text for r in cut}, word_ids, 4096)
 
 
+def test_operators_match_their_sql(spark):
+    import compare
+    from tradelake.llm.oracles import all_oracles
+
+    db = compare.connect(ROOT)
+    for name, sql in all_oracles().items():
+        names, rows, inexact = compare.duck_rows(db, sql)
+        assert (names, rows) == compare.spark_rows(QUERIES[name](spark, ROOT)) and not inexact
+
+
 def test_shipping_twice_is_harmless(spark):
     common.ship_package(spark)
     common.ship_package(spark)

@@ -54,7 +54,7 @@ def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, name = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return found.select("doc_id", "source", f"{name}.*")
+    return found.select("doc_id", "source", f"{name}.*").withColumn("host_rate", F.round("host_rate", 8))
 
 
 def op8_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +85,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op6_lsh_forest, op7_host_rules, op8_boosted_dom, op9_repeats, op10_chat,
     )}
 
-
-def all_oracles() -> dict[str, str]:
-    return {}
