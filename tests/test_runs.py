@@ -37,18 +37,18 @@ def test_incremental_runs(spark, tmp_path):
 
     assert runs.transform(spark, raw_root, root, run_id="r2").first().status == "no_new_files"
 
-    # A later file that overlaps: the known trade is not written again, and the version stays.
+    # A later file that overlaps: the known trade is not written again.
     put(raw_root, "b.jsonl", [line(2), line(3)])
     third = runs.transform(spark, raw_root, root, run_id="r3").first()
-    assert (third.records_written, third.version, third.passed) == (1, 1, True)
+    assert (third.records_written, third.version, third.passed) == (1, 2, True)
 
-    # A correction rewrites the table into a new version; the old one is still there.
+    # A correction makes a new version; the old one is still there.
     put(raw_root, "c.jsonl", [line(3, "2024-01-02T00:00:00Z", price="9")])
     fourth = runs.transform(spark, raw_root, root, run_id="r4").first()
-    assert (fourth.records_written, fourth.version) == (1, 2)
+    assert (fourth.records_written, fourth.version) == (1, 3)
     current = curated.read_current(spark, root)
     assert ids(current) == [("BTC-USD", "1", 1.5), ("BTC-USD", "2", 1.5), ("BTC-USD", "3", 9.0)]
-    assert curated.read_trades(spark, curated.version_path(root, 1)).count() == 3
+    assert ids(curated.read_version(spark, root, 2)) == [("BTC-USD", "1", 1.5), ("BTC-USD", "2", 1.5), ("BTC-USD", "3", 1.5)]
 
     rejected = runs.quarantine(spark, root).collect()
     assert [(r.reject_reason, r.raw_text, r.source_file.endswith("a.jsonl")) for r in rejected] == [("malformed_json", "oops", True)]
@@ -64,7 +64,7 @@ def test_a_run_repeated_after_a_crash_adds_nothing(spark, tmp_path):
     put(raw_root, "b.jsonl", [line(i) for i in range(5, 8)])
     # The data of run r2 was written, its state was not.
     batch = accepted(normalize(raw.read_raw(spark, raw_root))).where(F.col("trade_id") >= 5)
-    curated.write_trades(batch, curated.version_path(root, 1), mode="append")
+    curated.write_version(batch, root, replaced=[])
     again = runs.transform(spark, raw_root, root, run_id="r2").first()
     assert again.records_written == 0
     assert curated.read_current(spark, root).count() == 8
@@ -79,6 +79,8 @@ def test_replay_rebuilds_everything_once(spark, tmp_path):
     assert curated.current_version(spark, root) == 2
     mark = state.load(spark, root, "replays").first()
     assert (mark.old_version, mark.new_version, mark.reason) == (1, 2, "duplicate_ratio")
+    assert not runs.replay_if_needed(spark, raw_root, root, run_id="again").first().should_replay
+    assert curated.current_version(spark, root) == 2
     assert curated.read_current(spark, root).count() == 2
 
 
@@ -173,3 +175,22 @@ def test_stream_takes_only_new_files_and_new_keys(spark, tmp_path):
     assert ids(ingest.settled(spark, root)) == [("BTC-USD", "1", 7.0), ("BTC-USD", "2", 1.5), ("BTC-USD", "3", 1.5)]
     assert spark.read.parquet(f"{root}/rejected").count() == 1
     assert state.load_watermarks(spark, root).first().cursor == 3
+
+
+def test_a_correction_leaves_other_dates_their_files(spark, tmp_path):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    put(raw_root, "a.jsonl", [line(i, f"2024-01-0{i}T00:00:00Z") for i in range(1, 6)])
+    runs.transform(spark, raw_root, root, run_id="r1")
+
+    def files():
+        rows = curated.read_current(spark, root).select("trade_date", F.col("_metadata.file_path").alias("f")).distinct().collect()
+        return {str(r.trade_date): r.f for r in rows}
+
+    before = files()
+    # Trade 2 moves from the 2nd to the 4th; trade 9 is new on the 5th.
+    put(raw_root, "b.jsonl", [line(2, "2024-01-04T12:00:00Z", price="9"), line(9, "2024-01-05T01:00:00Z")])
+    runs.transform(spark, raw_root, root, run_id="r2")
+    after = files()
+    assert set(after) == {"2024-01-01", "2024-01-03", "2024-01-04", "2024-01-05"}
+    assert all(after[d] == before[d] for d in ("2024-01-01", "2024-01-03")) and after["2024-01-04"] != before["2024-01-04"]
+    assert [i for _, i, _ in ids(curated.read_current(spark, root))] == ["1", "2", "3", "4", "5", "9"]

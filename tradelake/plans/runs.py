@@ -56,8 +56,9 @@ def quarantine(spark: SparkSession, root: str) -> DataFrame:
 def _merge(batch: DataFrame, root: str, rebuild: bool) -> tuple[int, int]:
     """Bring de-duplicated rows into the curated table; returns (rows written, version).
 
-    Rows with new keys are appended. Only if a known key comes with a newer time is the table rewritten,
-    into a new version, with the newest row of each key.
+    Rows with new keys go into a folder of their own next to those of their dates. Dates with a known key that comes
+    with a newer time, and the dates that key had before, are written anew with the newest row of each key. All other
+    dates keep their files, and the version before stays readable.
     """
     spark = batch.sparkSession
     version = curated.current_version(spark, root)
@@ -65,19 +66,18 @@ def _merge(batch: DataFrame, root: str, rebuild: bool) -> tuple[int, int]:
         version = curated.write_version(batch, root)
         return curated.read_current(spark, root).count(), version
     current = curated.read_current(spark, root)
-    batch = materialize(batch, "batch")
-    compared = materialize(with_known_time(batch, current), "compared")
-    counts = compared.agg(
-        F.count_if(~F.col("known")).alias("new"),
-        F.count_if(F.col("known") & (F.col("trade_ts") > F.col("known_ts"))).alias("newer"),
-    ).first()
-    names = [f.name for f in TRADE.fields]
-    if counts.newer:
-        both = current.select(*names).unionByName(compared.select(*names))
-        version = curated.write_version(dedupe_newest(both), root)
-    elif counts.new:
-        fresh = compared.where(~F.col("known")).select(*names)
-        curated.write_trades(fresh, curated.version_path(root, version), mode="append")
+    compared = materialize(with_known_time(materialize(batch, "batch"), current), "compared")
+    newer = F.coalesce(F.col("known") & (F.col("trade_ts") > F.col("known_ts")), F.lit(False))
+    counts = compared.agg(F.count_if(~F.col("known")).alias("new"), F.count_if(newer).alias("newer")).first()
+    if counts.new + counts.newer:
+        fresh = compared.where(~F.col("known") | newer).select(*TRADE.fieldNames())
+        dates = []
+        if counts.newer:
+            both = F.array(F.to_date("trade_ts"), F.to_date("known_ts"))
+            dates = [r.d for r in compared.where(newer).select(F.explode(both).alias("d")).distinct().collect()]
+            old = current.where(F.col("trade_date").isin(dates)).select(*TRADE.fieldNames())
+            fresh = dedupe_newest(old.unionByName(fresh))
+        version = curated.write_version(fresh, root, replaced=dates)
     return counts.new + counts.newer, version
 
 

@@ -104,3 +104,12 @@ PUBLISHED = T.StructType(
         T.StructField("published_at", T.TimestampType()),
     ]
 )
+
+# Which folder holds a date's trades in a version; a date may have several.
+LAYOUT = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("trade_date", T.DateType()),
+        T.StructField("written", T.LongType()),
+    ]
+)

@@ -1,4 +1,8 @@
-"""The curated trade table: versioned Parquet folders and the pointer to the current one."""
+"""The curated trade table: Parquet folders per date, which of them make up a version, and the current version.
+
+A version is a list of (date, folder). Writing one adds a folder with the dates that change; all other dates keep the
+files they have. Readers see the version before until the one-row pointer is there.
+"""
 
 from __future__ import annotations
 
@@ -42,7 +46,8 @@ def read_trades(spark: SparkSession, *paths: str, merge_schema: bool = False) ->
 
 
 def version_path(root: str, version: int) -> str:
-    return f"{root}/v{version}"
+    """The folder with what was written for a version."""
+    return f"{root}/trades/written={version}"
 
 
 def current_version(spark: SparkSession, root: str) -> int:
@@ -57,23 +62,56 @@ def publish(spark: SparkSession, root: str, version: int) -> None:
     state.append(row, root, "published")
 
 
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The trades of a version. Its folders, a few per date, are named on the driver."""
+    layout = state.load(spark, root, "layout").where(F.col("version") == version).select("trade_date", "written")
+    folders = [
+        f"{version_path(root, r.written)}/trade_date={r.trade_date or '__HIVE_DEFAULT_PARTITION__'}"
+        for r in layout.distinct().collect()
+    ]
+    if not folders:
+        return spark.createDataFrame([], TRADE).withColumn("trade_date", F.lit(None).cast("date"))
+    rows = spark.read.option("basePath", f"{root}/trades").parquet(*folders).drop("written")
+    return rows.withColumn("trade_date", F.col("trade_date").cast("date"))
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """The trades of the current version; an empty table before the first."""
-    version = current_version(spark, root)
-    if version == 0:
-        return spark.createDataFrame([], TRADE).withColumn("trade_date", F.lit(None).cast("date"))
-    return read_trades(spark, version_path(root, version))
+    return read_version(spark, root, current_version(spark, root))
 
 
-def write_version(trades: DataFrame, root: str) -> int:
-    """Write trades into a fresh version folder and publish it. Earlier versions stay as they are."""
+def write_version(trades: DataFrame, root: str, replaced: list | None = None) -> int:
+    """Write trades into a fresh folder and publish the version they make; returns its number.
+
+    `replaced` names the dates whose earlier folders the new one takes the place of; other dates keep theirs, next to
+    what is written now. Without it the trades are the whole version. Earlier versions stay as they are.
+    """
     spark = trades.sparkSession
-    version = current_version(spark, root) + 1
+    old = current_version(spark, root)
+    version = old + 1
     write_trades(trades, version_path(root, version))
+    written = read_trades(spark, version_path(root, version)) if _has_dates(spark, version_path(root, version)) else None
+    rows = spark.createDataFrame([], "trade_date date, written long")
+    if written is not None:
+        dates = written.select(F.col("trade_date").cast("date").alias("trade_date")).distinct()
+        rows = dates.withColumn("written", F.lit(version).cast("long"))
+    if replaced is not None:
+        before = state.load(spark, root, "layout").where(F.col("version") == old)
+        if replaced:
+            date = F.col("trade_date")
+            gone = date.isin([d for d in replaced if d]) if any(replaced) else F.lit(False)
+            before = before.where(~F.coalesce(gone, F.lit(None in replaced)))
+        rows = before.select("trade_date", "written").unionByName(rows)
+    state.append(rows.withColumn("version", F.lit(version)), root, "layout", f"v{version}")
     publish(spark, root, version)
     return version
 
 
+def _has_dates(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder has any data; an empty table leaves none to read."""
+    return not list_files(spark, path, "*.parquet").isEmpty()
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> None:
     """Catalog table over a trade folder, with its partitions."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
