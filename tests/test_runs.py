@@ -177,6 +177,17 @@ def test_stream_takes_only_new_files_and_new_keys(spark, tmp_path):
     assert state.load_watermarks(spark, root).first().cursor == 3
 
 
+def test_a_lost_checkpoint_keeps_what_was_written(spark, tmp_path):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "stream")
+    put(raw_root, "a.jsonl", [line(1), line(2)])
+    stream(spark, raw_root, root)
+    # With another checkpoint the files come again, under the same batch numbers.
+    put(raw_root, "b.jsonl", [line(3)])
+    again = ingest.curate(ingest.stream_raw(spark, raw_root, files_per_batch=1), root, f"{root}/second")
+    again.awaitTermination()
+    assert ids(spark.read.parquet(f"{root}/trades")) == [("BTC-USD", str(i), 1.5) for i in (1, 2, 3)]
+
+
 def test_a_correction_leaves_other_dates_their_files(spark, tmp_path):
     raw_root, root = str(tmp_path / "raw"), str(tmp_path / "lake")
     put(raw_root, "a.jsonl", [line(i, f"2024-01-0{i}T00:00:00Z") for i in range(1, 6)])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,8 @@ def stream_raw(
 
 
 def _written(spark: SparkSession, path: str) -> DataFrame:
-    """What earlier batches wrote, with their batch id; empty before the first."""
-    schema = T.StructType([*TRADE.fields, T.StructField("batch_id", T.LongType())])
+    """What earlier batches wrote, with the query and the batch that did; empty before the first."""
+    schema = T.StructType([*TRADE.fields, T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType())])
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
@@ -48,23 +50,25 @@ def curate(
 
     Keys already written by another batch are left out, so overlapping files add nothing, however late they
     come. A newer row of a known key goes to the corrections, which `settled` applies. A batch repeated after
-    a failure replaces its own folders.
+    a failure replaces its own folders; a query begun anew with another checkpoint has folders of its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # The id that the checkpoint keeps for its query, whatever number of times that is started.
+        query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         rows = materialize(normalize(batch, mapping, mode), "stream-rows")
         known = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
         usable = materialize(dedupe_newest(accepted(rows)), "stream-usable")
-        compared = materialize(with_known_time(usable, known.where(F.col("batch_id") != batch_id)), "stream-compared")
+        compared = materialize(with_known_time(usable, known.where((F.col("query") != query) | (F.col("batch_id") != batch_id))), "stream-compared")
         parts = {
             "trades": compared.where(~F.col("known")).select(*TRADE.fieldNames()),
             "corrections": compared.where(F.col("trade_ts") > F.col("known_ts")).select(*TRADE.fieldNames()),
             "rejected": rejected(rows),
         }
         for name, part in parts.items():
-            part.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-        state.save_watermarks(state.batch_watermarks(usable), root, f"stream-{batch_id}")
+            part.write.mode("overwrite").parquet(f"{root}/{name}/query={query}/batch_id={batch_id}")
+        state.save_watermarks(state.batch_watermarks(usable), root, f"stream-{query}-{batch_id}")
 
     return (
         raw.writeStream.foreachBatch(write)
@@ -77,7 +81,7 @@ def curate(
 def settled(spark: SparkSession, root: str) -> DataFrame:
     """Streamed trades with the newest row of every key, corrections applied."""
     both = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
-    return dedupe_newest(both.drop("batch_id"))
+    return dedupe_newest(both.drop("query", "batch_id"))
 
 
 def drop_repeats(trades: DataFrame, overlap: str = OVERLAP) -> DataFrame:
