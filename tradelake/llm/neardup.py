@@ -6,8 +6,8 @@ region:
 
 - a small region gives all its pairs;
 - in a large region every document is first paired with one leader, the member that shares most regions. After
-  these pairs are confirmed, documents outside the region's largest component are compared with the rest by whole
-  signatures, block by block: there the forest descends from DEPTH labels to all of them.
+  these pairs are confirmed, documents outside the region's largest component are compared with the rest, block by
+  block, first by whole signatures: there the forest descends from DEPTH labels to all of them.
 
 Every link is confirmed on the full sets. Two documents of likeness s share no region with probability
 (1 - s**DEPTH)**trees, which is 8e-7 for 24 trees at 0.85 and 6e-7 for 36 trees at 0.8. Documents with equal sets are one node from the start.
@@ -141,7 +141,7 @@ def leader_pairs(members: DataFrame, like: Likeness) -> DataFrame:
     weights = members.groupBy("doc_id").agg(F.sum("m").alias("weight"))
     large = members.where(F.col("m") > SMALL).join(weights, "doc_id")
     best = F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"), F.col("n_shingles").alias("n"))).alias("best")
-    leaders = large.groupBy("tree", "region").agg(best)
+    leaders = stage(large.groupBy("tree", "region").agg(best), "leaders")
     led = large.join(leaders, ["tree", "region"]).withColumn("leader", -F.col("best.minus"))
     led = led.withColumn("n_leader", F.col("best.n")).where(_of_like_size("n_shingles", "n_leader", like) & (F.col("doc_id") != F.col("leader")))
     # The leader is `b`: rows of one leader lie together when links are confirmed.
@@ -194,11 +194,13 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """Pairs of large regions that are in different components and whose whole signatures are alike.
+def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodies: DataFrame, like: Likeness) -> DataFrame:
+    """Links inside large regions between documents that are still in different components.
 
     Of a region's components the largest is compared with all others, these also among themselves. Both sides are
-    dealt to blocks of BLOCK rows, and only pairs of alike signatures leave a block.
+    dealt to blocks of BLOCK rows with their texts, and every two documents of unlike components and alike signatures
+    are compared there on their full sets, in the first tree that has them in one region. Only links leave a block,
+    at most as many as join its documents, so no table of pairs is made.
     """
     large = members.where(F.col("m") > SMALL).select("tree", "region", "doc_id", "n_shingles")
     known = labels.select(F.col("node").alias("doc_id"), "component")
@@ -208,30 +210,57 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, like
         F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("m"), F.count(F.lit(1)).alias("parts")
     )
     main = main.where("parts > 1").select("tree", "region", F.col("main.component").alias("main"), "m", (F.col("m") - F.col("main.count")).alias("rest"))
-    open_regions = stage(placed.join(main, ["tree", "region"]).join(nodes.select("doc_id", "labels"), "doc_id"), "open-regions")
+    main = stage(main, "main-components")
+    open_regions = stage(placed.join(main, ["tree", "region"]), "open-regions")
     cut = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     mine = lambda n, seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), cut(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), cut(n) - 1))
-    row = ["tree", "region", "doc_id", "n_shingles", "component", "labels"]
-    asks = open_regions.where("component != main").withColumn("i", mine("rest", 1)).withColumn("j", every("m")).select(*row, "i", "j", F.lit(True).alias("asks"))
-    rest = open_regions.withColumn("j", mine("m", 2)).withColumn("i", every("rest")).select(*row, "i", "j", F.lit(False).alias("asks"))
+    every = lambda n: F.sequence(F.lit(0), cut(n) - 1)
+    row = ["tree", "region", "doc_id", "n_shingles", "component"]
+    asks = open_regions.where("component != main").withColumn("i", mine("rest", 1)).withColumn("j", F.explode(every("m"))).select(*row, "i", "j", F.lit(True).alias("asks"))
+    rest = open_regions.withColumn("j", mine("m", 2)).withColumn("i", F.explode(every("rest"))).select(*row, "i", "j", F.lit(False).alias("asks"))
+    full = nodes.select("doc_id", "labels").join(bodies.select("doc_id", "text"), "doc_id")
 
     def compare(table):
         import pyarrow as pa
 
-        side = table.column("asks").to_numpy()
+        side, tree = table.column("asks").to_numpy(), table.column("tree")[0].as_py()
         ids, n, part = (table.column(c).to_numpy() for c in ("doc_id", "n_shingles", "component"))
+        texts_of = table.column("text")
         sign = np.frombuffer(b"".join(table.column("labels").to_pylist()), np.uint32).reshape(-1, like.labels)
+        prefix = sign.reshape(len(sign), like.trees, DEPTH + 1)[:, : tree + 1, :DEPTH]
+        sets: dict[int, np.ndarray] = {}
+        group = {p: p for p in part.tolist()}
+
+        def top(p: int) -> int:
+            while group[p] != p:
+                group[p] = p = group[group[p]]
+            return p
+
+        def body(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(texts_of[i].as_py(), like.words)
+            return sets[i]
+
         q, r = np.flatnonzero(side), np.flatnonzero(~side)
         out = []
         for x in q:
             fit = r[(part[r] != part[x]) & (100 * np.minimum(n[r], n[x]) >= like.percent * np.maximum(n[r], n[x]))]
-            alike = fit[(sign[fit] == sign[x]).sum(1) >= like.least_alike]
-            out += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in alike]
+            fit = fit[(sign[fit] == sign[x]).sum(1) >= like.least_alike]
+            if not len(fit):
+                continue
+            fit = fit[(prefix[fit] == prefix[x]).all(2).argmax(1) == tree]
+            for y in fit.tolist():
+                one, two = top(int(part[x])), top(int(part[y]))
+                if one == two:
+                    continue
+                both = len(np.intersect1d(body(int(x)), body(y), assume_unique=True))
+                if 100 * both >= like.percent * (int(n[x]) + int(n[y]) - both):
+                    group[one] = two
+                    out.append((int(ids[x]), int(ids[y])))
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return asks.union(rest).groupBy("tree", "region", "i", "j").applyInArrow(compare, "a long, b long")
+    return asks.union(rest).join(full, "doc_id").groupBy("tree", "region", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -247,7 +276,8 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     reps = classes.select(F.col("class_id").alias("doc_id"), "set_hash")
     nodes = stage(full.join(reps, ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"]), "nodes")
     placed = stage(forest(nodes, like), "forest")
-    regions = placed.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    # Tables that are joined on a key that may be hot are written first: only then can the join split that key.
+    regions = stage(placed.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "regions")
     members = stage(placed.join(regions, ["tree", "region"]), "members")
     drop(placed)
     first = stage(small_pairs(members, like).union(leader_pairs(members, like)).distinct(), "pairs")
@@ -255,10 +285,9 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     bodies = stage(texts(docs).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
     links = stage(confirmed(first, bodies, like), "links")
     labels = components(links)
-    second = stage(leftover_pairs(members, labels, nodes, like).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        links = links.union(stage(confirmed(second, bodies, like), "links"))
-        labels = components(links)
+    more = stage(leftover_links(members, labels, nodes, bodies, like), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     rows = found.select("doc_id", "n_shingles", "set_hash")
     known = rows.join(classes.select("set_hash", "n_shingles", "class_id"), ["set_hash", "n_shingles"], "left")
     linked = known.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
