@@ -94,7 +94,8 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_RATE) ->
     verdicts = counted.withColumn("__host", F.coalesce(F.col(host).cast("string"), F.lit("")))
     failed = base_failed(F.col(name))
     rates = host_rates(verdicts.select(F.col("__host").alias("host"), failed.alias("failed")))
-    rates = rates.select(F.col("host").alias("__host"), F.col("rate").alias("__rate"))
+    # Written first, so that the join can split a host with many documents or broadcast the rates if they are few.
+    rates = materialize(rates.select(F.col("host").alias("__host"), F.col("rate").alias("__rate")), "host-rates")
     extra = [failed.alias("base_failed"), F.col("__rate").alias("host_rate"), (~failed & (F.col("__rate") <= max_rate)).alias("kept")]
     judged = verdicts.join(rates, "__host")
     struct = F.struct(F.col(f"{name}.*"), *extra).alias(name)
