@@ -21,7 +21,7 @@ MAX_GRAMS = 60_000
 LONGEST = 5
 SMOOTH = 0.1
 # Entries of a task's memory of words it has scored.
-CACHE = 400_000
+CACHE = 300_000
 # Words that count fully towards the score; more words do not make it surer.
 SURE_WORDS = 20
 _LETTERS = regex.compile(r"\p{L}+")
@@ -84,24 +84,25 @@ class Scorer:
 
     def __init__(self, model: dict):
         self.langs = model["langs"]
-        self.words = dict(zip(model["words"], model["word_logs"], strict=True))
-        self.grams = dict(zip(model["grams"], model["gram_logs"], strict=True))
-        self.zero = np.zeros(len(self.langs))
+        # Tuples of floats: for so few numbers they are faster than arrays.
+        self.words = dict(zip(model["words"], map(tuple, model["word_logs"].tolist()), strict=True))
+        self.grams = dict(zip(model["grams"], map(tuple, model["gram_logs"].tolist()), strict=True))
+        self.zero = (0.0,) * len(self.langs)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.langs) + 1))
 
-    def word(self, word: str) -> np.ndarray:
+    def word(self, word: str) -> tuple[float, ...]:
         logs = self.words.get(word)
         if logs is not None:
             return logs
-        padded = f"<{word}>"
+        padded, grams = f"<{word}>", self.grams
         for n in range(min(LONGEST, len(padded)), 0, -1):
-            found = [g for i in range(len(padded) - n + 1) if (g := self.grams.get(padded[i : i + n])) is not None]
+            found = [grams[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in grams]
             if found:
-                return np.mean(found, axis=0)
+                return tuple([sum(x) / len(found) for x in zip(*found, strict=True)])
         return self.zero
 
     def row(self, chunk: str) -> int:
@@ -111,8 +112,10 @@ class Scorer:
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.known[chunk] = at
         words = _LETTERS.findall(chunk.lower())
-        self.rows[at, :-1] = sum(map(self.word, words), self.zero)
-        self.rows[at, -1] = len(words)
+        if len(words) == 1:
+            self.rows[at] = (*self.word(words[0]), 1)
+        elif words:
+            self.rows[at] = (*map(sum, zip(*map(self.word, words), strict=True)), len(words))
         return at
 
     def text(self, text: str | None) -> tuple[str, float]:
@@ -135,7 +138,7 @@ def predict(docs: DataFrame, model: dict) -> tuple[DataFrame, str]:
 
     Equal scores go to the language first in order of name. A repeated row gets the same result again.
     """
-    scorer: list[Scorer] = []
+    scorer: list[Scorer] = []  # of one task: what it remembers goes with it
 
     def compute(batch: list[str | None]) -> list:
         if not scorer:
