@@ -239,7 +239,8 @@ def repeat_spans(bodies: DataFrame) -> DataFrame:
     """(id, text_key, start, stop): stretches of bytes to remove; they may overlap."""
     ship_package(bodies.sparkSession)
     every = stage(runs(bodies), "runs")
-    often = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # Tables that are joined on a key that may be hot are written first: only then can the join split that key.
+    often = stage(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     repeated = stage(every.join(often, "key"), "repeated-runs")
     drop(every)
     place = F.struct("id", "text_key", "first", "last", "anchor")
@@ -247,7 +248,7 @@ def repeat_spans(bodies: DataFrame) -> DataFrame:
     whole = repeated.join(distinct.where("copies > 1").select("key", "whole"), ["key", "whole"])
     whole = stage(whole.select("id", "text_key", F.col("first").alias("start"), (F.col("last") + SPAN).alias("stop")), "equal-runs")
     drop(repeated)
-    sizes = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+    sizes = stage(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "different")
     cases = distinct.join(sizes, "key").select("key", "copies", "different", "at.*")
     wanted = cases.groupBy("id", "text_key").agg(F.collect_list(F.struct("key", "copies", "different", "first", "last", "anchor")).alias("cases"))
     cut = wanted.join(bodies, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("id", "text_key", "raw", F.explode("cases").alias("c"))
