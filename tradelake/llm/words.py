@@ -15,7 +15,7 @@ import regex
 from tradelake.llm.merging import Merger, some
 
 # Chunks a Python worker remembers, and words among them.
-CACHE, WORDS = 600_000, 400_000
+CACHE, WORDS = 450_000, 300_000
 # Letters below this code point are the same after NFC, and Python and the library lower them alike.
 SIMPLE = "ƀ"
 
