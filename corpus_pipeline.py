@@ -19,7 +19,7 @@ from tradelake.session import materialize
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, of which no language can be told. `lang` stays as it was."""
     found, name = langid.predict(docs, langid.fit(docs))
-    return found.where(F.col(f"{name}.lang_pred") != "und").select(*docs.columns)
+    return found.where(F.col(f"{name}.has_letters")).select(*docs.columns)
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 
+import corpus_pipeline
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -317,6 +318,14 @@ def test_language_odd(odd, empty):
     assert {r[name].lang_pred for r in rows.collect()} == {"und"}
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_language_stage_keeps_all_texts_with_letters(spark, odd, lang):
+    rows = odd.withColumn("lang", F.lit(lang).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, rows, ROOT).collect()
+    want = [(i, t) for i, t, *_ in ODD if any(c.isalpha() for c in t or "")]
+    assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter(want)
+
+
 def test_unseen_words_fall_back_to_longest_known_grams():
     import numpy as np
 

@@ -118,25 +118,27 @@ class Scorer:
             self.rows[at] = (*map(sum, zip(*map(self.word, words), strict=True)), len(words))
         return at
 
-    def text(self, text: str | None) -> tuple[str, float]:
-        """Language and score; `und` and 0 if there is no letter or nothing was learned."""
+    def text(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score and whether there is a letter; `und` and 0 if there is none or nothing was learned."""
         if len(self.known) > CACHE:
             self.forget()
         known, chunks = self.known, (text or "").split()
         at = [known[c] if c in known else self.row(c) for c in chunks]
         sums = self.rows[at].sum(0) if at else np.zeros(len(self.langs) + 1)
-        if not sums[-1] or not self.langs:
-            return "und", 0.0
+        letters = bool(sums[-1])
+        if not letters or not self.langs:
+            return "und", 0.0, letters
         logs = sums[:-1] / sums[-1] * min(sums[-1], SURE_WORDS)
         odds = np.exp(logs - logs.max())
         best = int(odds.argmax())
-        return self.langs[best], float(odds[best] / odds.sum())
+        return self.langs[best], float(odds[best] / odds.sum()), letters
 
 
 def predict(docs: DataFrame, model: dict) -> tuple[DataFrame, str]:
-    """All rows of `docs` with one more struct column (lang_pred, score), and its name. Looks at `text` only.
+    """All rows of `docs` with one more struct column (lang_pred, score, has_letters), and its name. Looks at `text` only.
 
-    Equal scores go to the language first in order of name. A repeated row gets the same result again.
+    `und` is also what a model without languages says, and may be a learned label: only has_letters tells texts without
+    a letter. Equal scores go to the language first in order of name. A repeated row gets the same result again.
     """
     scorer: list[Scorer] = []  # of one task: what it remembers goes with it
 
@@ -145,4 +147,4 @@ def predict(docs: DataFrame, model: dict) -> tuple[DataFrame, str]:
             scorer.append(Scorer(model))
         return list(zip(*map(scorer[0].text, batch), strict=True))
 
-    return add_columns(docs, compute, "lang_pred string, score double")
+    return add_columns(docs, compute, "lang_pred string, score double, has_letters boolean")

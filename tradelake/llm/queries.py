@@ -45,7 +45,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     found, name = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
-    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), f"{name}.*")
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), f"{name}.lang_pred", f"{name}.score")
 
 
 def op6_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
