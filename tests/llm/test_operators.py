@@ -168,6 +168,25 @@ def test_winnowing_match_guarantee(spark):
     assert set(one.hashes) & set(two.hashes)
 
 
+def test_winnowing_match_guarantee_without_spaces(spark):
+    passage = "いろはにほへとちりぬるを\U0001f600わかよたれそつねな"  # SPAN + k + window - 2 characters
+    assert len(passage) == winnowing.SPAN + winnowing.K + winnowing.WINDOW - 2
+    rows = [(i, "あいうえおかきくけこさしすせそた"[:i] + passage + "んやゆよ" * (i % 3)) for i in range(17)]
+    found = winnowing.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(set(a.hashes) & set(b.hashes) for a in found for b in found)
+
+
+def test_winnowing_units(spark):
+    def units(text):
+        runs = text.split()
+        return [r[i : i + 16] for r in runs for i in range(max(len(r) - 15, 1))]
+
+    texts = ["a bc　de\u00a0f", "x" * 15 + " " + "y" * 16 + "\u2003" + "0123456789abcdefg", "\U0001f600" * 18 + "z", "", " ", "\n".join("ab" * n for n in range(12))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in rows.select("doc_id", F.regexp_extract_all("text", F.lit(winnowing._UNIT)).alias("units")).collect():
+        assert r.units == units(texts[r.doc_id])
+
+
 def test_winnowing_odd(odd, empty):
     rows = winnowing.edit_and_compare(odd).collect()
     assert len(rows) == len(ODD) and sorted(r.n_chars for r in rows) == sorted(len(t or "") for _, t, *_ in ODD)

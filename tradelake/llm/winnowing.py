@@ -1,9 +1,11 @@
 """Document fingerprints by winnowing.
 
-A text is read as words; a run without white space longer than 16 characters counts as several words. Every `k`
-consecutive words give a hash, and of every `window` consecutive hashes the smallest is chosen, the rightmost
-among equal ones. The chosen hashes with their positions are the fingerprint. Two texts that share a passage of
-`k + window - 1` words (both read from its first word) share a chosen hash inside it; the positions say where.
+A text is read as units: the runs between white space of any script, and of a run longer than SPAN characters all its
+stretches of SPAN characters, one starting at each character. Every `k` consecutive units give a hash, and of every
+`window` consecutive hashes the smallest is chosen, the rightmost among equal ones. The chosen hashes with their
+positions are the fingerprint. Two texts that share `k + window - 1` consecutive units share a chosen hash inside them;
+the positions say where. Such a passage is as many words, or `SPAN + k + window - 2` characters inside long runs,
+wherever it starts in them.
 All of it is SQL on one row at a time.
 """
 
@@ -16,6 +18,9 @@ from tradelake.llm.common import MIN_LONG, let, shuffle_partitions, texts
 
 K = 4
 WINDOW = 4
+SPAN = 16
+# At each character of a long run that has SPAN characters after it, and else to the end of the run; the group is the unit.
+_UNIT = r"(?=(\P{IsWhite_Space}{1,%d}+))(?:\P{IsWhite_Space}(?=\P{IsWhite_Space}{%d})|\P{IsWhite_Space}++)" % (SPAN, SPAN)
 # Ranges of ids per shuffle partition when neighbours are brought together.
 RANGES_PER_PARTITION = 16
 
@@ -26,18 +31,18 @@ def _upto(last: Column) -> Column:
 
 
 def winnow(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """struct(hashes, positions) of the chosen k-grams; positions count words from 0.
+    """struct(hashes, positions) of the chosen k-grams; positions count units from 0.
 
-    Fewer than `k` words are one k-gram, fewer than `window` k-grams one window; no word gives empty arrays.
+    Fewer than `k` units are one k-gram, fewer than `window` k-grams one window; no unit gives empty arrays.
     """
 
-    def grams(words: Column) -> Column:
+    def grams(units: Column) -> Column:
         return let(
-            F.transform(words, lambda w: F.xxhash64(w)),
+            F.transform(units, lambda u: F.xxhash64(u)),
             lambda h: F.when(
-                F.size(words) > 0,
+                F.size(units) > 0,
                 F.transform(
-                    _upto(F.greatest(F.size(words) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
+                    _upto(F.greatest(F.size(units) - k, F.lit(0))), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
                 ),
             ).otherwise(F.expr("cast(array() as array<bigint>)")),
         )
@@ -58,9 +63,9 @@ def winnow(text: Column, k: int = K, window: int = WINDOW) -> Column:
 
         return let(smallest, lambda s: F.array_distinct(F.transform(s, rightmost)))
 
-    words = F.regexp_extract_all(text, F.lit(r"(\S{1,16})"))
+    units = F.regexp_extract_all(text, F.lit(_UNIT))
     return let(
-        let(words, grams),
+        let(units, grams),
         lambda g: let(
             positions(g),
             lambda p: F.struct(F.transform(p, lambda i: F.get(g, i)).alias("hashes"), p.alias("positions")),
