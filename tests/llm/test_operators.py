@@ -291,6 +291,27 @@ def test_pieces_round_trip_and_spans(library, model):
         assert begins == sorted(begins)
 
 
+def test_digests_are_made_from_checked_spans(model, monkeypatch):
+    own, texts = pieces.Model(model), ["plain words, then\nmore", "日本 x", *ODD_TEXTS]
+    own.digests(texts)
+    normalise = own.normalise
+    monkeypatch.setattr(own, "normalise", lambda text: (lambda n, b, e: (n, b, e + 1))(*normalise(text)))
+    for text in filter(None, texts):
+        with pytest.raises(ValueError):
+            own.digests([text])
+
+
+def test_spans_of_whole_table(spark, library, model):
+    own = pieces.Model(model)
+    rows, name = pieces.encode(spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text"), model)
+    for r in rows.collect():
+        raw, (ids, begins, ends) = (r.text or "").encode(), r[name]
+        assert ids == library.encode(r.text or "")
+        for n, (i, a, b) in enumerate(zip(ids, begins, ends, strict=True)):
+            if not own.first_byte <= i < own.first_byte + 256:
+                assert own.names[i] == ("" if n or not own.names[i].startswith("▁") else "▁") + raw[a:b].decode().replace(" ", "▁")
+
+
 def test_character_map_takes_longest_prefix(library):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2

@@ -3,7 +3,8 @@
 The text is normalised by longest prefixes through the model's compiled character map, recording from which bytes
 each piece of normalised text comes. Merging (byte-pair encoding) then runs on the normalised text, and every
 piece is projected back to its bytes in the original. No piece of a model with split words holds a space mark
-after another character, so text between such marks is encoded once and remembered.
+after another character, so text between such marks is encoded once and remembered, with the places of its pieces
+from the start of that text on. The digests are made from the same ids, begins and ends, once these are checked.
 """
 
 from __future__ import annotations
@@ -74,10 +75,14 @@ class Model:
             raise ValueError("pieces with a space mark inside are not supported")
         # Characters that no merged piece holds: text can be cut around them.
         self.line_is_apart = not any("\n" in p for p in self.ids if len(p) > 1)
-        self.plain = not self.charmap.units and self.prefix and not self.trim and self.line_is_apart
+        self.identity = not self.charmap.units and not self.trim
+        self.plain = self.identity and self.prefix and self.line_is_apart
         self.merger = self._pairs()
         self.decimal = list(map(str, range(len(self.names))))
-        self.surface = [name.replace(MARK, " ") for name in self.names]
+        self.surface = [name.replace(MARK, " ").encode() for name in self.names]
+        self.surface[self.unknown] = self.unknown_surface.encode()
+        for i in byte:
+            self.surface[i] = bytes([i - self.first_byte])
         self.of_point = np.arange(0x110000, dtype=np.int32) + OTHER
         for piece, i in self.ids.items():
             if len(piece) == 1:
@@ -85,12 +90,25 @@ class Model:
         self.forget()
 
     def forget(self) -> None:
-        self.known = {"": ("", "")}
+        # Number of each chunk; of each number where its ids lie, how many they are, and how many characters it has.
+        self.known: dict[str, int] = {"": 0}
+        self.at, self.count, self.chars = (np.zeros(1024, np.int64) for _ in range(3))
+        # Of each id: its first and last character, counted from the start of the chunk.
+        self.flat, self.first, self.last = (np.zeros(8192, np.int32) for _ in range(3))
+        self.used = 0
 
     # Normalising
 
-    def normalise(self, text: str) -> tuple[str, list[int], list[int]]:
+    def normalise(self, text: str) -> tuple[str, np.ndarray, np.ndarray]:
         """Normalised text, and for each of its characters the original bytes it comes from: begin, end."""
+        if self.identity:
+            points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            lead = int(self.prefix and bool(text))
+            end = np.zeros(len(points) + lead, np.int64)
+            np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000), out=end[lead:])
+            begin = np.zeros_like(end)
+            begin[1:] = end[:-1]
+            return MARK * lead + text.replace(" ", MARK), begin, end
         raw, out, begin, end, at = text.encode(), [], [], [], 0
 
         def put(chars: str, a: int, b: int) -> None:
@@ -113,7 +131,7 @@ class Model:
             out.pop(), begin.pop(), end.pop()
         if self.prefix and out:
             out.insert(0, MARK), begin.insert(0, 0), end.insert(0, 0)
-        return "".join(out), begin, end
+        return "".join(out), np.array(begin, np.int64), np.array(end, np.int64)
 
     # Merging
 
@@ -150,17 +168,7 @@ class Model:
 
     def encode(self, text: str) -> tuple[list[int], list[int], list[int]]:
         """Ids, and for each the original bytes it stands for: begin, end. The parts of a character spelt in bytes share its bytes."""
-        normal, begin, end = self.normalise(text)
-        ids, starts, ends, at = [], [], [], 0
-        for symbols in self.merge(self.chunks(normal)):
-            for symbol in symbols:
-                size = len(self.names[symbol]) if symbol < OTHER else 1
-                for i in self.symbol_ids(symbol):
-                    ids.append(i)
-                    starts.append(begin[at])
-                    ends.append(end[at + size - 1])
-                at += size
-        return ids, starts, ends
+        return tuple(x.tolist() for x in next(self.spans([text])))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes joined and read as UTF-8, space marks as spaces, without the space put before the text."""
@@ -179,44 +187,80 @@ class Model:
     # Whole texts, with memory
 
     def _learn(self, chunks: list[str]) -> None:
-        lead = [self.ids[MARK]] if self.prefix else []  # decoded as in the middle of a text, where no space is taken away
-        word, surface = self.decimal.__getitem__, self.surface.__getitem__
-        for chunk, symbols in zip(chunks, self.merge(chunks), strict=True):
-            if max(symbols) < OTHER:  # only pieces, each with a text of its own
-                self.known[chunk] = (",".join(map(word, symbols)), "".join(map(surface, symbols)))
-            else:
-                ids = [i for x in symbols for i in self.symbol_ids(x)]
-                self.known[chunk] = (",".join(map(word, ids)), self.decode(lead + ids))
-
-    def _parts(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self.plain and "  " not in text and text[0] != " " and MARK not in text:
+        ids, first, last, counts = [], [], [], []
+        for symbols in self.merge(chunks):
+            at, before = 0, len(ids)
+            for symbol in symbols:
+                size = len(self.names[symbol]) if symbol < OTHER else 1
+                for i in self.symbol_ids(symbol):
+                    ids.append(i)
+                    first.append(at)
+                    last.append(at + size - 1)
+                at += size
+            counts.append(len(ids) - before)
+        n, m = len(self.known), self.used
+        while n + len(chunks) > len(self.at):
+            self.at, self.count, self.chars = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.count, self.chars))
+        while m + len(ids) > len(self.flat):
+            self.flat, self.first, self.last = (np.concatenate([x, np.zeros_like(x)]) for x in (self.flat, self.first, self.last))
+        self.known.update(zip(chunks, range(n, n + len(chunks)), strict=True))
+        ends = np.cumsum(counts)
+        self.count[n : n + len(chunks)], self.at[n : n + len(chunks)] = counts, m + ends - counts
+        self.chars[n : n + len(chunks)] = [len(c) for c in chunks]
+        self.flat[m : m + len(ids)], self.first[m : m + len(ids)], self.last[m : m + len(ids)] = ids, first, last
+        self.used = m + len(ids)
+
+    def _parts(self, text: str, normal: str) -> list[str]:
+        if self.plain and text and "  " not in text and text[0] != " " and MARK not in text:
             return f"{MARK}{text.replace(' ', f' {MARK}')}".replace("\n", " \n ").split(" ")
-        return self.chunks(self.normalise(text)[0])
+        return self.chunks(normal)
 
-    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Of each text: number of ids, SHA-256 of the ids as decimals, SHA-256 of the decoded text."""
-        out = []
+    def spans(self, texts: list[str]):
+        """Arrays ids, begins, ends of each text, one after the other."""
         for run in some(texts):
             if len(self.known) > CACHE:
                 self.forget()
-            known = self.known
-            parts = [self._parts(t) for t in run]
+            known, aligned = self.known, [self.normalise(t) for t in run]
+            parts = [self._parts(t, normal) for t, (normal, _, _) in zip(run, aligned, strict=True)]
             if new := {c for p in parts for c in p if c not in known}:
                 self._learn(list(new))
-            for p in parts:
-                both = [known[c] for c in p]
-                ids = ",".join([b[0] for b in both if b[0]])
-                decoded = "".join([b[1] for b in both])
-                if self.prefix and decoded[:1] == " ":
-                    decoded = decoded[1:]
-                n = ids.count(",") + 1 if ids else 0
-                out.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+            for p, (normal, begin, end) in zip(parts, aligned, strict=True):
+                which = np.array([known[c] for c in p], np.int64)
+                counts, chars = self.count[which], self.chars[which]
+                if chars.sum() != len(normal):
+                    raise ValueError("the parts are not the whole text")
+                upto = np.cumsum(counts)
+                place = np.repeat(self.at[which] - upto + counts, counts) + np.arange(counts.sum())
+                start = np.repeat(np.cumsum(chars) - chars, counts)
+                yield self.flat[place], begin[start + self.first[place]], end[start + self.last[place]]
+
+    def check_spans(self, text: str, begins: np.ndarray, ends: np.ndarray) -> None:
+        """Spans lie in the text and run forwards; where nothing is replaced or trimmed, they leave out and repeat nothing."""
+        size = len(text.encode())
+        if not len(begins):
+            right = not size or not self.identity
+        else:
+            right = begins[0] >= 0 and ends[-1] <= size and (begins <= ends).all() and (np.diff(begins) >= 0).all() and (np.diff(ends) >= 0).all()
+            if self.identity:
+                same = (begins[1:] == begins[:-1]) & (ends[1:] == ends[:-1])  # one character spelt in bytes
+                right = right and begins[0] == 0 and ends[-1] == size and (same | (begins[1:] == ends[:-1])).all()
+        if not right:
+            raise ValueError("pieces do not cover the text they stand for")
+
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Of each text: number of ids, SHA-256 of the ids as decimals, SHA-256 of the decoded text. The spans are checked."""
+        out, word, surface = [], self.decimal.__getitem__, self.surface.__getitem__
+        for text, (ids, begins, ends) in zip(texts, self.spans(texts), strict=True):
+            self.check_spans(text, begins, ends)
+            flat = ids.tolist()
+            decoded = b"".join(map(surface, flat))  # characters spelt in bytes are whole
+            if self.prefix and decoded[:1] == b" " and self.names[flat[0]].startswith(MARK):
+                decoded = decoded[1:]
+            out.append((len(flat), hashlib.sha256(",".join(map(word, flat)).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
         return out
 
     def encode_all(self, texts: list[str]) -> list[tuple]:
-        return [self.encode(t) for t in texts]
+        return [tuple(x.tolist() for x in found) for found in self.spans(texts)]
 
 
 _models: dict[bytes, Model] = {}
