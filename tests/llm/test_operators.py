@@ -366,6 +366,19 @@ def test_language_stage_keeps_all_texts_with_letters(spark, odd, lang):
     assert collections.Counter((r.doc_id, r.text) for r in kept) == collections.Counter(want)
 
 
+def test_rare_languages_and_long_words_are_learned(spark):
+    word = lambda i: hashlib.sha256(str(i).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))
+    rows = [(i, " ".join(word(7 * i + j)[:8] for j in range(7)), "big") for i in range(2000)]
+    rows += [(3000 + i, "zuq vuqz quvz", "rare") for i in range(6)] + [(4000 + i, word(9) * 2 + "rstuv", "long") for i in range(6)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 50, 30, 500)
+    assert model["langs"] == ["big", "long", "rare"]
+    assert {"zuq", "vuqz", "quvz"} <= set(model["words"]) and {"rstuv", "stuv>"} <= set(model["grams"])
+    assert {len(g) for g in model["grams"]} == {1, 2, 3, 4, 5}
+    scorer = langid.Scorer(model)
+    assert scorer.text("vuqz zuq")[0] == "rare" and scorer.text(word(9) * 2 + "rstuv")[0] == "long"
+    assert scorer.word(word(9) * 2 + "rstuv") in scorer.words.values()
+
+
 def test_unseen_words_fall_back_to_longest_known_grams():
     import numpy as np
 

@@ -2,11 +2,16 @@
 
 A known word scores by its log frequency in each language. An unseen word falls back to its character n-grams of
 length 5, then 4, and so on down to single characters: the first length with a known n-gram decides. The model is
-counted by Spark on a bounded sample of labelled documents, and its size is bounded too.
+counted by Spark on a bounded sample of the labelled documents of each language, and keeps a bounded number of words
+and n-grams of each, so that no language is crowded out by a larger one.
 """
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+from itertools import chain
+
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
@@ -15,10 +20,13 @@ from pyspark.sql import functions as F
 from tradelake.llm.common import add_columns
 from tradelake.session import materialize
 
+# Of each language.
 SAMPLE_DOCS = 20_000
 MAX_WORDS = 60_000
 MAX_GRAMS = 60_000
 LONGEST = 5
+# Longer words are known by a hash; their n-grams are counted in stretches of so many.
+LONG_WORD = 64
 SMOOTH = 0.1
 # Entries of a task's memory of words it has scored.
 CACHE = 300_000
@@ -32,48 +40,59 @@ def held_out(doc_id):
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
-    """Log frequencies of words and n-grams per language, from about `sample_docs` labelled documents.
+    """Log frequencies of words and n-grams per language, from about `sample_docs` labelled documents of each.
 
-    Learns from text and lang of rows that are not held out and have a lang. The sample is drawn by a hash of the
-    id. Words are runs of letters in lower case. Languages without documents in the table are unknown.
+    Learns from text and lang of rows that are not held out and have a lang; a language with `sample_docs` such rows or
+    fewer is read whole. The sample is drawn by a hash of the id. Words are runs of letters in lower case; of each
+    language the `max_words` words and `max_grams` n-grams it has most often are kept, with their counts in all
+    languages. Languages without documents in the table are unknown.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
-    total = labelled.count()
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_docs / max(total, 1)))
+    totals = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
+    empty = {"langs": [], "words": [], "word_logs": np.zeros((0, 0)), "grams": [], "gram_logs": np.zeros((0, 0))}
+    if not totals:
+        return empty
+    shares = F.create_map(*map(F.lit, chain(*[(x, int((1 << 30) * min(1.0, sample_docs / n))) for x, n in totals.items()])))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < shares[F.col("lang")]
     words = labelled.where(part).select(
         "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("word")
     )
-    counts = materialize(words.where(F.length("word") <= 64).groupBy("word", "lang").count(), "word-counts")
+    counts = materialize(words.groupBy("word", "lang").count(), "word-counts")
     sizes = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("count").alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return {"langs": [], "words": [], "word_logs": np.zeros((0, 0)), "grams": [], "gram_logs": np.zeros((0, 0))}
+        return empty
     padded = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
-    grams = counts.select(
+    # A stretch has the n-grams that start in its first LONG_WORD characters.
+    starts = F.sequence(F.lit(1), F.length(padded), F.lit(LONG_WORD))
+    stretches = counts.select(
+        "lang", "count", F.explode(F.transform(starts, lambda i: F.substring(padded, i, F.lit(LONG_WORD + LONGEST - 1)))).alias("part")
+    )
+    size = F.length("part")
+
+    def grams_of(n: int):
+        # The function has one parameter only: Spark would give a second one the index.
+        places = F.sequence(F.lit(1), F.greatest(F.least(size - n + 1, F.lit(LONG_WORD)), F.lit(1)))
+        found = F.transform(places, lambda i: F.substring("part", i, F.lit(n)))
+        return F.when(size >= n, found).otherwise(F.expr("cast(array() as array<string>)"))
+
+    grams = stretches.select(
         "lang",
         "count",
-        F.explode(
-            F.flatten(
-                F.array(
-                    *[
-                        F.transform(
-                            F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))),
-                            lambda i, n=n: F.substring(padded, i, F.lit(n)),
-                        )
-                        for n in range(1, LONGEST + 1)
-                    ]
-                )
-            )
-        ).alias("gram"),
+        F.explode(F.flatten(F.array(*[grams_of(n) for n in range(1, LONGEST + 1)]))).alias("gram"),
     )
     gram_counts = materialize(grams.groupBy("gram", "lang").agg(F.sum("count").alias("count")), "gram-counts")
 
     def top(table: DataFrame, key: str, most: int) -> tuple[list[str], np.ndarray]:
         per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("count"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)]
-        found = table.groupBy(key).agg(F.sum("count").alias("all"), *per_lang).orderBy(F.desc("all"), key).limit(most).collect()
-        seen = np.array([r[2:] for r in found], float).reshape(len(found), len(langs))
+        of_each = [table.where(F.col("lang") == x).orderBy(F.desc("count"), key).limit(most).select(key) for x in langs]
+        best = materialize(reduce(DataFrame.union, of_each).distinct(), f"top-{key}s")
+        found = sorted(table.join(best, key, "left_semi").groupBy(key).agg(*per_lang).collect())
+        seen = np.array([r[1:] for r in found], float).reshape(len(found), len(langs))
         return [r[0] for r in found], np.log((seen + SMOOTH) / (seen.sum(0) + SMOOTH * len(found)))
 
+    long = F.concat(F.lit("#"), F.sha2(F.encode("word", "UTF-8"), 256))
+    counts = counts.withColumn("word", F.when(F.length("word") > LONG_WORD, long).otherwise(F.col("word")))
     word_keys, word_logs = top(counts, "word", max_words)
     gram_keys, gram_logs = top(gram_counts, "gram", max_grams)
     return {"langs": langs, "words": word_keys, "word_logs": word_logs, "grams": gram_keys, "gram_logs": gram_logs}
@@ -95,7 +114,7 @@ class Scorer:
         self.rows = np.zeros((1024, len(self.langs) + 1))
 
     def word(self, word: str) -> tuple[float, ...]:
-        logs = self.words.get(word)
+        logs = self.words.get(word if len(word) <= LONG_WORD else "#" + hashlib.sha256(word.encode()).hexdigest())
         if logs is not None:
             return logs
         padded, grams = f"<{word}>", self.grams
