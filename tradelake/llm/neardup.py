@@ -1,16 +1,18 @@
-"""Near duplicates by an LSH forest.
+"""Near duplicates by bands of min-hash labels with leaders, in place of an LSH forest.
 
-A document is the set of its shingles of `words` words. Each of `trees` trees orders the documents by its own min-hash
-labels; documents whose labels share a prefix of DEPTH form a region of that tree. Candidates are documents of one
-region:
+A document is the set of its shingles of `words` words. Each of `trees` trees has its own min-hash labels; documents
+with the same first DEPTH labels form a region of that tree, found by a hash of these labels. Nothing is sorted, no
+neighbours by longest common prefix are taken, the depth is the same everywhere and the label after DEPTH only counts
+in whole signatures. Candidates are documents of one region:
 
 - a small region gives all its pairs;
 - in a large region every document is first paired with one leader, the member that shares most regions. After
   these pairs are confirmed, documents outside the region's largest component are compared with the rest, block by
-  block, first by whole signatures: there the forest descends from DEPTH labels to all of them.
+  block, first by whole signatures: pairs that agree in fewer than `least_alike` labels are dropped unseen.
 
 Every link is confirmed on the full sets. Two documents of likeness s share no region with probability
-(1 - s**DEPTH)**trees, which is 8e-7 for 24 trees at 0.85 and 6e-7 for 36 trees at 0.8. Documents with equal sets are one node from the start.
+(1 - s**DEPTH)**trees, which is 8e-7 for 24 trees at 0.85 and 6e-7 for 36 trees at 0.8. A pair of exactly the threshold that
+is left over in a large region is dropped by its signatures once in about 30,000 pairs more. Documents with equal sets are one node from the start.
 """
 
 from __future__ import annotations
