@@ -8,18 +8,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tradelake.llm import chat, extraction, langid, neardup, packing, pieces, quality, repeats, sharding, winnowing
+from tradelake.llm import chat, extraction, langid, neardup, packing, pieces, quality, repeats, sharding, tokenfiles, winnowing
 from tradelake.llm.common import table
 from tradelake.session import scratch_path
 
 SHARDS = 24
 
 
-def word_tokenizer() -> str:
-    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+def _vocabulary(name: str) -> str:
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
         return f.read()
 
 
+def word_tokenizer() -> str:
+    return _vocabulary("word_bpe_49k.json")
+
+
+def byte_tokenizer() -> str:
+    return _vocabulary("byte_bpe_50k.json")
+
+
 def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
@@ -80,8 +88,15 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarize(chat.render(chat.fold(log)))
 
 
+def op13_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-ids")
+    files = tokenfiles.write(table(spark, sf_dir, "documents"), byte_tokenizer(), folder)
+    return tokenfiles.read(files, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
         op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op6_lsh_forest, op7_host_rules, op8_boosted_dom, op9_repeats, op10_chat,
+        op13_elias_fano,
     )}
 
