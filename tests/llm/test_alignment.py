@@ -89,11 +89,8 @@ ODD = [
 
 
 @pytest.mark.parametrize("block", [1 << 25, 300])
-def test_odd_rows(spark, plain, model, block, monkeypatch):
-    """Also with small blocks of slots, runs and pairs: nothing may depend on them."""
-    if block == 300:
-        for name, value in (("RUN", 50), ("PAIRS", 7), ("REMEMBERED", 40)):
-            monkeypatch.setattr(alignment, name, value)
+def test_odd_rows(spark, plain, model, block):
+    """Also in several blocks of slots: the sums may not depend on them."""
     docs = spark.createDataFrame(ODD, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("row", "a", "B", "n_a", "shard")})
     assert rows_of(alignment.align(docs.repartition(5), byte_tokenizer(), model, block)) == plain(ODD)
 
@@ -108,16 +105,29 @@ def test_a_table_without_links(spark, model):
     assert [r[1:7] for r in alignment.align(docs, byte_tokenizer(), model).collect()] == [(0,) * 6] * 2
 
 
-def test_small_blocks_inside_tasks():
-    """Blocks of pairs of one group give the same pairs as one block."""
+@pytest.mark.parametrize("pairs, run", [(1, 1), (3, 4), (1000, 1000)])
+def test_small_blocks_inside_tasks(monkeypatch, pairs, run):
+    """Documents in runs and pairs in blocks of any size: the same pairs as from all of them at once."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(alignment, "PAIRS", pairs)
+    monkeypatch.setattr(alignment, "RUN", run)
     aligner = alignment.Aligner(np.array([1, 2, 3]), np.array([1, 2, 4]))
-    a, b = [np.array([2, 1, 0, 0, 0, 1])], [np.array([1, 2, 2])]
-    whole = [(k, t) for _, key, _, times in aligner.align(a, b).pairs() for k, t in zip(key.tolist(), times.tolist(), strict=True)]
-    links = collections.Counter()
-    for x in a[0]:
-        for y in b[0]:
-            links[int(x * 3 + y)] += 1
-    assert dict(whole) == links
+    a, b = [[2, 1, 0, 0, 0, 1], [], [1, 1], [2]], [[1, 2, 2], [], [2], [0, 0, 0]]
+    groups = [([2, 1, 0], [1, 2]), ([0, 0, 1], [2]), ([1, 1], [2]), ([2], [0, 0, 0])]
+    batch = pa.record_batch([pa.array([np.array(x, "<u4").tobytes() for x in side], pa.binary()) for side in (a, b)], names=["a", "b"])
+    links, distinct, n = collections.Counter(), collections.Counter(), 0
+    for part, aligned in alignment._runs([batch], aligner):
+        n += part.num_rows
+        distinct.update(aligned.pairs_of_documents().tolist())
+        for _, key, of_a, times in aligned.pairs():
+            assert (key // 3 == of_a).all()
+            for k, t in zip(key.tolist(), times.tolist(), strict=True):
+                links[k] += t
+    assert n == 4
+    assert links == collections.Counter(x * 3 + y for g in groups for x in g[0] for y in g[1])
+    docs = [groups[:2], groups[2:3], groups[3:]]
+    assert distinct == collections.Counter(k for d in docs for k in {x * 3 + y for g in d for x in g[0] for y in g[1]})
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000, 200_000])
