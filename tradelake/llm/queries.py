@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tradelake.llm import alignment, chat, extraction, langid, neardup, packing, pieces, quality, repeats, sharding, tokenfiles, winnowing
+from tradelake.llm import alignment, chat, extraction, langid, neardup, packing, pieces, quality, repair, repeats, sharding, tokenfiles, winnowing
 from tradelake.llm.common import table
 from tradelake.session import scratch_path
 
@@ -88,6 +88,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.summarize(chat.render(chat.fold(log)))
 
 
+def op11_four_russians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(rows, repair.damage(rows))
+
+
 def op12_pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     return alignment.align(table(spark, sf_dir, "documents"), byte_tokenizer(), model)
@@ -102,6 +107,6 @@ def op13_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.__name__: q for q in (
         op1_hilbert_packing, op2_winnowing, op3_virtual_slots, op4_sentencepiece, op5_langid, op6_lsh_forest, op7_host_rules, op8_boosted_dom, op9_repeats, op10_chat,
-        op12_pair_counts, op13_elias_fano,
+        op11_four_russians, op12_pair_counts, op13_elias_fano,
     )}
 
