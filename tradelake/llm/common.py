@@ -47,16 +47,27 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
-def add_columns(docs: DataFrame, compute: Callable, fields: str) -> tuple[DataFrame, str]:
+def free_name(docs: DataFrame, name: str) -> str:
+    """`name`, or `name` with underscores behind it, so that no column of `docs` has it in any spelling of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+# Rows whose texts are Python strings at a time.
+ROWS = 1000
+
+
+def add_columns(docs: DataFrame, compute: Callable, fields: str, finish: Callable[[], None] | None = None) -> tuple[DataFrame, str]:
     """`docs` with one more struct column of `fields`, and that column's name, which no column of `docs` has.
 
-    `compute` gets the texts of a record batch (None where null) and returns one list per field. It runs on Arrow
-    batches and so never holds more than a batch; every other column passes through as it is.
+    `compute` gets the texts of some rows (None where null) and returns one list per field; `finish` is called when a
+    task has no more rows. It runs on Arrow batches and so never holds more than a batch; every other column passes
+    through as it is.
     """
     ship_package(docs.sparkSession)
-    name = "_added"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_added")
     added = StructType.fromDDL(fields)
     schema = StructType([*docs.schema.fields, StructField(name, added)])
 
@@ -64,13 +75,13 @@ def add_columns(docs: DataFrame, compute: Callable, fields: str) -> tuple[DataFr
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_type
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             values = compute(batch.column("text").to_pylist())
             arrays = [pa.array(v, type=to_arrow_type(f.dataType)) for v, f in zip(values, added.fields, strict=True)]
             struct = pa.StructArray.from_arrays(arrays, names=added.fieldNames())
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, name])
+        if finish:
+            finish()
 
     return docs.mapInArrow(run, schema), name
 

@@ -9,6 +9,7 @@ and n-grams of each, so that no language is crowded out by a larger one.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from functools import reduce
 from itertools import chain
 
@@ -28,8 +29,8 @@ LONGEST = 5
 # Longer words are known by a hash; their n-grams are counted in stretches of so many.
 LONG_WORD = 64
 SMOOTH = 0.1
-# Entries of a task's memory of words it has scored.
-CACHE = 300_000
+# Chunks between spaces whose scores a task remembers.
+CACHE = 200_000
 # Words that count fully towards the score; more words do not make it surer.
 SURE_WORDS = 20
 _LETTERS = regex.compile(r"\p{L}+")
@@ -99,30 +100,32 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WO
 
 
 class Scorer:
-    """Scores texts with a fitted model."""
+    """Scores texts with a fitted model, which it keeps as two dictionaries of places and one array of numbers."""
 
     def __init__(self, model: dict):
         self.langs = model["langs"]
-        # Tuples of floats: for so few numbers they are faster than arrays.
-        self.words = dict(zip(model["words"], map(tuple, model["word_logs"].tolist()), strict=True))
-        self.grams = dict(zip(model["grams"], map(tuple, model["gram_logs"].tolist()), strict=True))
-        self.zero = (0.0,) * len(self.langs)
+        self.words = dict(zip(model["words"], range(len(model["words"])), strict=True))
+        self.grams = dict(zip(model["grams"], range(len(self.words), len(self.words) + len(model["grams"])), strict=True))
+        self.logs = array("d", np.concatenate([model["word_logs"], model["gram_logs"]]).tobytes())
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.langs) + 1))
 
-    def word(self, word: str) -> tuple[float, ...]:
-        logs = self.words.get(word if len(word) <= LONG_WORD else "#" + hashlib.sha256(word.encode()).hexdigest())
-        if logs is not None:
-            return logs
+    def _logs(self, place: int) -> array:
+        return self.logs[place * len(self.langs) : (place + 1) * len(self.langs)]
+
+    def word(self, word: str) -> array | tuple[float, ...]:
+        place = self.words.get(word if len(word) <= LONG_WORD else "#" + hashlib.sha256(word.encode()).hexdigest())
+        if place is not None:
+            return self._logs(place)
         padded, grams = f"<{word}>", self.grams
         for n in range(min(LONGEST, len(padded)), 0, -1):
-            found = [grams[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in grams]
+            found = [self._logs(grams[g]) for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in grams]
             if found:
                 return tuple([sum(x) / len(found) for x in zip(*found, strict=True)])
-        return self.zero
+        return (0.0,) * len(self.langs)
 
     def row(self, chunk: str) -> int:
         """Where the sum over the words of a chunk between spaces is kept, with their number in the last place."""
@@ -158,12 +161,16 @@ def predict(docs: DataFrame, model: dict) -> tuple[DataFrame, str]:
 
     `und` is also what a model without languages says, and may be a learned label: only has_letters tells texts without
     a letter. Equal scores go to the language first in order of name. A repeated row gets the same result again.
+
+    The model is broadcast: it has a bounded number of entries, and each Python worker keeps it once, until it gets a task
+    of another stage.
     """
-    scorer: list[Scorer] = []  # of one task: what it remembers goes with it
+    shared = docs.sparkSession.sparkContext.broadcast(Scorer(model))
 
     def compute(batch: list[str | None]) -> list:
-        if not scorer:
-            scorer.append(Scorer(model))
-        return list(zip(*map(scorer[0].text, batch), strict=True))
+        return list(zip(*map(shared.value.text, batch), strict=True))
+
+    def finish() -> None:
+        shared.value.forget()
 
-    return add_columns(docs, compute, "lang_pred string, score double, has_letters boolean")
+    return add_columns(docs, compute, "lang_pred string, score double, has_letters boolean", finish)

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import add_columns
+from tradelake.llm.common import add_columns, free_name
 from tradelake.session import materialize
 
 MIN_WORDS = 10
@@ -91,12 +91,13 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_RATE) ->
     """
     counted, name = add_columns(docs, _count, FIELDS)
     counted = materialize(counted, "word-counts")
-    verdicts = counted.withColumn("__host", F.coalesce(F.col(host).cast("string"), F.lit("")))
+    of, rate = free_name(counted, "_host"), free_name(counted, "_rate")
+    verdicts = counted.withColumn(of, F.coalesce(F.col(host).cast("string"), F.lit("")))
     failed = base_failed(F.col(name))
-    rates = host_rates(verdicts.select(F.col("__host").alias("host"), failed.alias("failed")))
+    rates = host_rates(verdicts.select(F.col(of).alias("host"), failed.alias("failed")))
     # Written first, so that the join can split a host with many documents or broadcast the rates if they are few.
-    rates = materialize(rates.select(F.col("host").alias("__host"), F.col("rate").alias("__rate")), "host-rates")
-    extra = [failed.alias("base_failed"), F.col("__rate").alias("host_rate"), (~failed & (F.col("__rate") <= max_rate)).alias("kept")]
-    judged = verdicts.join(rates, "__host")
+    rates = materialize(rates.select(F.col("host").alias(of), F.col("rate").alias(rate)), "host-rates")
+    extra = [failed.alias("base_failed"), F.col(rate).alias("host_rate"), (~failed & (F.col(rate) <= max_rate)).alias("kept")]
+    judged = verdicts.join(rates, of)
     struct = F.struct(F.col(f"{name}.*"), *extra).alias(name)
     return judged.select(*docs.columns, struct), name

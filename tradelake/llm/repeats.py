@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tradelake.llm.common import MIN_LONG, drop, ship_package, stage
+from tradelake.llm.common import MIN_LONG, drop, free_name, ship_package, stage
 from tradelake.llm.hashing import Prefix
 
 SPAN = 200
@@ -134,13 +134,15 @@ KEY = "id long, text_key long"
 RUN = "first int, last int, anchor int, key long, whole long"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """`docs` with id and text_key, which together name a text; their names are new to `docs`."""
-    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_LONG)), "__text_key": F.xxhash64("doc_id", "text")})
+def keyed(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """`docs` with two more columns, which together name a text, and their names, which are new to `docs`."""
+    key_id, key = free_name(docs, "_id"), free_name(docs, "_text_key")
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_LONG))
+    return docs.withColumns({key_id: known, key: F.xxhash64("doc_id", "text")}), key_id, key
 
 
-def _bodies(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("__id").alias("id"), F.col("__text_key").alias("text_key"), F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
+def _bodies(docs: DataFrame, key_id: str, key: str) -> DataFrame:
+    return docs.select(F.col(key_id).alias("id"), F.col(key).alias("text_key"), F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
 
 
 def runs(bodies: DataFrame) -> DataFrame:
@@ -267,15 +269,13 @@ def remove_repeats(docs: DataFrame, replace: bool = True) -> tuple[DataFrame, st
     repeated row counts as a second place of each of its strings, so rows of SPAN bytes or more that occur twice lose
     everything. Strings that overlap themselves count as two places.
     """
-    named = keyed(docs)
-    spans = repeat_spans(_bodies(named))
-    lists = spans.groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__text_key")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("__spans")
+    named, key_id, key = keyed(docs)
+    spans = repeat_spans(_bodies(named, key_id, key))
+    found_spans, name = free_name(docs, "_spans"), free_name(docs, "_removed")
+    lists = spans.groupBy(F.col("id").alias(key_id), F.col("text_key").alias(key)).agg(
+        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias(found_spans)
     )
-    joined = named.join(lists, ["__id", "__text_key"], "left").select(*docs.columns, "__spans")
-    name = "_removed"
-    while name in docs.columns:
-        name += "_"
+    joined = named.join(lists, [key_id, key], "left").select(*docs.columns, found_spans)
     added = StructType.fromDDL("n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     out = StructType([*docs.schema.fields, StructField(name, added)])
     sized = replace and "n_chars" in docs.columns
@@ -286,7 +286,7 @@ def remove_repeats(docs: DataFrame, replace: bool = True) -> tuple[DataFrame, st
 
         for b in batches:
             texts, infos = [], []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("__spans").to_pylist(), strict=True):
+            for text, spans in zip(b.column("text").to_pylist(), b.column(found_spans).to_pylist(), strict=True):
                 raw, at, kept = (text or "").encode(), 0, []
                 found = _merge([s["start"] for s in spans], [s["stop"] for s in spans]) if spans else []
                 for start, stop in found:
