@@ -1,11 +1,14 @@
 """Byte-pair merging of many words at once.
 
 Words of one length form a matrix of symbols. In each round every word merges its best pair, the leftmost among
-equals, until no word has a pair left. A word's result does not depend on the words it shares a matrix with.
+equals, until no word has a pair left. A word's result does not depend on the words it shares a matrix with. A round
+copies the matrix, so words of more than LONG symbols are merged one by one, as linked symbols with a heap of pairs:
+the same merges in the same order, in time that grows with the word times its logarithm.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +16,7 @@ import numpy as np
 NONE = np.int32(2**31 - 1)
 # Symbols of one matrix; longer words are merged in matrices of fewer rows.
 CELLS = 2_000_000
+LONG = 200
 
 
 class Merger:
@@ -23,6 +27,7 @@ class Merger:
         self.keys = np.append(keys[order], np.int64(2**62))
         self.rank = np.append(np.array(rank, np.int32)[order], NONE)
         self.merged = np.append(np.array(merged, np.int32)[order], np.int32(-1))
+        self.pairs: dict[int, tuple[int, int]] = {}
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of each pair; NONE where the pair does not merge or a side is missing (negative)."""
@@ -40,6 +45,12 @@ class Merger:
         of = lengths[order]
         for length in np.unique(of[of > 1]):
             rows = order[np.searchsorted(of, length) : np.searchsorted(of, length, "right")]
+            if length > LONG:
+                for row in rows.tolist():
+                    done = self.merge_long(out[starts[row] : starts[row + 1]])
+                    counts[row] = len(done)
+                    out[starts[row] : starts[row] + len(done)] = done
+                continue
             step = max(1, CELLS // int(length))
             for i in range(0, len(rows), step):
                 some = rows[i : i + step]
@@ -50,6 +61,31 @@ class Merger:
         inside = np.arange(len(out)) - np.repeat(starts[:-1], lengths) < np.repeat(counts, lengths)
         return out[inside], counts
 
+    def merge_long(self, symbols: np.ndarray) -> list[int]:
+        """Merged symbols of one word."""
+        if not self.pairs:
+            self.pairs = dict(zip(self.keys[:-1].tolist(), zip(self.rank[:-1].tolist(), self.merged[:-1].tolist(), strict=True), strict=True))
+        pair, symbol, n = self.pairs.get, symbols.tolist(), len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank, _ = self.look_up(symbols[:-1], symbols[1:])
+        heap = [(r, i) for i, r in enumerate(rank.tolist()) if r < NONE]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            found = pair((symbol[i] << 32) | symbol[j]) if symbol[i] >= 0 and j < n else None
+            if found is None or found[0] != r:
+                continue  # one of the two has been merged since
+            symbol[i], symbol[j] = found[1], -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if right := pair((symbol[i] << 32) | symbol[after[i]]):
+                    heapq.heappush(heap, (right[0], i))
+            if before[i] >= 0 and (left := pair((symbol[before[i]] << 32) | symbol[i])):
+                heapq.heappush(heap, (left[0], before[i]))
+        return [s for s in symbol if s >= 0]
+
     def _rounds(self, s: np.ndarray) -> np.ndarray:
         result = s.copy()
         rows = np.arange(len(s))

@@ -1,23 +1,24 @@
 """Ids of a word-level byte-pair tokenizer (lower case, white space dropped), as the tokenizers library gives them.
 
-Text between spaces is encoded once per Python worker and remembered. New chunks are normalised, split into words
-and merged many at once; chunks with characters whose normalisation depends on Unicode tables go to the library.
+Words are found here and merged by tiktoken, in time that grows with the text also inside very long words. In the
+vocabulary the last byte of a word is a symbol of its own; tiktoken knows bytes only, so a mark is put behind every
+word, which its first merges tie to the last byte. Chunks between spaces with characters whose normalisation depends
+on Unicode tables go to the tokenizers library. Nothing is remembered from text to text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from itertools import groupby
 
 import numpy as np
 import regex
 
-from tradelake.llm.merging import Merger, some
-
-# Chunks a Python worker remembers, and words among them.
-CACHE, WORDS = 450_000, 300_000
-# Letters below this code point are the same after NFC, and Python and the library lower them alike.
+# Characters below this one are the same after NFC, and Python and the library lower them alike.
 SIMPLE = "ƀ"
+# Behind every word; texts that hold it go to the library, as it is not below SIMPLE.
+MARK = "\U0010ffff"
 
 
 def byte_symbols() -> list[str]:
@@ -29,70 +30,56 @@ def byte_symbols() -> list[str]:
 
 class WordTokenizer:
     def __init__(self, spec: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         parsed = json.loads(spec)
-        model = parsed["model"]
-        self.end = model["end_of_word_suffix"]
-        vocabulary = model["vocab"]
+        model, special = parsed["model"], {t["id"] for t in parsed["added_tokens"]}
+        vocabulary, suffix = model["vocab"], model["end_of_word_suffix"]
+        if max(vocabulary.values()) >= 2**16:
+            raise ValueError("ids are kept in 16 bits")
+        merged = [vocabulary[a + b] for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
+        if merged != sorted(merged) or len(merged) + 512 != len(set(vocabulary.values()) - special):
+            raise ValueError("only vocabularies whose ids are in the order of their merges are supported")
         self.pattern = regex.compile(parsed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.merger = Merger(
-            [vocabulary[a] for a, _ in pairs], [vocabulary[b] for _, b in pairs], list(range(len(pairs))), [vocabulary[a + b] for a, b in pairs]
-        )
-        self.inner = np.array([vocabulary[c] for c in byte_symbols()], np.int32)
-        self.last = np.array([vocabulary[c + self.end] for c in byte_symbols()], np.int32)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
-
-    def _learn_words(self, words: list[str]) -> None:
-        raw = [w.encode() for w in words]
-        ends = np.cumsum([len(r) for r in raw])
-        flat = np.frombuffer(b"".join(raw), np.uint8)
-        symbols = self.inner[flat]
-        symbols[ends - 1] = self.last[flat[ends - 1]]
-        merged, counts = self.merger.merge(symbols, np.diff(ends, prepend=0))
-        ids, at = merged.astype("<u2").tobytes(), 0
-        for word, n in zip(words, (counts * 2).tolist(), strict=True):
-            self.words[word] = ids[at : at + n]
-            at += n
-
-    def _learn(self, chunks: list[str]) -> None:
-        simple = [c for c in chunks if max(c) < SIMPLE]
-        split = [self.pattern.findall(c.lower()) for c in simple]
-        if new := {w for words in split for w in words if w not in self.words}:
-            self._learn_words(list(new))
-        known = self.words
-        for chunk, words in zip(simple, split, strict=True):
-            self.known[chunk] = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
-        if other := [c for c in chunks if max(c) >= SIMPLE]:
-            for chunk, found in zip(other, self.library.encode_batch(other, add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(found.ids, "<u2").tobytes()
+        byte_of, mark = {c: b for b, c in enumerate(byte_symbols())}, MARK.encode()
+        # The mark's own bytes merge before anything else, and then with the byte before them.
+        pieces = {mark[: i + 1]: i - 1 for i in range(1, len(mark))}
+        self.shift = len(pieces)
+        for piece, i in vocabulary.items():
+            if i not in special:
+                inner = piece.removesuffix(suffix)
+                pieces[bytes([byte_of[c] for c in inner]) + mark * (piece != inner)] = i + self.shift
+        self.coder = tiktoken.Encoding("words", pat_str=f"[^{MARK}]*{MARK}", mergeable_ranks=pieces, special_tokens={})
+
+    def _simple(self, text: str) -> np.ndarray:
+        words = self.pattern.findall(text.lower())
+        if not words:
+            return np.zeros(0, np.uint32)
+        return self.coder.encode_to_numpy(MARK.join(words) + MARK, disallowed_special=()) - np.uint32(self.shift)
+
+    def _ids(self, text: str) -> np.ndarray:
+        if not text or max(text) < SIMPLE:
+            return self._simple(text)
+        chunks = groupby(text.replace("\n", " ").split(" "), lambda c: bool(c) and max(c) >= SIMPLE)
+        found = [
+            np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32) if other else self._simple(" ".join(some))
+            for other, some in chunks
+        ]
+        return np.concatenate(found)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 16-bit numbers."""
-        out = []
-        for run in some(texts):
-            if len(self.known) > CACHE or len(self.words) > WORDS:
-                self.forget()
-            known = self.known
-            parts = [t.replace("\n", " ").split(" ") for t in run]
-            if new := {c for p in parts for c in p if c not in known}:
-                self._learn(list(new))
-            out += [b"".join([known[c] for c in p]) for p in parts]
-        return out
+        return [self._ids(t).astype("<u2").tobytes() for t in texts]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
 def tokenizer_of(spec: str) -> WordTokenizer:
-    """The tokenizer, built once per Python worker, which keeps what it has learned from task to task."""
+    """The tokenizer, built once per Python worker."""
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _tokenizers:
         _tokenizers[key] = WordTokenizer(spec)
