@@ -73,15 +73,15 @@ def encoded(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
         import pyarrow as pa
 
         a, b = coder_of(spec), pieces_of(model)
-        left = a.coder.decode_bytes
-        for batch in batches:
+        joined_a, joined_b = a.coder.decode_bytes, b.pieces.__getitem__
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             found = ([], [])
             for text in batch.column("text").to_pylist():
                 ids = [np.zeros(0, np.uint32)] * 2
                 if text:
                     whole = f" {text}"
                     raw, ids_a, ids_b = whole.encode(), a.encode(whole), b.encode(text)
-                    if left(ids_a) == raw and b"".join(map(b.pieces.__getitem__, ids_b)) == raw:
+                    if joined_a(ids_a) == raw and b"".join(map(joined_b, ids_b)) == raw:
                         ids = [ids_a, np.array(ids_b, np.uint32)]
                 for column, x in zip(found, ids, strict=True):
                     column.append(x.astype("<u4").tobytes())
@@ -112,7 +112,8 @@ class Aligned:
         self.a, self.b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
         # Both sides of a document have the same bytes, so ends can be counted through all documents.
         ends_a, ends_b = np.cumsum(by.size_a[self.a]), np.cumsum(by.size_b[self.b])
-        self.ends = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]
+        near = np.searchsorted(ends_b, ends_a)
+        self.ends = ends_a[ends_b[near] == ends_a]  # the last ends of both are equal, so no place is past the end
         self.group_a, self.group_b = np.searchsorted(self.ends, ends_a), np.searchsorted(self.ends, ends_b)
         self.n_a, self.n_b = (np.bincount(g, minlength=len(self.ends)) for g in (self.group_a, self.group_b))
         of_a = np.repeat(np.arange(self.docs), [len(x) for x in a])
@@ -124,8 +125,16 @@ class Aligned:
 
     def pairs(self):
         """Blocks of document, key, a and times linked: each group once with each of its distinct pairs of ids."""
-        a, times_a = np.unique((self.group_a << 32) | self.a, return_counts=True)
-        b, times_b = np.unique((self.group_b << 32) | self.b, return_counts=True)
+        alone = (self.n_a == 1) & (self.n_b == 1)
+        if alone.any():  # most groups are one id on each side
+            single_a, single_b = self.a[alone[self.group_a]], self.b[alone[self.group_b]]
+            for low in range(0, len(single_a), PAIRS):
+                some = single_a[low : low + PAIRS]
+                key = some.astype(np.uint64) * self.by.width + single_b[low : low + PAIRS].astype(np.uint64)
+                yield self.doc[alone][low : low + PAIRS], key, some, np.ones(len(some), np.int64)
+        more_a, more_b = ~alone[self.group_a], ~alone[self.group_b]
+        a, times_a = np.unique((self.group_a[more_a] << 32) | self.a[more_a], return_counts=True)
+        b, times_b = np.unique((self.group_b[more_b] << 32) | self.b[more_b], return_counts=True)
         group, a, group_b, b = a >> 32, a & 0xFFFFFFFF, b >> 32, b & 0xFFFFFFFF
         first_b = np.searchsorted(group_b, np.arange(len(self.ends) + 1))
         partners = np.diff(first_b)[group]
