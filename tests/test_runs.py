@@ -205,3 +205,55 @@ def test_a_correction_leaves_other_dates_their_files(spark, tmp_path):
     assert set(after) == {"2024-01-01", "2024-01-03", "2024-01-04", "2024-01-05"}
     assert all(after[d] == before[d] for d in ("2024-01-01", "2024-01-03")) and after["2024-01-04"] != before["2024-01-04"]
     assert [i for _, i, _ in ids(curated.read_current(spark, root))] == ["1", "2", "3", "4", "5", "9"]
+
+
+def test_a_run_reports_its_invariants(spark, tmp_path):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    put(raw_root, "a.jsonl", [line(1), line(2), "oops", line(2)])
+    first = runs.transform(spark, raw_root, root, run_id="r1", as_of="2024-01-01 00:00:00").first()
+    put(raw_root, "b.jsonl", [line(3, symbol="ETH-USD"), line(2, "2024-01-03T00:00:00Z", price="9")])
+    second = runs.transform(spark, raw_root, root, run_id="r2", as_of="2024-01-01 03:00:00").first()
+    assert first.broken_invariants == second.broken_invariants == []
+    # BTC-USD got no higher id three hours later.
+    assert (first.stale_products, second.stale_products) == (0, 1)
+    found = {(r.run_id, r.invariant): (r.expected, r.actual, r.holds) for r in runs.invariants(spark, root).collect()}
+    assert all(holds for *_, holds in found.values())
+    assert found["r1", "records read = transformed + rejected"][:2] == (4, 4)
+    assert found["r1", "records transformed = staged"][:2] == (3, 3)
+    assert found["r2", "rows of the version = rows before + new keys"][:2] == (3, 3)
+
+
+def test_a_write_that_loses_rows_is_not_published(spark, tmp_path, monkeypatch):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    put(raw_root, "a.jsonl", [line(i) for i in range(6)])
+    whole = curated.write_trades
+    monkeypatch.setattr(curated, "write_trades", lambda trades, path: whole(trades, path) and whole(trades.where("trade_id <> '3'"), path) + 1)
+    broken = runs.transform(spark, raw_root, root, run_id="r1").first()
+    assert (broken.status, broken.passed, broken.broken_invariants) == ("invariant_broken", False, ["rows written = rows there"])
+    row = runs.invariants(spark, root).where("NOT holds").first()
+    assert (row.run_id, row.expected, row.actual) == ("r1", 6, 5)
+    assert curated.current_version(spark, root) == 0 and state.load(spark, root, "processed_files").count() == 0
+    # The files are still to be done, and the next run does them.
+    monkeypatch.undo()
+    assert runs.transform(spark, raw_root, root, run_id="r2").first().passed
+    assert curated.read_current(spark, root).count() == 6
+
+
+def test_staging_that_loses_rows_merges_nothing(spark, tmp_path, monkeypatch):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    put(raw_root, "a.jsonl", [line(i) for i in range(6)])
+    whole = runs.stage
+    monkeypatch.setattr(runs, "stage", lambda *args: (lambda rows, sent: (rows.where("trade_id <> '3'"), sent))(*whole(*args)))
+    broken = runs.transform(spark, raw_root, root, run_id="r1").first()
+    assert broken.status == "invariant_broken" and len(broken.broken_invariants) == 2
+    assert curated.current_version(spark, root) == 0
+
+
+def test_keys_written_twice_and_watermarks_behind_are_found(spark, tmp_path, trades):
+    root = str(tmp_path)
+    rows = [("A", "1", "2024-01-01"), ("A", "1", "2024-01-02"), ("A", "2", "2024-01-01")]
+    version = curated.write_version(trades(rows), root)
+    assert runs._written_checks(spark, root, version) == [("written rows = distinct keys", 2, 3)]
+    marks = lambda **cursors: spark.createDataFrame([("x", s, c) for s, c in cursors.items()], "exchange string, symbol string, cursor long")
+    broken = runs._watermark_checks(marks(A=5, B=7, C=1), marks(A=4, B=7, D=2), marks(B=8, D=2))
+    assert broken == [("no watermark goes back or stays behind", 0, 3)]

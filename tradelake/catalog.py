@@ -463,6 +463,29 @@ def incremental_transform(spark: SparkSession, root: str) -> DataFrame:
     return curated.read_current(spark, lake).drop("trade_date", "ingest_ts")
 
 
+def _two_runs(spark: SparkSession, root: str) -> str:
+    """Two pipeline runs on different days over raw files that share a third of their trades, and a third without new files."""
+    raw_root, lake = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    lines, third = views.raw_json(spark, root), F.col("event_id") % 3
+    parts = (("first", lines.where(third < 2), "2024-01-30 00:00:00"), ("second", lines.where(third > 0), views.AS_OF))
+    for run, part, as_of in parts:
+        part.select("value").write.option("compression", "none").text(f"{raw_root}/{run}")
+        runs.transform(spark, raw_root, lake, run_id=run, as_of=as_of, glob="*.txt")
+    return lake
+
+
+def transform_invariants(spark: SparkSession, root: str) -> DataFrame:
+    """What two runs have counted while writing and read back afterwards."""
+    return runs.invariants(spark, _two_runs(spark, root))
+
+
+def run_records(spark: SparkSession, root: str) -> DataFrame:
+    """The records of two runs, with the products that had no news for two hours when they ran."""
+    history = state.load(spark, _two_runs(spark, root), "run_history")
+    counts = [c for c in history.columns if c.startswith(("records", "batch", "duplicates")) or c in ("version", "stale_products")]
+    return history.select("run_id", "status", "passed", *counts, F.array_join("issues", ",").alias("issues"), F.size("broken_invariants").alias("broken"))
+
+
 def _stream_curated(spark: SparkSession, root: str) -> str:
     raw_root, lake = scratch_path(spark, "raw"), scratch_path(spark, "stream")
     views.raw_json(spark, root).select("value").write.text(raw_root)
@@ -589,6 +612,8 @@ _QUERIES: dict[str, Query] = {
     "curated_version": curated_version,
     "storage_footprint": storage_footprint,
     "incremental_transform": incremental_transform,
+    "transform_invariants": transform_invariants,
+    "run_records": run_records,
     "stream_curate": stream_curate,
     "stream_watermarks": stream_watermarks,
     "stream_drop_repeats": stream_drop_repeats,

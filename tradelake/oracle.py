@@ -267,6 +267,25 @@ _USABLE = "event_id % 101 NOT IN (1, 2, 3)"
 _SPLIT = "TIMESTAMP '2024-01-20 00:00:00'"
 _UNIFIED = "exchange, symbol, trade_id, side, price, quantity, trade_ts"
 
+# Two runs: events not divisible by 3 plus 2, and events not divisible by 3. A key is one event, copies and all.
+_TWO_RUNS = f"""
+, parts AS (
+  SELECT 'first' AS run_id, *, {_USABLE} AS good FROM trades WHERE event_id % 3 < 2
+  UNION ALL SELECT 'second', *, {_USABLE} FROM trades WHERE event_id % 3 > 0
+), keys AS (
+  SELECT exchange, symbol, trade_id, min(run_id) AS run_id FROM parts WHERE good GROUP BY 1, 2, 3
+), runs AS (
+  SELECT p.run_id, count(*) AS read, count(CASE WHEN good THEN 1 END) AS usable, count(CASE WHEN NOT good THEN 1 END) AS rejected,
+    count(DISTINCT CASE WHEN good THEN (exchange, symbol, trade_id) END) AS keys,
+    (SELECT count(*) FROM keys k WHERE k.run_id = p.run_id) AS new_keys,
+    count(DISTINCT CASE WHEN good AND (p.run_id = 'first' OR event_id % 3 = 2) THEN event_id END) AS new_events
+  FROM parts p GROUP BY 1
+), marks AS (
+  SELECT symbol, max(CASE WHEN run_id = 'first' THEN n END) AS first_top, max(CASE WHEN run_id = 'second' THEN n END) AS second_top,
+    max(n) AS after, greatest(max(CASE WHEN run_id = 'first' THEN n END), max(CASE WHEN run_id = 'second' THEN n END)) AS least
+  FROM parts WHERE good GROUP BY 1
+)"""
+
 
 def all_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
@@ -616,6 +635,21 @@ FROM events WHERE event_type = 'error'"""
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS period_start, 'APIErrorCount' AS metric, sum(1.0e0) AS sum_value
 FROM calls WHERE NOT ok GROUP BY 1 HAVING count(*) > 2"""
     q["incremental_transform"] = TRADES + _newest(_UNIFIED, _USABLE)
+    q["transform_invariants"] = TRADES + _TWO_RUNS + """
+SELECT run_id, 'records read = transformed + rejected' AS invariant, read AS expected, usable + rejected AS actual,
+  read = usable + rejected AS holds FROM runs
+UNION ALL SELECT run_id, 'records transformed = staged', read - rejected, usable, read - rejected = usable FROM runs
+UNION ALL SELECT run_id, 'written rows = distinct keys', new_keys, new_events, new_keys = new_events FROM runs
+UNION ALL SELECT run_id, 'no watermark goes back or stays behind', 0, (SELECT count(*) FROM marks WHERE after < least),
+  (SELECT count(*) FROM marks WHERE after < least) = 0 FROM runs
+UNION ALL SELECT 'second', 'rows of the version = rows before + new keys', CAST((SELECT sum(new_keys) FROM runs) AS BIGINT),
+  (SELECT count(*) FROM keys), (SELECT sum(new_keys) FROM runs) = (SELECT count(*) FROM keys)"""
+    q["run_records"] = TRADES + _TWO_RUNS + """
+SELECT run_id, 'success' AS status, 20 * (usable - keys) <= usable AS passed, read AS records_read, rejected AS records_rejected,
+  usable AS records_transformed, new_keys AS records_written, usable AS batch_size, usable - keys AS duplicates_found,
+  CASE run_id WHEN 'first' THEN 1 ELSE 2 END AS version, CASE WHEN 20 * (usable - keys) <= usable THEN '' ELSE 'duplicates' END AS issues,
+  CASE run_id WHEN 'first' THEN 0 ELSE (SELECT count(*) FROM marks WHERE first_top >= coalesce(second_top, first_top)) END AS stale_products,
+  0 AS broken FROM runs"""
     q["stream_curate"] = q["incremental_transform"]
     q["rebuilt"] = q["incremental_transform"]
     q["replay_after_rebuild"] = TRADES + f"""

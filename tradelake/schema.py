@@ -86,6 +86,19 @@ RUN = T.StructType(
         T.StructField("files", T.LongType()),
         T.StructField("passed", T.BooleanType()),
         T.StructField("issues", T.ArrayType(T.StringType())),
+        T.StructField("stale_products", T.LongType()),
+        T.StructField("broken_invariants", T.ArrayType(T.StringType())),
+    ]
+)
+
+# What must hold after a run, with what its jobs counted while writing and what was read back.
+INVARIANT = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("invariant", T.StringType()),
+        T.StructField("expected", T.LongType()),
+        T.StructField("actual", T.LongType()),
+        T.StructField("holds", T.BooleanType()),
     ]
 )
 

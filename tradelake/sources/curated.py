@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.schema import TRADE
@@ -18,13 +18,24 @@ from tradelake.sources.raw import list_files
 MAX_RECORDS_PER_FILE = 500_000
 
 
-def write_trades(trades: DataFrame, path: str, mode: str = "overwrite") -> None:
+class IncompleteWrite(RuntimeError):
+    """What was read back is not what a job wrote; the version was not published."""
+
+    def __init__(self, sent: int, kept: int):
+        super().__init__(f"{sent} rows were written, {kept} are there")
+        self.sent, self.kept = sent, kept
+
+
+def write_trades(trades: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Write trades by date, in files of even size; a busy date is split over several tasks.
 
-    Rows are sorted by product and time inside a file, so that filters on them skip row groups.
+    Rows are sorted by product and time inside a file, so that filters on them skip row groups. Returns how many rows
+    the trades had, counted by the job that writes them before they are dealt to files.
     """
+    sent = Observation()
     (
         trades.select([F.col(f.name).cast(f.dataType) for f in TRADE.fields])
+        .observe(sent, F.count(F.lit(1)).alias("rows"))
         .withColumn("trade_date", F.to_date("trade_ts"))
         .hint("rebalance", "trade_date")
         .sortWithinPartitions("trade_date", "exchange", "symbol", "trade_ts")
@@ -34,6 +45,7 @@ def write_trades(trades: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("compression", "snappy")
         .parquet(path)
     )
+    return sent.get.get("rows", 0)
 
 
 def read_trades(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
@@ -84,13 +96,17 @@ def write_version(trades: DataFrame, root: str, replaced: list | None = None) ->
     """Write trades into a fresh folder and publish the version they make; returns its number.
 
     `replaced` names the dates whose earlier folders the new one takes the place of; other dates keep theirs, next to
-    what is written now. Without it the trades are the whole version. Earlier versions stay as they are.
+    what is written now. Without it the trades are the whole version. Earlier versions stay as they are. If the folder
+    does not hold as many rows as were written, IncompleteWrite is raised and nothing is published.
     """
     spark = trades.sparkSession
     old = current_version(spark, root)
     version = old + 1
-    write_trades(trades, version_path(root, version))
-    written = read_trades(spark, version_path(root, version)) if _has_dates(spark, version_path(root, version)) else None
+    sent = write_trades(trades, version_path(root, version))
+    written = written_trades(spark, root, version)
+    kept = written.count() if written is not None else 0  # from the files' footers
+    if sent != kept:
+        raise IncompleteWrite(sent, kept)
     rows = spark.createDataFrame([], "trade_date date, written long")
     if written is not None:
         dates = written.select(F.col("trade_date").cast("date").alias("trade_date")).distinct()
@@ -107,6 +123,12 @@ def write_version(trades: DataFrame, root: str, replaced: list | None = None) ->
     return version
 
 
+def written_trades(spark: SparkSession, root: str, version: int) -> DataFrame | None:
+    """What was written for a version, read from its own folder; None if that has no files."""
+    path = version_path(root, version)
+    return read_trades(spark, path) if _has_dates(spark, path) else None
+
+
 def _has_dates(spark: SparkSession, path: str) -> bool:
     """Whether a written folder has any data; an empty table leaves none to read."""
     return not list_files(spark, path, "*.parquet").isEmpty()

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from tradelake.functions.scalars import as_of_column, numeric_id
-from tradelake.schema import LAYOUT, PRODUCT, PROCESSED_FILE, PUBLISHED, REPLAY, RUN, WATERMARK
+from tradelake.schema import INVARIANT, LAYOUT, PRODUCT, PROCESSED_FILE, PUBLISHED, REPLAY, RUN, WATERMARK
 
 TABLES: dict[str, T.StructType] = {
     "processed_files": PROCESSED_FILE,
@@ -23,6 +23,7 @@ TABLES: dict[str, T.StructType] = {
     "watermarks": WATERMARK,
     "published": PUBLISHED,
     "layout": LAYOUT,
+    "invariants": INVARIANT,
 }
 
 # Fixed value: first id asked for from a product that has no watermark yet.
