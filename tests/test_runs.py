@@ -257,3 +257,27 @@ def test_keys_written_twice_and_watermarks_behind_are_found(spark, tmp_path, tra
     marks = lambda **cursors: spark.createDataFrame([("x", s, c) for s, c in cursors.items()], "exchange string, symbol string, cursor long")
     broken = runs._watermark_checks(marks(A=5, B=7, C=1), marks(A=4, B=7, D=2), marks(B=8, D=2))
     assert broken == [("no watermark goes back or stays behind", 0, 3)]
+
+
+def test_a_micro_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "stream")
+    far = [i * ingest.BLOCK for i in range(1, 30)]
+    put(raw_root, "a.jsonl", [line(i) for i in (1, 2, *far)] + [line("x-1"), line("x-2", symbol="ETH-USD")])
+    stream(spark, raw_root, root)
+    batch = accepted(normalize(raw.read_raw(spark, raw_root))).where("trade_id IN ('2', '4') OR trade_id = 'x-1'")
+    known = ingest.known_trades(batch, root)
+    assert known.where("trade_id = '2'").count() == 1
+    buckets = {int(f.split("/bucket=")[1].split("/")[0]) for f in known.inputFiles()}
+    wanted = {r.b for r in batch.select(ingest.key_bucket().alias("b")).collect()}
+    assert buckets == wanted and len(wanted) == 2
+    everything = spark.read.parquet(f"{root}/trades").select("bucket").distinct().count()
+    assert everything > 20  # keys far apart lie in other buckets
+
+
+def test_a_micro_batch_run_again_replaces_itself(spark, tmp_path, trades):
+    path = str(tmp_path / "t")
+    first = trades([("A", "1", "2024-01-01"), ("A", "900000", "2024-01-01")])
+    for _ in range(2):
+        ingest._write_buckets(first, path, "q", 7)
+    ingest._write_buckets(first, path, "q", 8)
+    assert [r.n for r in ingest._written(spark, path).groupBy("batch_id").agg(F.count("*").alias("n")).orderBy("batch_id").collect()] == [2, 2]

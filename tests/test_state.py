@@ -109,3 +109,25 @@ def test_product_list_files(spark, tmp_path):
     state.write_products(listed, str(tmp_path / "saved"))
     again = state.read_products(spark, str(tmp_path / "saved"))
     assert sorted(map(tuple, again.collect())) == [("coinbase", "A-USD"), ("coinbase", "B-USD")]
+
+
+def test_compaction_reads_one_snapshot_and_newer_folders(spark, tmp_path):
+    root = str(tmp_path)
+    row = lambda i: spark.createDataFrame([(f"f{i}", f"r{i}", T0)], "file string, run_id string, processed_at timestamp")
+    for i in range(4):
+        state.append(row(i), root, "processed_files", f"r{i}")
+    assert state.generation(spark, root, "processed_files") == 0
+    assert state.compact(spark, root, "processed_files") == 1
+    state.append(row(4), root, "processed_files", "r4")
+    state.append(row(2), root, "processed_files", "r2")  # a run repeated after the compaction
+    table = state.load(spark, root, "processed_files")
+    assert sorted(r.file for r in table.collect()) == [f"f{i}" for i in range(5)]
+    places = {f.split("/processed_files/")[1].split("/part")[0] for f in table.inputFiles()}
+    assert places == {"snapshot=1", "gen=1/batch=r4", "gen=1/batch=r2"}
+    # A snapshot that a crash left without its end does not count, and is written over.
+    (tmp_path / "state/processed_files/snapshot=2").mkdir()
+    assert state.generation(spark, root, "processed_files") == 1
+    state.compact_if_long(spark, root, ["processed_files"], most=1)
+    assert state.generation(spark, root, "processed_files") == 2
+    assert sorted(r.file for r in state.load(spark, root, "processed_files").collect()) == [f"f{i}" for i in range(5)]
+    assert state.load(spark, root, "run_history").count() == 0

@@ -498,6 +498,54 @@ def stream_curate(spark: SparkSession, root: str) -> DataFrame:
     return ingest.settled(spark, _stream_curated(spark, root)).drop("ingest_ts")
 
 
+def _plain_lines(trades: DataFrame) -> DataFrame:
+    """Trades as raw JSON texts."""
+    cells = {"id": "trade_id", "product_id": "symbol", "side": "side", "price": "price", "size": "quantity"}
+    time = F.concat(F.date_format("trade_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time")
+    return trades.select(F.to_json(F.struct(*[F.col(c).cast("string").alias(n) for n, c in cells.items()], time)).alias("value"))
+
+
+def stream_corrections(spark: SparkSession, root: str) -> DataFrame:
+    """A stream that ends and goes on: first all trades, then some of them again, a part of these a day later at twice the price."""
+    raw_root, lake = scratch_path(spark, "raw"), scratch_path(spark, "stream")
+    trades = views.trades(spark, root, keep=("event_id",))
+    again = trades.where("event_id % 3 = 0").withColumns(
+        {
+            "price": F.when(F.col("event_id") % 9 == 0, F.col("price") * 2).otherwise(F.col("price")),
+            "trade_ts": F.when(F.col("event_id") % 9 == 0, F.col("trade_ts") + F.expr("interval 1 day")).otherwise(F.col("trade_ts")),
+        }
+    )
+    for name, part in (("first", trades), ("second", again)):
+        _plain_lines(part).write.text(f"{raw_root}/{name}")
+        ingest.curate(ingest.stream_raw(spark, raw_root, glob="*.txt"), lake, f"{lake}/checkpoint").awaitTermination()
+    return ingest.settled(spark, lake).drop("ingest_ts")
+
+
+def state_after_many_runs(spark: SparkSession, root: str) -> DataFrame:
+    """Watermarks of 50 runs, compacted after every 20 and written once more by 5 of them; rows kept and cursor per product."""
+    lake, part = scratch_path(spark, "state"), F.pmod(F.col("event_id"), F.lit(50))
+    trades = views.trades(spark, root, keep=("event_id",)).withColumn("part", part)
+    tops = trades.groupBy("part", *PRODUCT).agg(F.max(F.col("trade_id").cast("bigint")).alias("cursor"))
+    tops = materialize(tops.withColumn("updated_at", _at(views.AS_OF)), "tops")
+    for i in [*range(50), 0, 10, 19, 20, 49]:
+        state.save_watermarks(tops.where(F.col("part") == i).select(*PRODUCT, "cursor", "updated_at"), lake, f"run-{i}")
+        state.compact_if_long(spark, lake, ["watermarks"], most=20)
+    rows = state.load(spark, lake, "watermarks").groupBy(*PRODUCT).agg(F.count(F.lit(1)).alias("rows"))
+    return state.load_watermarks(spark, lake).select(*PRODUCT, "cursor").join(rows, [*PRODUCT])
+
+
+def quality_metrics_stored(spark: SparkSession, root: str) -> DataFrame:
+    """The metric set of a stored table, with the size of its files."""
+    folder = scratch_path(spark, "stored")
+    curated.write_trades(views.trades(spark, root), folder)
+    stored = curated.read_trades(spark, folder)
+    return quality.quality_metrics(stored, views.AS_OF, curated.storage_footprint(spark, folder))
+
+
+def source_status(spark: SparkSession, root: str) -> DataFrame:
+    return calls.source_status(views.call_log(spark, root, errors=True))
+
+
 def stream_watermarks(spark: SparkSession, root: str) -> DataFrame:
     return state.load_watermarks(spark, _stream_curated(spark, root)).select(*PRODUCT, "cursor")
 
@@ -615,6 +663,10 @@ _QUERIES: dict[str, Query] = {
     "transform_invariants": transform_invariants,
     "run_records": run_records,
     "stream_curate": stream_curate,
+    "stream_corrections": stream_corrections,
+    "state_after_many_runs": state_after_many_runs,
+    "quality_metrics_stored": quality_metrics_stored,
+    "source_status": source_status,
     "stream_watermarks": stream_watermarks,
     "stream_drop_repeats": stream_drop_repeats,
     "stream_rollup": stream_rollup,

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.functions.scalars import error_tier
+from tradelake.functions.scalars import error_tier, shorten_error
 from tradelake.operators.position import with_position
 from tradelake.operators.topk import first_per_key
 
@@ -71,6 +71,25 @@ def source_health(calls: DataFrame, size: int = ROLLING_CALLS) -> DataFrame:
     )
 
 
+def source_status(calls: DataFrame, error_length: int = 500) -> DataFrame:
+    """Each source's calls in a row that ended as its last one did, and its last error, cut to `error_length`.
+
+    One of consecutive_failures and consecutive_successes is 0. Both come from the places of the last success and the
+    last failure, in aggregates that are combined per task before anything is moved.
+    """
+    at = F.struct("ts", "id")
+    last = calls.groupBy("source").agg(
+        F.max(F.when(F.col("ok"), at)).alias("last_ok"),
+        F.max(F.when(~F.col("ok"), at)).alias("last_failed"),
+        shorten_error(F.max_by("error", F.when(~F.col("ok"), at)), error_length).alias("last_error"),
+    )
+    after = lambda place: F.count_if(F.col(place).isNull() | (at > F.col(place)))
+    counted = calls.join(last.select("source", "last_ok", "last_failed"), "source").groupBy("source").agg(
+        after("last_ok").alias("consecutive_failures"), after("last_failed").alias("consecutive_successes")
+    )
+    return counted.join(last.select("source", "last_error"), "source")
+
+
 def failure_runs(calls: DataFrame, at_least: int = 5) -> DataFrame:
     """Runs of consecutive failures of a source: start, end, length.
 

@@ -631,6 +631,23 @@ SELECT event_id, CAST(least(500, length(repeat(event_type, CAST(event_id % 200 +
 FROM events WHERE event_type = 'error'"""
     q["metric_rollup"] = CALLS + _POINTS + "SELECT * FROM rolled"
     q["stream_rollup"] = q["metric_rollup"]
+    q["stream_corrections"] = TRADES.replace("trades AS (", "first AS (") + """
+, trades AS (
+  SELECT * FROM first
+  UNION ALL SELECT * REPLACE (CASE WHEN event_id % 9 = 0 THEN price * 2 ELSE price END AS price,
+    CASE WHEN event_id % 9 = 0 THEN trade_ts + INTERVAL 1 DAY ELSE trade_ts END AS trade_ts)
+  FROM first WHERE event_id % 3 = 0
+)""" + _newest(_UNIFIED)
+    q["state_after_many_runs"] = TRADES + """
+SELECT exchange, symbol, max(n) AS cursor, count(DISTINCT event_id % 50) AS rows FROM trades GROUP BY 1, 2"""
+    # At these sizes the files round to 0.000 GB.
+    q["quality_metrics_stored"] = q["quality_metrics"] + " UNION ALL SELECT 'ParquetSizeGB', '', 0.0e0"
+    q["source_status"] = CALLS + """
+, l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ts DESC, id DESC) AS age FROM calls),
+f AS (SELECT source, min(CASE WHEN ok THEN age END) AS ok_age, min(CASE WHEN NOT ok THEN age END) AS failed_age, count(*) AS n FROM l GROUP BY 1)
+SELECT f.source, coalesce(ok_age - 1, n) AS consecutive_failures, coalesce(failed_age - 1, n) AS consecutive_successes,
+  substr(repeat('error ' || l.id || '. ', CAST(l.id % 100 + 1 AS INTEGER)), 1, 500) AS last_error
+FROM f LEFT JOIN l ON l.source = f.source AND l.age = f.failed_age"""
     q["metric_alarms"] = CALLS + """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS period_start, 'APIErrorCount' AS metric, sum(1.0e0) AS sum_value
 FROM calls WHERE NOT ok GROUP BY 1 HAVING count(*) > 2"""

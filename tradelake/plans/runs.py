@@ -249,6 +249,7 @@ def transform(
             "file", F.lit(run_id).alias("run_id"), F.current_timestamp().alias("processed_at")
         )
         state.append(done, root, "processed_files", run_id)
+    state.compact_if_long(spark, root, ["run_history", "processed_files", "watermarks", "invariants", "published"])
     return record
 
 

@@ -2,6 +2,12 @@
 
 Each write goes to its own folder `batch=<id>` and replaces it when retried, so a run that is repeated
 after a lost executor or driver does not count twice.
+
+A table is a snapshot and the folders written since. `compact` writes all rows, with the batch of each, as the snapshot
+of the next generation; it counts from the moment it is complete, and later writes go to that generation's folders. A
+reader opens one snapshot and the newer folders, however many runs there have been. A batch that is written again after
+a compaction takes the place of its rows in the snapshot. Earlier generations stay for readers that have begun; they may
+be deleted. As for the curated table, one writer per table is an operating rule.
 """
 
 from __future__ import annotations
@@ -33,22 +39,77 @@ RECENT_RUNS = 5
 FAILURES_TO_REPLAY = 2
 
 
-def load(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A state table; empty if nothing was written yet."""
-    schema = TABLES[table]
+# Folders of a table that are written before the next compaction of a run.
+COMPACT_AFTER = 50
+
+
+def _found(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, from the file system's listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [f.getPath().toString() for f in found or []]
+
+
+def generation(spark: SparkSession, root: str, table: str) -> int:
+    """Number of the newest complete snapshot; 0 before the first."""
+    done = _found(spark, f"{root}/state/{table}/snapshot=*/_SUCCESS")
+    return max((int(path.split("/")[-2].removeprefix("snapshot=")) for path in done), default=0)
+
+
+def _tail(root: str, table: str, number: int) -> str:
+    """The folder that a generation's batches are written to."""
+    return f"{root}/state/{table}" + (f"/gen={number}" if number else "")
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, base: str) -> DataFrame:
     try:
-        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/state/{table}")
+        return spark.read.schema(schema).option("basePath", base).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return rows
+
+
+def _with_batch(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The rows of a state table with the batch that wrote them."""
+    number, schema = generation(spark, root, table), TABLES[table]
+    tail = _tail(root, table, number)
+    newer = _read(spark, f"{tail}/batch=*", T.StructType([*schema.fields, T.StructField("batch", T.StringType())]), tail)
+    if not number:
+        return newer
+    path = f"{root}/state/{table}/snapshot={number}"
+    old = _read(spark, path, T.StructType([*schema.fields, T.StructField("_batch", T.StringType())]), path)
+    again = newer.select("batch").distinct()  # folder names alone
+    kept = old.join(again, F.col("_batch") == F.col("batch"), "left_anti").withColumnRenamed("_batch", "batch")
+    return kept.unionByName(newer)
+
+
+def load(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A state table; empty if nothing was written yet."""
+    return _with_batch(spark, root, table).drop("batch")
 
 
 def append(rows: DataFrame, root: str, table: str, batch: str | None = None) -> None:
     schema = TABLES[table]
-    path = f"{root}/state/{table}/batch={batch or uuid.uuid4().hex}"
-    rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite").parquet(path)
+    tail = _tail(root, table, generation(rows.sparkSession, root, table))
+    rows.select([F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite").parquet(f"{tail}/batch={batch or uuid.uuid4().hex}")
+
+
+def compact(spark: SparkSession, root: str, table: str) -> int:
+    """Write a table's rows as the next snapshot; returns its generation."""
+    number = generation(spark, root, table) + 1
+    rows = _with_batch(spark, root, table).withColumnRenamed("batch", "_batch").hint("rebalance")
+    # Only its completion makes a snapshot count, so one that a crash left unfinished is written over.
+    rows.write.mode("overwrite").parquet(f"{root}/state/{table}/snapshot={number}")
+    return number
+
+
+def compact_if_long(spark: SparkSession, root: str, tables: list[str], most: int = COMPACT_AFTER) -> None:
+    """Compact the tables that have had more than `most` writes since their last snapshot."""
+    for table in tables:
+        tail = _tail(root, table, generation(spark, root, table))
+        if len(_found(spark, f"{tail}/batch=*")) > most:
+            compact(spark, root, table)
 
 
 # --- watermarks ---------------------------------------------------------------------------------------

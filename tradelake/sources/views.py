@@ -80,9 +80,11 @@ def trades_big(spark: SparkSession, root: str, keep: tuple[str, ...] = ()) -> Da
     )
 
 
-def call_log(spark: SparkSession, root: str) -> DataFrame:
-    """API calls made from events: source, id, ts, ok, latency_ms."""
-    return calls_of(_table(spark, root, "events"))
+def call_log(spark: SparkSession, root: str, errors: bool = False) -> DataFrame:
+    """API calls made from events: source, id, ts, ok, latency_ms, and the text of errors, of very different lengths."""
+    calls = calls_of(_table(spark, root, "events"))
+    text = F.repeat(F.concat(F.lit("error "), F.col("id").cast("string"), F.lit(". ")), (F.col("id") % 100 + 1).cast("int"))
+    return calls.withColumn("error", F.when(~F.col("ok"), text)) if errors else calls
 
 
 def calls_of(events: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tradelake.functions.scalars import numeric_id
 from tradelake.operators.calls import metric_rollup
 from tradelake.operators.dedupe import dedupe_newest, with_known_time
 from tradelake.operators.mapping import COINBASE, Mapping
@@ -32,23 +33,59 @@ def stream_raw(
     return reader.json(path)
 
 
-def _written(spark: SparkSession, path: str) -> DataFrame:
-    """What earlier batches wrote, with the query and the batch that did; empty before the first."""
-    schema = T.StructType([*TRADE.fields, T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType())])
+# Consecutive ids of a product that share a bucket, and the number of buckets.
+BLOCK, BUCKETS = 100_000, 4096
+
+
+def key_bucket() -> Column:
+    """The bucket of a key. Ids near each other share one, so that a batch of new trades touches few buckets."""
+    block = F.coalesce(F.floor(numeric_id(F.col("trade_id")) / BLOCK).cast("string"), F.col("trade_id"))
+    return F.pmod(F.xxhash64("exchange", "symbol", block), F.lit(BUCKETS)).cast("int")
+
+
+def _written(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """What earlier batches wrote, all or of some buckets only, with the query and the batch that did; empty before the first.
+
+    Folders of other buckets are neither listed nor read.
+    """
+    extra = {"bucket": T.IntegerType(), "query": T.StringType(), "batch_id": T.LongType()}
+    schema = T.StructType([*TRADE.fields, *[T.StructField(n, t) for n, t in extra.items()]])
+    if buckets == []:
+        return spark.createDataFrame([], schema)
+    some = path if buckets is None else f"{path}/bucket={{{','.join(map(str, buckets))}}}"
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(some)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def known_trades(batch: DataFrame, root: str) -> DataFrame:
+    """Streamed trades and corrections in the buckets of a batch's keys; every row with one of these keys is among them."""
+    spark = batch.sparkSession
+    buckets = sorted(r.b for r in batch.select(key_bucket().alias("b")).distinct().collect())  # at most BUCKETS numbers
+    return _written(spark, f"{root}/trades", buckets).unionByName(_written(spark, f"{root}/corrections", buckets))
+
+
+def _write_buckets(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """Writes trades below the buckets of their keys, in place of what this batch wrote there before."""
+    (
+        rows.withColumns({"bucket": key_bucket(), "query": F.lit(query), "batch_id": F.lit(batch_id).cast("long")})
+        .hint("rebalance", "bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket", "query", "batch_id")
+        .parquet(path)
+    )
+
+
 def curate(
     raw: DataFrame, root: str, checkpoint: str, mapping: Mapping = COINBASE, mode: str = "strict"
 ) -> StreamingQuery:
-    """Write each micro-batch's new trades under its batch id, rejected records beside them.
+    """Write each micro-batch's new trades under their keys' buckets and its batch id, rejected records beside them.
 
-    Keys already written by another batch are left out, so overlapping files add nothing, however late they
+    Of what is written already, a batch reads the buckets of its own keys only. Keys already written by another batch are left out, so overlapping files add nothing, however late they
     come. A newer row of a known key goes to the corrections, which `settled` applies. A batch repeated after
     a failure replaces its own folders; a query begun anew with another checkpoint has folders of its own.
     """
@@ -58,16 +95,13 @@ def curate(
         # The id that the checkpoint keeps for its query, whatever number of times that is started.
         query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         rows = materialize(normalize(batch, mapping, mode), "stream-rows")
-        known = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
         usable = materialize(dedupe_newest(accepted(rows)), "stream-usable")
+        known = known_trades(usable, root)
         compared = materialize(with_known_time(usable, known.where((F.col("query") != query) | (F.col("batch_id") != batch_id))), "stream-compared")
-        parts = {
-            "trades": compared.where(~F.col("known")).select(*TRADE.fieldNames()),
-            "corrections": compared.where(F.col("trade_ts") > F.col("known_ts")).select(*TRADE.fieldNames()),
-            "rejected": rejected(rows),
-        }
-        for name, part in parts.items():
-            part.write.mode("overwrite").parquet(f"{root}/{name}/query={query}/batch_id={batch_id}")
+        parts = {"trades": ~F.col("known"), "corrections": F.col("trade_ts") > F.col("known_ts")}
+        for name, which in parts.items():
+            _write_buckets(compared.where(which).select(*TRADE.fieldNames()), f"{root}/{name}", query, batch_id)
+        rejected(rows).write.mode("overwrite").parquet(f"{root}/rejected/query={query}/batch_id={batch_id}")
         state.save_watermarks(state.batch_watermarks(usable), root, f"stream-{query}-{batch_id}")
 
     return (
@@ -81,7 +115,7 @@ def curate(
 def settled(spark: SparkSession, root: str) -> DataFrame:
     """Streamed trades with the newest row of every key, corrections applied."""
     both = _written(spark, f"{root}/trades").unionByName(_written(spark, f"{root}/corrections"))
-    return dedupe_newest(both.drop("query", "batch_id"))
+    return dedupe_newest(both.drop("bucket", "query", "batch_id"))
 
 
 def drop_repeats(trades: DataFrame, overlap: str = OVERLAP) -> DataFrame:
