@@ -14,6 +14,7 @@ and are repeated for each block; their sums per document add up. One block holds
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from functools import reduce
 
 import numpy as np
@@ -23,10 +24,10 @@ from pyspark.sql import functions as F
 from tradelake.llm import perfecthash
 from tradelake.llm.bytepairs import ByteCoder, coder_of
 from tradelake.llm.common import ship_package
+from tradelake.llm.pieces import MARK, Model
 from tradelake.llm.shared import place
 from tradelake.session import materialize, scratch_path
 
-MARK = "▁"
 # Slots a task holds in memory at a time.
 BLOCK = 1 << 25
 # Ids of one side that are aligned at a time, and pairs that are made at a time.
@@ -37,18 +38,48 @@ RESULT = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_su
 
 
 class PieceCoder:
-    """Ids of a SentencePiece model and the bytes of each."""
+    """Ids of a SentencePiece model of merges and the bytes of each, with the merges run by tiktoken.
+
+    tiktoken merges bytes, the model characters. So bytes are first merged into characters, by way of their beginnings,
+    before any merge of the model; what stays a beginning is spelt in bytes, as the model does with characters it lacks.
+    The model's merges follow in order of their scores. Only models that change nothing but spaces are supported; texts
+    with spaces in a row go to the sentencepiece library.
+    """
 
     def __init__(self, blob: bytes):
         import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=blob)
-        self.size = self.model.get_piece_size()
-        names = [self.model.id_to_piece(i) for i in range(self.size)]
-        self.pieces = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
-
-    def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+        import tiktoken
+
+        model = Model(blob)
+        if not model.plain or model.first_byte is None:
+            raise ValueError("only models with a space in front, bytes for unknown characters and no other changes are supported")
+        longer = sorted((p for p in model.ids if len(p) > 1), key=lambda p: -model.scores[p])
+        tied = [p for p, n in Counter(model.scores[p] for p in longer).items() if n > 1]
+        if any(model.scores[p] in tied and MARK * 2 not in p for p in longer):
+            raise ValueError("only models whose pieces have different scores, but for runs of spaces, are supported")
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=blob)
+        self.size, self.pieces = len(model.names), model.surface
+        characters = [p.encode() for p in model.ids if len(p) == 1]
+        begun = {c[:n]: None for c in characters for n in range(2, len(c))}
+        one = {bytes([x]): [model.ids.get(chr(x), model.first_byte + x) if x < 0x80 else model.first_byte + x] for x in range(256)}
+        # In order of merging: single bytes, beginnings of characters, characters, pieces; each with its ids.
+        spelt = {**one, **{c: [model.first_byte + x for x in c] for c in begun}}
+        spelt |= {p.encode(): [i] for p, i in model.ids.items() if len(p) == 1} | {p.encode(): [model.ids[p]] for p in longer}
+        order = list(spelt)
+        self.coder = tiktoken.Encoding("pieces", pat_str=f"{MARK}+[^{MARK}\\n]*|[^{MARK}\\n]+|\\n", mergeable_ranks={p: i for i, p in enumerate(order)}, special_tokens={})
+        self.count = np.array([len(spelt[p]) for p in order])
+        self.first = np.cumsum(self.count) - self.count
+        self.ids = np.array([i for p in order for i in spelt[p]], np.uint32)
+
+    def encode(self, text: str) -> np.ndarray:
+        text = MARK + text.replace(" ", MARK) if text else ""
+        if MARK * 2 in text:  # pieces of such runs share a score, where the leftmost goes first
+            return np.array(self.library.encode(text[1:]), np.uint32)
+        found = self.coder.encode_to_numpy(text, disallowed_special=())
+        n = self.count[found]
+        if len(found) == n.sum():
+            return self.ids[self.first[found]]
+        return self.ids[np.repeat(self.first[found] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 _pieces: dict[bytes, PieceCoder] = {}
@@ -73,7 +104,7 @@ def encoded(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
         import pyarrow as pa
 
         a, b = coder_of(spec), pieces_of(model)
-        joined_a, joined_b = a.coder.decode_bytes, b.pieces.__getitem__
+        size_a, joined_b = a.lengths(), b.pieces.__getitem__
         for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             found = ([], [])
             for text in batch.column("text").to_pylist():
@@ -81,8 +112,9 @@ def encoded(docs: DataFrame, spec: str, model: bytes) -> DataFrame:
                 if text:
                     whole = f" {text}"
                     raw, ids_a, ids_b = whole.encode(), a.encode(whole), b.encode(text)
-                    if joined_a(ids_a) == raw and b"".join(map(joined_b, ids_b)) == raw:
-                        ids = [ids_a, np.array(ids_b, np.uint32)]
+                    # Side a has every byte as it is, so that its length tells.
+                    if size_a[ids_a].sum() == len(raw) and b"".join(map(joined_b, ids_b.tolist())) == raw:
+                        ids = [ids_a, ids_b]
                 for column, x in zip(found, ids, strict=True):
                     column.append(x.astype("<u4").tobytes())
             columns = [batch.column("row"), batch.column("doc_id"), *[pa.array(x, pa.binary()) for x in found]]
@@ -113,8 +145,10 @@ class Aligned:
         # Both sides of a document have the same bytes, so ends can be counted through all documents.
         ends_a, ends_b = np.cumsum(by.size_a[self.a]), np.cumsum(by.size_b[self.b])
         near = np.searchsorted(ends_b, ends_a)
-        self.ends = ends_a[ends_b[near] == ends_a]  # the last ends of both are equal, so no place is past the end
-        self.group_a, self.group_b = np.searchsorted(self.ends, ends_a), np.searchsorted(self.ends, ends_b)
+        both_a, both_b = ends_b[near] == ends_a, np.zeros(len(ends_b), bool)  # the last ends are equal, so no place is past the end
+        both_b[near[both_a]] = True
+        self.ends = ends_a[both_a]
+        self.group_a, self.group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
         self.n_a, self.n_b = (np.bincount(g, minlength=len(self.ends)) for g in (self.group_a, self.group_b))
         of_a = np.repeat(np.arange(self.docs), [len(x) for x in a])
         last = np.cumsum(self.n_a) - 1
