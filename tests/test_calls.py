@@ -107,6 +107,72 @@ def test_latency_ema_seeds_and_long_histories(spark):
     assert abs(got["long"] - ema([float(i % 7 + 1) for i in range(3000)])) < 1e-9
 
 
+def averages(values, alpha):
+    average, out = 0.0, []
+    for v in values:
+        average = v if average == 0 else (1 - alpha) * average + alpha * v
+        out.append(average)
+    return out
+
+
+CALL_LOG = "source string, id long, ts timestamp, ok boolean, latency_ms double"
+
+
+@pytest.mark.parametrize(("alpha", "block"), [(0.2, 50_000), (0.2, 7), (0.5, 3), (0.01, 50), (0.97, 50_000), (1.0, 10)])
+def test_latency_ema_of_each_call(log, alpha, block):
+    df, rows = log
+    got = {r.id: r.avg_response_ms for r in calls.latency_ema_each(df, alpha, block).collect()}
+    expected = {}
+    for group in by_source(rows).values():
+        done = [r for r in group if r[3]]
+        expected |= dict(zip([r[1] for r in done], averages([r[4] for r in done], alpha), strict=True))
+    assert got.keys() == expected.keys()
+    assert all(got[i] == pytest.approx(expected[i], rel=1e-11, abs=1e-300) for i in got)
+
+
+def test_latency_ema_is_seeded_anew_at_zero(spark):
+    assert averages([1.0, *[0.0] * 10_000], 0.2)[-1] > 0, "at 0.2 a double never falls to zero"
+    values = [0.0, 64.0, *[0.0] * 900, 8.0, *[0.0] * 1500, 24.0, 0.0, 40.0]
+    for alpha in (0.2, 0.5, 0.8):
+        df = spark.createDataFrame([("s", i, BASE, True, v) for i, v in enumerate(values)], CALL_LOG)
+        expected = averages(values, alpha)
+        got = [r.avg_response_ms for r in calls.latency_ema_each(df, alpha, 100).orderBy("id").collect()]
+        assert got == pytest.approx(expected, rel=1e-11, abs=1e-300)
+        assert calls.latency_ema(df, alpha).first().avg_response_ms == pytest.approx(expected[-1], rel=1e-11)
+    assert averages(values, 0.5)[-3] == 24.0 and averages(values, 0.2)[-3] < 5
+
+
+def test_latency_ema_of_odd_rows(spark):
+    rows = [(None, 0, BASE, True, 5.0), (None, 1, BASE, True, 10.0), ("a", 2, BASE, None, 1.0), ("a", 3, BASE, True, None)]
+    rows += [("a", 4, BASE, True, float("nan")), ("a", 5, BASE, False, 9.0), ("a", 6, BASE, True, 2.0)]
+    df = spark.createDataFrame(rows, CALL_LOG)
+    got = {r.id: r.avg_response_ms for r in calls.latency_ema_each(df, 0.2, 1).collect()}
+    assert got == pytest.approx({0: 5.0, 1: 6.0, 6: 2.0})
+    assert calls.latency_ema_each(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        calls.latency_ema_each(df, 0.0)
+
+
+def test_summaries_add_up_within_their_error(spark):
+    rng = random.Random(5)
+    points = [(BASE + timedelta(seconds=rng.randrange(7200)), "m", f"s{i % 3}", rng.choice([0.0, rng.lognormvariate(0, 4), -rng.lognormvariate(3, 2)])) for i in range(3000)]
+    points += [(BASE, "m", "s0", None), (BASE, "m", "s0", float("nan"))]
+    df = spark.createDataFrame(points, "ts timestamp, metric string, source string, value double")
+    for error in (0.01, 0.1):
+        minutes = calls.metric_summary(df, error=error)
+        halves = minutes.where("source = 's0'").union(minutes.where("source <> 's0'"))
+        hours = calls.widen_summary(calls.widen_summary(halves, "5 minutes"), "1 hour", ("metric",))
+        direct = calls.metric_summary(df, "1 hour", ("metric",), error)
+        assert sorted(hours.drop("sum_value").collect()) == sorted(direct.drop("sum_value").collect())
+        for r in calls.summary_rollup(hours, ("metric",), error).collect():
+            values = sorted(p[3] for p in points[:3000] if r.period_start <= p[0] < r.period_start + timedelta(hours=1))
+            assert r.points == len(values) and r.max_value == values[-1] and r.sum_value == pytest.approx(sum(values))
+            assert r.p50_value == pytest.approx(values[-(-len(values) // 2) - 1], rel=error * 1.0001)
+            assert r.p99_value == pytest.approx(values[-(-len(values) * 99 // 100) - 1], rel=error * 1.0001)
+    with pytest.raises(ValueError):
+        calls.metric_summary(df, error=1)
+
+
 def test_alarm_needs_more_than_the_threshold(spark):
     points = [(BASE + timedelta(minutes=m), "IngestFailure", "x", 1.0) for m in (0, 10, 60, 61, 62)]
     df = spark.createDataFrame(points, "ts timestamp, metric string, source string, value double")

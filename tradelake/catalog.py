@@ -446,6 +446,33 @@ def latency_ema_zeros(spark: SparkSession, root: str) -> DataFrame:
     return ema.withColumn("avg_response_ms", F.round("avg_response_ms", 6)).withColumn("avg_response_s", F.round("avg_response_s", 8))
 
 
+def latency_ema_each(spark: SparkSession, root: str) -> DataFrame:
+    return _each(calls.latency_ema_each(views.call_log(spark, root)))
+
+
+def latency_ema_each_busy(spark: SparkSession, root: str) -> DataFrame:
+    """One source makes all calls; blocks are short, so that averages are carried over several."""
+    busy = views.call_log(spark, root).withColumn("source", F.lit("all"))
+    return _each(calls.latency_ema_each(busy, block=50))
+
+
+def latency_ema_each_zeros(spark: SparkSession, root: str) -> DataFrame:
+    """An average that falls to exactly zero and is seeded anew."""
+    return _each(calls.latency_ema_each(_one_source(spark, root), alpha=0.5))
+
+
+def _each(averages: DataFrame) -> DataFrame:
+    return averages.withColumn("avg_response_ms", F.round("avg_response_ms", 6))
+
+
+def metric_rollup_merged(spark: SparkSession, root: str) -> DataFrame:
+    """Summaries by minute and source, added up to hours of all sources."""
+    points = calls.call_points(views.call_log(spark, root))
+    hours = calls.widen_summary(calls.metric_summary(points), "1 hour", ("metric",))
+    rollup = _round_points(calls.summary_rollup(hours, ("metric",)))
+    return rollup.withColumns({c: F.round(c, 6) for c in ("p50_value", "p99_value")})
+
+
 def rolling_error_rate_wide(spark: SparkSession, root: str) -> DataFrame:
     """A window of more calls than a chunk was asked to hold, over one source."""
     rates = calls.rolling_error_rate(_one_source(spark, root), size=250, chunk=100)
@@ -644,6 +671,10 @@ _QUERIES: dict[str, Query] = {
     "rolling_error_rate_wide": rolling_error_rate_wide,
     "latency_ema": latency_ema,
     "latency_ema_zeros": latency_ema_zeros,
+    "latency_ema_each": latency_ema_each,
+    "latency_ema_each_busy": latency_ema_each_busy,
+    "latency_ema_each_zeros": latency_ema_each_zeros,
+    "metric_rollup_merged": metric_rollup_merged,
     "failed_calls": failed_calls,
     "metric_rollup": metric_rollup,
     "metric_alarms": metric_alarms,

@@ -621,6 +621,18 @@ one AS (SELECT 'all' AS source, id, ts, ok, CASE WHEN id IN (a, b) THEN latency_
   lambda a, x: CASE WHEN a = 0 THEN x ELSE 0.8e0 * a + 0.2e0 * x END) AS ema
   FROM one WHERE ok GROUP BY source)
 SELECT source, round(ema, 6) AS avg_response_ms, round(ema / 1000, 8) AS avg_response_s FROM e"""
+    each = """
+, n AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY ts, id) AS pos FROM {log} WHERE ok AND latency_ms IS NOT NULL),
+e AS (SELECT source, pos, latency_ms AS a FROM n WHERE pos = 1
+  UNION ALL SELECT n.source, n.pos, CASE WHEN e.a = 0 THEN n.latency_ms ELSE {kept} * e.a + {alpha} * n.latency_ms END
+  FROM e JOIN n ON n.source = e.source AND n.pos = e.pos + 1)
+SELECT n.source, n.id, n.ts, n.latency_ms, round(e.a, 6) AS avg_response_ms FROM n JOIN e ON n.source = e.source AND n.pos = e.pos"""
+    recursive = lambda log: log.replace("WITH", "WITH RECURSIVE", 1)
+    q["latency_ema_each"] = recursive(CALLS) + each.format(log="calls", kept="0.8e0", alpha="0.2e0")
+    busy = recursive(CALLS) + """
+, busy AS (SELECT * REPLACE ('all' AS source) FROM calls)"""
+    q["latency_ema_each_busy"] = busy + each.format(log="busy", kept="0.8e0", alpha="0.2e0")
+    q["latency_ema_each_zeros"] = recursive(one) + each.format(log="one", kept="0.5e0", alpha="0.5e0")
     q["rolling_error_rate_wide"] = one + """
 , r AS (SELECT *, avg(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY ts, id
   ROWS BETWEEN 249 PRECEDING AND CURRENT ROW) AS rate FROM one)
@@ -631,6 +643,22 @@ SELECT event_id, CAST(least(500, length(repeat(event_type, CAST(event_id % 200 +
 FROM events WHERE event_type = 'error'"""
     q["metric_rollup"] = CALLS + _POINTS + "SELECT * FROM rolled"
     q["stream_rollup"] = q["metric_rollup"]
+    # Counted from the points at once, where the query adds up minutes and sources.
+    q["metric_rollup_merged"] = CALLS + """
+, points AS (
+  SELECT ts, CASE WHEN ok THEN 'APISuccessCount' ELSE 'APIErrorCount' END AS metric, 1.0e0 AS value FROM calls
+  UNION ALL SELECT ts, 'ExchangeResponseTime', latency_ms FROM calls),
+valued AS (SELECT date_trunc('hour', ts) AS period_start, metric, value, CAST(sign(value) AS INTEGER) AS s,
+  CASE WHEN value = 0 THEN 0 ELSE ceil(ln(abs(value)) / ln(1.01e0 / 0.99e0)) END AS b
+  FROM points WHERE value IS NOT NULL),
+ranked AS (SELECT *, s * 2 * pow(1.01e0 / 0.99e0, b) / (1.01e0 / 0.99e0 + 1) AS stands,
+  row_number() OVER (PARTITION BY period_start, metric ORDER BY value) AS n, count(*) OVER (PARTITION BY period_start, metric) AS c
+  FROM valued)
+SELECT period_start, metric, round(sum(value), 4) AS sum_value, round(avg(value), 8) AS avg_value,
+  round(max(CASE WHEN n = ceil(c * 0.5e0) THEN stands END), 6) AS p50_value,
+  round(max(CASE WHEN n = ceil(c * 0.99e0) THEN stands END), 6) AS p99_value,
+  max(value) AS max_value, count(*) AS points
+FROM ranked GROUP BY period_start, metric"""
     q["stream_corrections"] = TRADES.replace("trades AS (", "first AS (") + """
 , trades AS (
   SELECT * FROM first
