@@ -431,6 +431,33 @@ def test_near_duplicates_odd(odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_an_id_on_several_texts(spark):
+    """Each text has its own links, and none goes because another text of its id does."""
+    base = [f"w{i}" for i in range(60)]
+    x, other, y = " ".join(base), " ".join([*base[:59], "last"]), " ".join(f"v{i}" for i in range(50))
+    near_y = y + " more"
+    rows = [(3, x), (5, x), (5, y), (5, y), (9, near_y), (12, other), (13, "alone"), (13, "by itself"), (14, None), (None, x)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _GONE_id int").repartition(3)
+    found = {(r.doc_id, r.n_shingles): (r.class_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs).collect()}
+    assert found[5, 56] == (3, 3, False) and found[5, 46] == (5, 5, True)
+    assert found[9, 47] == (9, 5, False) and found[12, 56] == (12, 3, False) and found[14, 0] == (14, 14, True)
+    kept = neardup.keep_first(docs)
+    assert kept.columns == docs.columns
+    want = [(3, x, 0), (5, y, 2), (5, y, 3), (13, "alone", 6), (13, "by itself", 7), (14, None, 8), (None, x, 9)]
+    assert sorted(map(tuple, kept.collect()), key=lambda r: r[2]) == want
+    # The smallest id is on two texts that are each near another document.
+    both = spark.createDataFrame([(1, x), (1, y), (2, other), (4, near_y)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in neardup.near_duplicates(both).collect()) == [(1, 1), (1, 1), (2, 1), (4, 1)]
+    assert sorted(r.text for r in neardup.keep_first(both).collect()) == sorted([x, y])
+
+
+def test_keep_first_of_odd_rows(odd, empty):
+    kept = neardup.keep_first(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 6, 8, 9, 10, 11]
+    assert neardup.keep_first(empty).count() == 0
+
+
 def test_large_regions(spark):
     """Many variants of one text: those of a common base are near it, not each other; two bases share a part."""
     import random

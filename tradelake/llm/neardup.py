@@ -20,10 +20,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import drop, ship_package, stage, texts
+from tradelake.llm.common import drop, free_name, ship_package, stage, texts
 from tradelake.llm.hashing import mix, word_hashes
 
 DEPTH = 5
@@ -80,8 +80,19 @@ def signature(found: np.ndarray, labels: int) -> np.ndarray:
     return low
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("text_key"))
+
+
 def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id, n_shingles, set_hash (of the whole set; 128 bits), labels of each row."""
+    """doc_id, text_key, n_shingles, set_hash (of the whole set; 128 bits), labels of each row.
+
+    An id and a text_key together name a text, also where an id is used twice.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -94,16 +105,15 @@ def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
                 both = (int(found.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(found * _A)))) if len(found) else (0, 0)
                 hashes.append(b"".join(x.to_bytes(8, "little") for x in both))
                 labels.append(signature(found, like.labels).tobytes() if len(found) else b"")
-            arrays = [b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(labels, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "set_hash", "labels"])
+            arrays = [b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(labels, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "n_shingles", "set_hash", "labels"])
 
     ship_package(docs.sparkSession)
-    rows = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, labels binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_hash binary, labels binary")
 
 
 def forest(nodes: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id, n_shingles, tree, region: the place of each document in each tree."""
+    """node, n_shingles, tree, region: the place of each node in each tree."""
 
     def run(batches):
         import pyarrow as pa
@@ -114,11 +124,11 @@ def forest(nodes: DataFrame, like: Likeness) -> DataFrame:
             for d in range(DEPTH):
                 region = mix(region * _A + flat[:, :, d])
             n = len(flat)
-            out = [np.repeat(b.column(c).to_numpy(), like.trees) for c in ("doc_id", "n_shingles")]
+            out = [np.repeat(b.column(c).to_numpy(), like.trees) for c in ("node", "n_shingles")]
             out += [np.tile(np.arange(like.trees, dtype=np.int32), n), region.view(np.int64).ravel()]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["doc_id", "n_shingles", "tree", "region"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["node", "n_shingles", "tree", "region"])
 
-    return nodes.select("doc_id", "n_shingles", "labels").mapInArrow(run, "doc_id long, n_shingles long, tree int, region long")
+    return nodes.select("node", "n_shingles", "labels").mapInArrow(run, "node long, n_shingles long, tree int, region long")
 
 
 def _of_like_size(a: str, b: str, like: Likeness):
@@ -130,28 +140,28 @@ def _of_like_size(a: str, b: str, like: Likeness):
 def small_pairs(members: DataFrame, like: Likeness) -> DataFrame:
     """All pairs of small regions; a region has SMALL members at most, so its pairs are bounded."""
     groups = members.where(F.col("m") <= SMALL).groupBy("tree", "region").agg(
-        F.array_sort(F.collect_list(F.struct("doc_id", "n_shingles"))).alias("all")
+        F.array_sort(F.collect_list(F.struct("node", "n_shingles"))).alias("all")
     )
     first = groups.select("all", F.posexplode("all").alias("i", "x"))
     both = first.select("x", F.explode(F.slice("all", F.col("i") + 2, F.lit(SMALL))).alias("y"))
-    flat = both.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.col("x.n_shingles").alias("na"), F.col("y.n_shingles").alias("nb"))
+    flat = both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n_shingles").alias("na"), F.col("y.n_shingles").alias("nb"))
     return flat.where(_of_like_size("na", "nb", like)).select("a", "b")
 
 
 def leader_pairs(members: DataFrame, like: Likeness) -> DataFrame:
     """Every member of a large region with the region's leader: the member whose regions are largest in sum."""
-    weights = members.groupBy("doc_id").agg(F.sum("m").alias("weight"))
-    large = members.where(F.col("m") > SMALL).join(weights, "doc_id")
-    best = F.max(F.struct("weight", (-F.col("doc_id")).alias("minus"), F.col("n_shingles").alias("n"))).alias("best")
+    weights = members.groupBy("node").agg(F.sum("m").alias("weight"))
+    large = members.where(F.col("m") > SMALL).join(weights, "node")
+    best = F.max(F.struct("weight", (-F.col("node")).alias("minus"), F.col("n_shingles").alias("n"))).alias("best")
     leaders = stage(large.groupBy("tree", "region").agg(best), "leaders")
     led = large.join(leaders, ["tree", "region"]).withColumn("leader", -F.col("best.minus"))
-    led = led.withColumn("n_leader", F.col("best.n")).where(_of_like_size("n_shingles", "n_leader", like) & (F.col("doc_id") != F.col("leader")))
+    led = led.withColumn("n_leader", F.col("best.n")).where(_of_like_size("n_shingles", "n_leader", like) & (F.col("node") != F.col("leader")))
     # The leader is `b`: rows of one leader lie together when links are confirmed.
-    return led.select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
+    return led.select(F.col("node").alias("a"), F.col("leader").alias("b"))
 
 
 def confirmed(pairs: DataFrame, bodies: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs whose full sets are `percent` alike. `bodies` has doc_id and text of every document in a pair."""
+    """The pairs whose full sets are `percent` alike. `bodies` has node and text of every node in a pair."""
 
     def run(batches):
         import pyarrow as pa
@@ -167,8 +177,8 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, like: Likeness) -> DataFrame:
                 hits.append(both > 0 and 100 * both >= like.percent * (len(one) + len(kept) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(hits, pa.bool_()))
 
-    one = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    two = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    one = bodies.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    two = bodies.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
     return rows.mapInArrow(run, "a long, b long")
 
@@ -204,9 +214,9 @@ def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodi
     are compared there on their full sets, in the first tree that has them in one region. Only links leave a block,
     at most as many as join its documents, so no table of pairs is made.
     """
-    large = members.where(F.col("m") > SMALL).select("tree", "region", "doc_id", "n_shingles")
-    known = labels.select(F.col("node").alias("doc_id"), "component")
-    placed = large.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    large = members.where(F.col("m") > SMALL).select("tree", "region", "node", "n_shingles")
+    known = labels.select("node", "component")
+    placed = large.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     per = placed.groupBy("tree", "region", "component").count()
     main = per.groupBy("tree", "region").agg(
         F.max(F.struct("count", "component")).alias("main"), F.sum("count").alias("m"), F.count(F.lit(1)).alias("parts")
@@ -215,18 +225,18 @@ def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodi
     main = stage(main, "main-components")
     open_regions = stage(placed.join(main, ["tree", "region"]), "open-regions")
     cut = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    mine = lambda n, seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), cut(n)).cast("int")
+    mine = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), cut(n)).cast("int")
     every = lambda n: F.sequence(F.lit(0), cut(n) - 1)
-    row = ["tree", "region", "doc_id", "n_shingles", "component"]
+    row = ["tree", "region", "node", "n_shingles", "component"]
     asks = open_regions.where("component != main").withColumn("i", mine("rest", 1)).withColumn("j", F.explode(every("m"))).select(*row, "i", "j", F.lit(True).alias("asks"))
     rest = open_regions.withColumn("j", mine("m", 2)).withColumn("i", F.explode(every("rest"))).select(*row, "i", "j", F.lit(False).alias("asks"))
-    full = nodes.select("doc_id", "labels").join(bodies.select("doc_id", "text"), "doc_id")
+    full = nodes.select("node", "labels").join(bodies.select("node", "text"), "node")
 
     def compare(table):
         import pyarrow as pa
 
         side, tree = table.column("asks").to_numpy(), table.column("tree")[0].as_py()
-        ids, n, part = (table.column(c).to_numpy() for c in ("doc_id", "n_shingles", "component"))
+        ids, n, part = (table.column(c).to_numpy() for c in ("node", "n_shingles", "component"))
         texts_of = table.column("text")
         sign = np.frombuffer(b"".join(table.column("labels").to_pylist()), np.uint32).reshape(-1, like.labels)
         prefix = sign.reshape(len(sign), like.trees, DEPTH + 1)[:, : tree + 1, :DEPTH]
@@ -262,39 +272,60 @@ def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodi
         a, b = zip(*out, strict=True) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return asks.union(rest).join(full, "doc_id").groupBy("tree", "region", "i", "j").applyInArrow(compare, "a long, b long")
+    return asks.union(rest).join(full, "node").groupBy("tree", "region", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id, kept of each row.
-
-    class_id is the smallest id with an equal set, component_id the smallest id reachable by links. A null or empty
-    text, or one without words, has an empty set and is linked with nothing; so is a row with a null id, which is
-    kept. Rows that share an id are one document. Equal texts have equal sets and are linked.
-    """
+def _grouped(docs: DataFrame, like: Likeness) -> DataFrame:
+    """The columns of `near_duplicates`, and text_key, of each row."""
     found = stage(sketches(docs, like), "sketches")
     full = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stage(full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies")), "classes")
-    reps = classes.select(F.col("class_id").alias("doc_id"), "set_hash")
-    nodes = stage(full.join(reps, ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"]), "nodes")
+    # A node is a class of equal sets. It has a number of its own, as its smallest id may also be that of another class.
+    classes = full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("class_id"))
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    firsts = classes.select(F.col("class_id").alias("doc_id"), "set_hash", "n_shingles", "node")
+    nodes = stage(full.join(firsts, ["doc_id", "set_hash", "n_shingles"]).dropDuplicates(["node"]), "nodes")
     placed = stage(forest(nodes, like), "forest")
     # Tables that are joined on a key that may be hot are written first: only then can the join split that key.
     regions = stage(placed.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "regions")
     members = stage(placed.join(regions, ["tree", "region"]), "members")
     drop(placed)
     first = stage(small_pairs(members, like).union(leader_pairs(members, like)).distinct(), "pairs")
-    near = members.select("doc_id").distinct()
-    bodies = stage(texts(docs).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "bodies")
+    near = nodes.select("node", "doc_id", "text_key").join(members.select("node").distinct(), "node", "left_semi")
+    bodies = stage(keyed(docs).join(near, ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "bodies")
     links = stage(confirmed(first, bodies, like), "links")
     labels = components(links)
     more = stage(leftover_links(members, labels, nodes, bodies, like), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
-    rows = found.select("doc_id", "n_shingles", "set_hash")
-    known = rows.join(classes.select("set_hash", "n_shingles", "class_id"), ["set_hash", "n_shingles"], "left")
-    linked = known.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
-    component = F.coalesce("component", "class_id", "doc_id")
-    return linked.select(
-        "doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), component.alias("component_id"),
+    least = labels.join(classes.select("node", "class_id"), "node").groupBy("component").agg(F.min("class_id").alias("least"))
+    named = stage(labels.join(least, "component").select("node", "least"), "components")
+    rows = found.select("doc_id", "text_key", "n_shingles", "set_hash")
+    known = rows.join(classes, ["set_hash", "n_shingles"], "left")
+    component = F.coalesce("least", "class_id", "doc_id")
+    return known.join(named, "node", "left").select(
+        "doc_id", "text_key", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), component.alias("component_id"),
         F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id, kept of each row.
+
+    class_id is the smallest id with an equal set, component_id the smallest id reachable by links. A null or empty
+    text, or one without words, has an empty set and is linked with nothing; so is a row with a null id, which is
+    kept. Equal texts have equal sets and are linked. An id on several texts names each of them: every text has links
+    and a group of its own, and each that lies in a group whose smallest id this is is kept.
+    """
+    return _grouped(docs, like).drop("text_key")
+
+
+def keep_first(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps, with all their columns, whatever their names.
+
+    Rows go by id and text: where an id is on several texts, only those go that repeat a text of a smaller id. Rows
+    that agree in id and text stay or go together.
+    """
+    gone_id, gone_key = free_name(docs, "_gone_id"), free_name(docs, "_gone_key")
+    gone = _grouped(docs, like).where("NOT kept").select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key)).distinct()
+    same = (F.col("doc_id").cast("long") == F.col(gone_id)) & (text_key() == F.col(gone_key))
+    return docs.join(gone, same, "left_anti")
