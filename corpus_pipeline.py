@@ -23,15 +23,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that fail the base rules or come from a host most of whose documents fail."""
+    """Drops documents that fail the base rules or come from a host most of whose documents fail.
+
+    A null text has no words and so fails. Rows that agree are judged alike; an empty table gives an empty table.
+    """
     found, name = quality.judge(docs)
     return found.where(F.col(f"{name}.kept")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group; rows without an id stay."""
-    gone = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps the document with the smallest id of every group of likeness 0.8 over 5 words.
+
+    Rows without an id or without words stay. A row goes by its id and text, so where an id is on several texts, those
+    that repeat nothing stay; rows that agree in both stay or go together. An empty table gives an empty table.
+    """
+    return neardup.keep_first(docs)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +47,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens from all documents, in pieces; a null text is packed as an empty one."""
     return packing.pack(docs, word_tokenizer())
 
 
