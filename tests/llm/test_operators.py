@@ -370,7 +370,7 @@ def test_rare_languages_and_long_words_are_learned(spark):
     word = lambda i: hashlib.sha256(str(i).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))
     rows = [(i, " ".join(word(7 * i + j)[:8] for j in range(7)), "big") for i in range(2000)]
     rows += [(3000 + i, "zuq vuqz quvz", "rare") for i in range(6)] + [(4000 + i, word(9) * 2 + "rstuv", "long") for i in range(6)]
-    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 50, 30, 500)
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 50, 1000)
     assert model["langs"] == ["big", "long", "rare"]
     assert {"zuq", "vuqz", "quvz"} <= set(model["words"]) and {"rstuv", "stuv>"} <= set(model["grams"])
     assert {len(g) for g in model["grams"]} == {1, 2, 3, 4, 5}
@@ -380,6 +380,38 @@ def test_rare_languages_and_long_words_are_learned(spark):
     assert list(scorer.word(long)) == model["word_logs"][model["words"].index("#" + sha(long))].tolist()
 
 
+def test_language_model_holds_plain_counts(spark):
+    """Words and n-grams of at least one in `rarest` of a language, with logs of their counts, as plain Python has them."""
+    import math
+    import random
+
+    import regex
+
+    draw = random.Random(4)
+    parts = ["the", "of", "der", "Haus", "मैं", "हिन्दी", "été", "x" * 70, "a1b", "können", "\u0301z"]
+    rows = [(i, " ".join(draw.choice(parts[: 4 + i % 8]) for _ in range(draw.randrange(30))), draw.choice(["en", "de", "hi", None])) for i in range(200)]
+    rows += [(500, None, "en"), (501, "", "de"), (502, "12 !", "fr")]
+    for rarest in (10**6, 12):
+        model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rarest=rarest)
+        words, grams = collections.Counter(), collections.Counter()
+        for i, text, lang in rows:
+            if lang is None or zlib.crc32(str(i).encode()) % 3 == 1:
+                continue
+            for w in regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower()):
+                words[w if len(w) <= 64 else "#" + sha(w), lang] += 1
+                p = f"<{w}>"
+                grams.update((p[j : j + n], lang) for n in range(1, 6) for j in range(len(p) - n + 1))
+        langs = sorted({x for _, x in words})
+        assert model["langs"] == langs and "हिन्दी" in {w for w, _ in words}
+        for counted, keys, logs in ((words, model["words"], model["word_logs"]), (grams, model["grams"], model["gram_logs"])):
+            totals = {x: sum(n for (_, y), n in counted.items() if x == y) for x in langs}
+            want = sorted({k for (k, x), n in counted.items() if n * rarest >= totals[x]})
+            assert keys == want and (rarest == 12) == (len(want) < len({k for k, _ in counted}))
+            for x, column in zip(langs, logs.T, strict=True):
+                whole = sum(counted[k, x] for k in want) + langid.SMOOTH * len(want)
+                assert column.tolist() == pytest.approx([math.log((counted[k, x] + langid.SMOOTH) / whole) for k in want])
+
+
 def test_unseen_words_fall_back_to_longest_known_grams():
     import numpy as np
 
@@ -477,6 +509,18 @@ def test_large_regions(spark):
         assert groups(neardup.near_duplicates(rows, like)) == expected_groups(texts, like.words, like.percent)
 
 
+def test_common_shingles_are_counted_per_set():
+    import numpy as np
+
+    draw = np.random.default_rng(8)
+    sets = [np.unique(draw.integers(0, 9000, n).astype(np.uint64)) for n in (1, 40, 3000, 9000, 5000)]
+    order = np.argsort(np.concatenate(sets), kind="stable")
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order]
+    for one in sets:
+        both = neardup.common_shingles(one, np.concatenate(sets)[order], owner, len(sets))
+        assert both.tolist() == [len(np.intersect1d(one, x)) for x in sets]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     assert {r.node: r.component for r in neardup.components(edges).collect()} == {**{i: 0 for i in range(41)}, 99: 99, 100: 99}
@@ -622,7 +666,7 @@ def test_repeats_odd(odd, empty):
     assert rows.columns == [*odd.columns, "n_chars", name]
 
 
-@pytest.mark.parametrize("group", [repeats.GROUP, 2])
+@pytest.mark.parametrize("group", [repeats.GROUP, 2, 1])
 @pytest.mark.parametrize("segment", [repeats.SEGMENT, 300])
 def test_repeats_of_periodic_texts(spark, monkeypatch, group, segment):
     import random

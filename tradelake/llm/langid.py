@@ -2,15 +2,15 @@
 
 A known word scores by its log frequency in each language. An unseen word falls back to its character n-grams of
 length 5, then 4, and so on down to single characters: the first length with a known n-gram decides. The model is
-counted by Spark on a bounded sample of the labelled documents of each language, and keeps a bounded number of words
-and n-grams of each, so that no language is crowded out by a larger one.
+counted by Spark on a bounded sample of the labelled documents of each language. A word or n-gram belongs to the model if
+it makes up at least a stated share of the words or n-grams of one language, so no language is crowded out by a larger
+one, the same rule holds at every size, and the share bounds the model: 1 / share entries of each language at most.
 """
 
 from __future__ import annotations
 
 import hashlib
 from array import array
-from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -23,8 +23,8 @@ from tradelake.session import materialize
 
 # Of each language.
 SAMPLE_DOCS = 20_000
-MAX_WORDS = 60_000
-MAX_GRAMS = 60_000
+# A word or n-gram is known if one of so many in a language is it.
+RAREST = 200_000
 LONGEST = 5
 # Longer words are known by a hash; their n-grams are counted in stretches of so many.
 LONG_WORD = 64
@@ -33,20 +33,23 @@ SMOOTH = 0.1
 CACHE = 200_000
 # Words that count fully towards the score; more words do not make it surer.
 SURE_WORDS = 20
-_LETTERS = regex.compile(r"\p{L}+")
+# A letter and the letters and marks (vowel signs, for instance) that follow it.
+_WORD = r"\p{L}[\p{L}\p{M}]*"
+_WORDS = regex.compile(_WORD)
 
 
 def held_out(doc_id):
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> dict:
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rarest: int = RAREST) -> dict:
     """Log frequencies of words and n-grams per language, from about `sample_docs` labelled documents of each.
 
     Learns from text and lang of rows that are not held out and have a lang; a language with `sample_docs` such rows or
-    fewer is read whole. The sample is drawn by a hash of the id. Words are runs of letters in lower case; of each
-    language the `max_words` words and `max_grams` n-grams it has most often are kept, with their counts in all
-    languages. Languages without documents in the table are unknown.
+    fewer is read whole. The sample is drawn by a hash of the id. Words are a letter and the letters and marks after it,
+    in lower case. A word (n-gram) that one in `rarest` words (n-grams) of some language is, or more, is kept with its
+    counts in all languages; where a language has no more than `rarest` of them, that is every one. Languages without
+    documents in the table are unknown.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", "text")
     totals = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
@@ -56,7 +59,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WO
     shares = F.create_map(*map(F.lit, chain(*[(x, int((1 << 30) * min(1.0, sample_docs / n))) for x, n in totals.items()])))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < shares[F.col("lang")]
     words = labelled.where(part).select(
-        "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))).alias("word")
+        "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"({_WORD})"))).alias("word")
     )
     counts = materialize(words.groupBy("word", "lang").count(), "word-counts")
     sizes = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("count").alias("n")).collect()}
@@ -84,18 +87,18 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_words: int = MAX_WO
     )
     gram_counts = materialize(grams.groupBy("gram", "lang").agg(F.sum("count").alias("count")), "gram-counts")
 
-    def top(table: DataFrame, key: str, most: int) -> tuple[list[str], np.ndarray]:
+    def known(table: DataFrame, key: str) -> tuple[list[str], np.ndarray]:
         per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("count"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)]
-        of_each = [table.where(F.col("lang") == x).orderBy(F.desc("count"), key).limit(most).select(key) for x in langs]
-        best = materialize(reduce(DataFrame.union, of_each).distinct(), f"top-{key}s")
-        found = sorted(table.join(best, key, "left_semi").groupBy(key).agg(*per_lang).collect())
+        totals = {r[0]: r[1] for r in table.groupBy("lang").agg(F.sum("count")).collect()}
+        often = F.greatest(*[F.col(f"n{i}") * rarest >= totals.get(x, 0) for i, x in enumerate(langs)], F.lit(False))
+        found = sorted(table.groupBy(key).agg(*per_lang).where(often).collect())
         seen = np.array([r[1:] for r in found], float).reshape(len(found), len(langs))
         return [r[0] for r in found], np.log((seen + SMOOTH) / (seen.sum(0) + SMOOTH * len(found)))
 
     long = F.concat(F.lit("#"), F.sha2(F.encode("word", "UTF-8"), 256))
     counts = counts.withColumn("word", F.when(F.length("word") > LONG_WORD, long).otherwise(F.col("word")))
-    word_keys, word_logs = top(counts, "word", max_words)
-    gram_keys, gram_logs = top(gram_counts, "gram", max_grams)
+    word_keys, word_logs = known(counts, "word")
+    gram_keys, gram_logs = known(gram_counts, "gram")
     return {"langs": langs, "words": word_keys, "word_logs": word_logs, "grams": gram_keys, "gram_logs": gram_logs}
 
 
@@ -133,7 +136,7 @@ class Scorer:
         if at == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.known[chunk] = at
-        words = _LETTERS.findall(chunk.lower())
+        words = _WORDS.findall(chunk.lower())
         if len(words) == 1:
             self.rows[at] = (*self.word(words[0]), 1)
         elif words:
