@@ -1,18 +1,17 @@
 """Near duplicates by bands of min-hash labels with leaders, in place of an LSH forest.
 
 A document is the set of its shingles of `words` words. Each of `trees` trees has its own min-hash labels; documents
-with the same first DEPTH labels form a region of that tree, found by a hash of these labels. Nothing is sorted, no
-neighbours by longest common prefix are taken, the depth is the same everywhere and the label after DEPTH only counts
-in whole signatures. Candidates are documents of one region:
+with the same DEPTH labels form a region of that tree, found by a hash of these labels. Nothing is sorted, no
+neighbours by longest common prefix are taken and the depth is the same everywhere. Candidates are documents of one region:
 
 - a small region gives all its pairs;
 - in a large region every document is first paired with one leader, the member that shares most regions. After
   these pairs are confirmed, documents outside the region's largest component are compared with the rest, block by
-  block, first by whole signatures: pairs that agree in fewer than `least_alike` labels are dropped unseen.
+  block, on their full sets: the shingles of a block are indexed, so that common ones are counted for a document at once.
 
-Every link is confirmed on the full sets. Two documents of likeness s share no region with probability
-(1 - s**DEPTH)**trees, which is 8e-7 for 24 trees at 0.85 and 6e-7 for 36 trees at 0.8. A pair of exactly the threshold that
-is left over in a large region is dropped by its signatures once in about 30,000 pairs more. Documents with equal sets are one node from the start.
+So every pair of one region that could still join two components is judged, and every link is confirmed on the full
+sets. Two documents of likeness s share no region with probability (1 - s**DEPTH)**trees, which is 8e-7 for 24 trees at
+0.85 and 6e-7 for 36 trees at 0.8. Documents with equal sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -41,13 +40,7 @@ class Likeness:
 
     @property
     def labels(self) -> int:
-        return self.trees * (DEPTH + 1)
-
-    @property
-    def least_alike(self) -> int:
-        """Signatures that agree in fewer places are of sets below `percent` but for one case in 30,000."""
-        s = self.percent / 100
-        return int(self.labels * s - 4 * (self.labels * s * (1 - s)) ** 0.5)
+        return self.trees * DEPTH
 
 
 _draw = np.random.default_rng(11)
@@ -80,6 +73,26 @@ def signature(found: np.ndarray, labels: int) -> np.ndarray:
     return low
 
 
+def regions_of(labels: np.ndarray) -> np.ndarray:
+    """A hash of the DEPTH labels of each tree."""
+    region = np.zeros(len(labels) // DEPTH, np.uint64)
+    for label in labels.reshape(-1, DEPTH).T:
+        region = mix(region * _A + label)
+    return region
+
+
+def common_shingles(one: np.ndarray, shingle: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """How many shingles of the set `one` each owner has; `shingle` is sorted, `owner` says whose each is."""
+    both = np.zeros(owners, np.int64)
+    for at in range(0, len(one), 2048):  # a hot shingle is had by every owner
+        part = one[at : at + 2048]
+        low, high = np.searchsorted(shingle, part), np.searchsorted(shingle, part, "right")
+        many = high - low
+        places = np.arange(many.sum()) + np.repeat(low - (np.cumsum(many) - many), many)
+        both += np.bincount(owner[places], minlength=owners)
+    return both
+
+
 def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
@@ -89,7 +102,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_hash (of the whole set; 128 bits), labels of each row.
+    """doc_id, text_key, n_shingles, set_hash (of the whole set; 128 bits), regions of each row.
 
     An id and a text_key together name a text, also where an id is used twice.
     """
@@ -98,18 +111,18 @@ def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            sizes, hashes, labels = [], [], []
+            sizes, hashes, regions = [], [], []
             for text in b.column("text").to_pylist():
                 found = shingles(text, like.words)
                 sizes.append(len(found))
                 both = (int(found.sum(dtype=np.uint64)), int(np.bitwise_xor.reduce(mix(found * _A)))) if len(found) else (0, 0)
                 hashes.append(b"".join(x.to_bytes(8, "little") for x in both))
-                labels.append(signature(found, like.labels).tobytes() if len(found) else b"")
-            arrays = [b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(labels, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "n_shingles", "set_hash", "labels"])
+                regions.append(regions_of(signature(found, like.labels)).tobytes() if len(found) else b"")
+            arrays = [b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()), pa.array(regions, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text_key", "n_shingles", "set_hash", "regions"])
 
     ship_package(docs.sparkSession)
-    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_hash binary, labels binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_hash binary, regions binary")
 
 
 def forest(nodes: DataFrame, like: Likeness) -> DataFrame:
@@ -119,16 +132,13 @@ def forest(nodes: DataFrame, like: Likeness) -> DataFrame:
         import pyarrow as pa
 
         for b in batches:
-            flat = np.frombuffer(b"".join(b.column("labels").to_pylist()), np.uint32).reshape(-1, like.trees, DEPTH + 1)
-            region = np.zeros(flat.shape[:2], np.uint64)
-            for d in range(DEPTH):
-                region = mix(region * _A + flat[:, :, d])
-            n = len(flat)
+            region = np.frombuffer(b"".join(b.column("regions").to_pylist()), np.int64)
+            n = b.num_rows
             out = [np.repeat(b.column(c).to_numpy(), like.trees) for c in ("node", "n_shingles")]
-            out += [np.tile(np.arange(like.trees, dtype=np.int32), n), region.view(np.int64).ravel()]
+            out += [np.tile(np.arange(like.trees, dtype=np.int32), n), region]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["node", "n_shingles", "tree", "region"])
 
-    return nodes.select("node", "n_shingles", "labels").mapInArrow(run, "node long, n_shingles long, tree int, region long")
+    return nodes.select("node", "n_shingles", "regions").mapInArrow(run, "node long, n_shingles long, tree int, region long")
 
 
 def _of_like_size(a: str, b: str, like: Likeness):
@@ -193,6 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
     labels = stage(
         both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "labels"
     )
+    before = labels
     while True:
         near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         lower = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("lower"))
@@ -202,17 +213,20 @@ def components(edges: DataFrame) -> DataFrame:
         )
         step = stage(jumped, "labels")
         labels = step.select("node", F.col("new").alias("component"))
+        drop(before)
         if step.where("moved").isEmpty():
+            drop(both)
             return labels
+        before = step
 
 
 def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodies: DataFrame, like: Likeness) -> DataFrame:
     """Links inside large regions between documents that are still in different components.
 
     Of a region's components the largest is compared with all others, these also among themselves. Both sides are
-    dealt to blocks of BLOCK rows with their texts, and every two documents of unlike components and alike signatures
-    are compared there on their full sets, in the first tree that has them in one region. Only links leave a block,
-    at most as many as join its documents, so no table of pairs is made.
+    dealt to blocks of BLOCK rows with their texts, and every two documents of unlike components are compared there on
+    their full sets, in the first tree that has them in one region. Only links leave a block, at most as many as join
+    its documents, so no table of pairs is made.
     """
     large = members.where(F.col("m") > SMALL).select("tree", "region", "node", "n_shingles")
     known = labels.select("node", "component")
@@ -230,17 +244,15 @@ def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodi
     row = ["tree", "region", "node", "n_shingles", "component"]
     asks = open_regions.where("component != main").withColumn("i", mine("rest", 1)).withColumn("j", F.explode(every("m"))).select(*row, "i", "j", F.lit(True).alias("asks"))
     rest = open_regions.withColumn("j", mine("m", 2)).withColumn("i", F.explode(every("rest"))).select(*row, "i", "j", F.lit(False).alias("asks"))
-    full = nodes.select("node", "labels").join(bodies.select("node", "text"), "node")
+    full = nodes.select("node", "regions").join(bodies.select("node", "text"), "node")
 
     def compare(table):
         import pyarrow as pa
 
         side, tree = table.column("asks").to_numpy(), table.column("tree")[0].as_py()
         ids, n, part = (table.column(c).to_numpy() for c in ("node", "n_shingles", "component"))
-        texts_of = table.column("text")
-        sign = np.frombuffer(b"".join(table.column("labels").to_pylist()), np.uint32).reshape(-1, like.labels)
-        prefix = sign.reshape(len(sign), like.trees, DEPTH + 1)[:, : tree + 1, :DEPTH]
-        sets: dict[int, np.ndarray] = {}
+        regions = np.frombuffer(b"".join(table.column("regions").to_pylist()), np.int64).reshape(-1, like.trees)[:, : tree + 1]
+        sets = [shingles(text.as_py(), like.words) for text in table.column("text")]
         group = {p: p for p in part.tolist()}
 
         def top(p: int) -> int:
@@ -248,25 +260,19 @@ def leftover_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, bodi
                 group[p] = p = group[group[p]]
             return p
 
-        def body(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = shingles(texts_of[i].as_py(), like.words)
-            return sets[i]
-
         q, r = np.flatnonzero(side), np.flatnonzero(~side)
         out = []
-        for x in q:
-            fit = r[(part[r] != part[x]) & (100 * np.minimum(n[r], n[x]) >= like.percent * np.maximum(n[r], n[x]))]
-            fit = fit[(sign[fit] == sign[x]).sum(1) >= like.least_alike]
-            if not len(fit):
+        shingle = np.concatenate([sets[y] for y in r]) if len(r) else np.zeros(0, np.uint64)
+        order = np.argsort(shingle, kind="stable")
+        shingle, owner = shingle[order], np.repeat(np.arange(len(r)), n[r])[order]
+        for x in q.tolist():
+            if (part[r] == part[x]).all():
                 continue
-            fit = fit[(prefix[fit] == prefix[x]).all(2).argmax(1) == tree]
-            for y in fit.tolist():
+            both = common_shingles(sets[x], shingle, owner, len(r))
+            fit = r[(part[r] != part[x]) & (100 * both >= like.percent * (n[x] + n[r] - both))]
+            for y in fit[(regions[fit] == regions[x]).argmax(1) == tree].tolist():
                 one, two = top(int(part[x])), top(int(part[y]))
-                if one == two:
-                    continue
-                both = len(np.intersect1d(body(int(x)), body(y), assume_unique=True))
-                if 100 * both >= like.percent * (int(n[x]) + int(n[y]) - both):
+                if one != two:
                     group[one] = two
                     out.append((int(ids[x]), int(ids[y])))
         a, b = zip(*out, strict=True) if out else ((), ())
@@ -284,6 +290,8 @@ def _grouped(docs: DataFrame, like: Likeness) -> DataFrame:
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     firsts = classes.select(F.col("class_id").alias("doc_id"), "set_hash", "n_shingles", "node")
     nodes = stage(full.join(firsts, ["doc_id", "set_hash", "n_shingles"]).dropDuplicates(["node"]), "nodes")
+    rows = stage(found.select("doc_id", "text_key", "n_shingles", "set_hash"), "sets")
+    drop(found)
     placed = stage(forest(nodes, like), "forest")
     # Tables that are joined on a key that may be hot are written first: only then can the join split that key.
     regions = stage(placed.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "regions")
@@ -296,10 +304,12 @@ def _grouped(docs: DataFrame, like: Likeness) -> DataFrame:
     labels = components(links)
     more = stage(leftover_links(members, labels, nodes, bodies, like), "links")
     if not more.isEmpty():
+        drop(labels)
         labels = components(links.union(more))
     least = labels.join(classes.select("node", "class_id"), "node").groupBy("component").agg(F.min("class_id").alias("least"))
     named = stage(labels.join(least, "component").select("node", "least"), "components")
-    rows = found.select("doc_id", "text_key", "n_shingles", "set_hash")
+    for table in (nodes, regions, members, first, bodies, links, more, labels):
+        drop(table)
     known = rows.join(classes, ["set_hash", "n_shingles"], "left")
     component = F.coalesce("least", "class_id", "doc_id")
     return known.join(named, "node", "left").select(
