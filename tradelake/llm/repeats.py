@@ -12,7 +12,10 @@ removed. Sorting all suffixes is not needed for that:
    anchors, with the lengths of the prefixes that neighbours have in common; then, byte by byte to the left, the order
    and common prefixes of the suffixes one byte longer are induced from those before. A stretch whose suffix has
    SPAN bytes in common with a neighbour is a repeat.
-4. An anchor with more than GROUP different runs is not brought into one task. Its stretches are counted by hash.
+4. An anchor with more than GROUP different runs is not brought into one task. Its runs are cut into pieces of PIECE
+   stretches, and pieces are dealt by the bytes that all stretches of a piece have, so equal stretches meet again. Pieces
+   that are equal byte by byte are repeats as they are, and one of each is sorted as in 3. Where more than GROUP different
+   pieces have these bytes in common, single stretches are compared byte by byte.
 
 Sorted runs and counts go through Spark's shuffles and sorts, which spill to disk; a task holds the runs of a few
 anchors at a time.
@@ -21,6 +24,7 @@ anchors at a time.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,6 +38,7 @@ SPAN = 200
 GRAM = 64
 WIDTH = SPAN - GRAM + 1  # k-grams of a stretch
 GROUP = 1024
+PIECE = 8
 # Stretches handled at once, in finding runs; a longer text is read in segments that overlap by SPAN bytes.
 SEGMENT = 1 << 19
 # Rows handled at once in induced sorting, if the groups allow it.
@@ -215,26 +220,60 @@ def sorted_repeats(cases: DataFrame) -> DataFrame:
     return cases.sortWithinPartitions("key").mapInArrow(run, f"{KEY}, start int, stop int")
 
 
-def counted_repeats(cases: DataFrame) -> DataFrame:
-    """Repeats found by counting hashes of stretches, as (id, text_key, start, stop)."""
+def pieces(cases: DataFrame, width: int) -> DataFrame:
+    """The runs of `cases` in pieces of up to `width` stretches, dealt to new groups by the bytes their stretches share.
+
+    Stretches at the same distance from equal anchors are in pieces of the same bounds, so all that are equal are in one
+    new group. A piece has its last possible stretch as its anchor. Groups with equal keys by chance do no harm, as
+    whoever reads a group compares bytes.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             out = []
-            for i, t, first, raw, copies in zip(*[b.column(c).to_pylist() for c in ("id", "text_key", "first", "bytes", "copies")], strict=True):
-                hashes = Prefix(np.frombuffer(raw, np.uint8)).windows(SPAN).view(np.int64)
-                n = len(hashes)
-                out.append((np.full(n, i), np.full(n, t), first + np.arange(n), hashes, np.full(n, min(copies, 2))))
-            kinds = [np.int64, np.int64, np.int32, np.int64, np.int32]
-            columns = [np.concatenate(c).astype(k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)] if out else [np.zeros(0, k) for k in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "text_key", "start", "stretch", "copies"])
+            wanted = ("id", "text_key", "first", "last", "anchor", "key", "copies", "bytes")
+            for i, t, first, last, anchor, key, copies, raw in zip(*[b.column(c).to_pylist() for c in wanted], strict=True):
+                for part in range((anchor - last) // width, (anchor - first) // width + 1):
+                    at = anchor - part * width  # of the piece's last possible stretch
+                    lo, hi = max(first, at - width + 1), min(last, at)
+                    shared = raw[at - first : at - width + 1 - first + SPAN]
+                    group = hashlib.blake2b(shared, digest_size=8, salt=(key & 2**64 - 1).to_bytes(8, "little"), person=part.to_bytes(8, "little"))
+                    out.append((i, t, lo, hi, at, int.from_bytes(group.digest(), "little", signed=True), copies, raw[lo - first : hi - first + SPAN]))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            columns = list(zip(*out, strict=True)) if out else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=list(wanted))
+
+    return cases.mapInArrow(run, f"{KEY}, first int, last int, anchor int, key long, copies long, bytes binary")
+
+
+def _different(distinct: DataFrame) -> DataFrame:
+    """Rows of groups that have several, with their number as `different`."""
+    sizes = stage(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "different")
+    return distinct.join(sizes, "key")
 
-    each = cases.mapInArrow(run, f"{KEY}, start int, stretch long, copies int")
-    often = each.groupBy("stretch").agg(F.sum("copies").alias("n")).where("n > 1").select("stretch")
-    found = each.where("copies = 1").join(often, "stretch")
-    return found.select("id", "text_key", "start", (F.col("start") + SPAN).alias("stop"))
+
+def divided_repeats(cases: DataFrame) -> list[DataFrame]:
+    """Repeats among the runs of anchors that have too many for one task, as tables of (id, text_key, start, stop)."""
+    found = []
+    for width in (PIECE, 1):
+        if cases.isEmpty():
+            break
+        each = stage(pieces(cases, width), "pieces")
+        place = F.struct("id", "text_key", "first", "last", "anchor")
+        distinct = each.groupBy("key", "bytes").agg(F.sum("copies").alias("copies"), F.min(place).alias("at"))
+        distinct = stage(distinct.select("key", "bytes", "copies", "at.*"), "distinct-pieces")
+        twice = distinct.where("copies > 1").select("key", "bytes")
+        equal = each.where("copies = 1").join(twice, ["key", "bytes"])
+        found.append(stage(equal.select("id", "text_key", F.col("first").alias("start"), (F.col("last") + SPAN).alias("stop")), "equal-pieces"))
+        drop(each)
+        if width > 1:
+            open_groups = _different(distinct)
+            found.append(stage(sorted_repeats(open_groups.where(F.col("different") <= GROUP).repartition("key")), "sorted-pieces"))
+            cases = stage(open_groups.where(F.col("different") > GROUP), "large-groups")
+        drop(distinct)
+    return found
 
 
 def repeat_spans(bodies: DataFrame) -> DataFrame:
@@ -250,15 +289,16 @@ def repeat_spans(bodies: DataFrame) -> DataFrame:
     whole = repeated.join(distinct.where("copies > 1").select("key", "whole"), ["key", "whole"])
     whole = stage(whole.select("id", "text_key", F.col("first").alias("start"), (F.col("last") + SPAN).alias("stop")), "equal-runs")
     drop(repeated)
-    sizes = stage(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "different")
-    cases = distinct.join(sizes, "key").select("key", "copies", "different", "at.*")
+    cases = _different(distinct).select("key", "copies", "different", "at.*")
     wanted = cases.groupBy("id", "text_key").agg(F.collect_list(F.struct("key", "copies", "different", "first", "last", "anchor")).alias("cases"))
     cut = wanted.join(bodies, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("id", "text_key", "raw", F.explode("cases").alias("c"))
     cut = cut.select("id", "text_key", "c.*", F.substring("raw", F.col("c.first") + 1, F.col("c.last") - F.col("c.first") + SPAN).alias("bytes"))
     cut = stage(cut, "run-bytes")
+    drop(distinct)
     some = stage(sorted_repeats(cut.where(F.col("different") <= GROUP).repartition("key")), "sorted-repeats")
-    more = stage(counted_repeats(cut.where(F.col("different") > GROUP)), "counted-repeats")
-    return whole.union(some).union(more)
+    more = divided_repeats(cut.where(F.col("different") > GROUP))
+    drop(cut)
+    return reduce(DataFrame.union, [whole, some, *more])
 
 
 def remove_repeats(docs: DataFrame, replace: bool = True) -> tuple[DataFrame, str]:
