@@ -8,6 +8,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -130,6 +132,32 @@ def test_small_blocks_inside_tasks(monkeypatch, pairs, run):
     assert distinct == collections.Counter(k for d in docs for k in {x * 3 + y for g in d for x in g[0] for y in g[1]})
 
 
+def test_one_block_is_not_added_up(spark, plain, model):
+    """Only the sums of several blocks need a shuffle; a row of a single block is whole as it leaves its task. These rows have 60 pairs."""
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").repartition(5)
+    found = [alignment.align(docs, byte_tokenizer(), model, block) for block in (60, 20)]
+    assert ["Exchange" in df._jdf.queryExecution().executedPlan().toString() for df in found] == [False, True]
+    assert [rows_of(df) for df in found] == [plain(ODD)] * 2
+
+
+@given(st.lists(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 2)), max_size=12), max_size=6))
+@settings(max_examples=100, deadline=None)
+def test_alignment_in_plain_loops(docs):
+    """Groups, distinct pairs and digests of a run of documents, whose sides are cut so that they have the same bytes."""
+    aligner = alignment.Aligner(np.array([1, 2, 3]), np.array([1, 2, 3]))
+    sides = [([x for x, _ in d] + [y for _, y in d], [y for _, y in d] + [x for x, _ in d]) for d in docs]
+    found, pairs, texts = aligner.align(*[[np.array(d[i], np.uint32) for d in sides] for i in (0, 1)]) if docs else None, [], []
+    for a, b in sides:
+        ends = [np.cumsum([i + 1 for i in side]).tolist() for side in (a, b)]
+        cuts = [0, *sorted(set(ends[0]) & set(ends[1]))]
+        groups = [[[x for x, e in zip(side, at, strict=True) if low < e <= high] for side, at in zip((a, b), ends, strict=True)] for low, high in zip(cuts, cuts[1:], strict=False)]
+        pairs += sorted({x * 3 + y for g in groups for x in g[0] for y in g[1]})
+        texts.append(hashlib.sha256(";".join("|".join(",".join(map(str, side)) for side in g) for g in groups).encode()).hexdigest() if a else "")
+    if docs:
+        assert found.pairs_of_documents().tolist() == pairs
+        assert found.digests(alignment._names(3, 3)) == texts
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 5000, 200_000])
 def test_perfect_hash(n):
     keys = np.unique(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.uint64))

@@ -138,15 +138,26 @@ class Aligner:
         return Aligned(self, a, b)
 
 
+def _among(places: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the places are among the others; both rise, are at least 0 and have the same last one."""
+    marked = np.zeros(int(others[-1]) + 1 if len(others) else 0, bool)
+    marked[others] = True
+    return marked[places]
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Each key once, in order. Keys that come sorted in large part are faster sorted than hashed, as `np.unique` does."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 class Aligned:
     def __init__(self, by: Aligner, a: list[np.ndarray], b: list[np.ndarray]):
         self.by, self.docs = by, len(a)
         self.a, self.b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
         # Both sides of a document have the same bytes, so ends can be counted through all documents.
         ends_a, ends_b = np.cumsum(by.size_a[self.a]), np.cumsum(by.size_b[self.b])
-        near = np.searchsorted(ends_b, ends_a)
-        both_a, both_b = ends_b[near] == ends_a, np.zeros(len(ends_b), bool)  # the last ends are equal, so no place is past the end
-        both_b[near[both_a]] = True
+        both_a, both_b = _among(ends_a, ends_b), _among(ends_b, ends_a)
         self.ends = ends_a[both_a]
         self.group_a, self.group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
         self.n_a, self.n_b = (np.bincount(g, minlength=len(self.ends)) for g in (self.group_a, self.group_b))
@@ -170,7 +181,7 @@ class Aligned:
         a, times_a = np.unique((self.group_a[more_a] << 32) | self.a[more_a], return_counts=True)
         b, times_b = np.unique((self.group_b[more_b] << 32) | self.b[more_b], return_counts=True)
         group, a, group_b, b = a >> 32, a & 0xFFFFFFFF, b >> 32, b & 0xFFFFFFFF
-        first_b = np.searchsorted(group_b, np.arange(len(self.ends) + 1))
+        first_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=len(self.ends)))])
         partners = np.diff(first_b)[group]
         upto = np.cumsum(partners)
         low = 0
@@ -185,13 +196,13 @@ class Aligned:
 
     def pairs_of_documents(self) -> np.ndarray:
         """The key of every distinct pair of every document."""
-        span = len(self.by.size_a) * int(self.by.width)
-        if self.docs * span >= 2**63:
+        bits = (len(self.by.size_a) * int(self.by.width)).bit_length()
+        if self.docs.bit_length() + bits > 63:
             raise ValueError("too many documents at a time")
-        found = [np.unique(doc.astype(np.uint64) * np.uint64(span) + key) for doc, key, _, _ in self.pairs()]
-        return (np.unique(np.concatenate(found)) if len(found) > 1 else found[0]) % np.uint64(span) if found else np.zeros(0, np.uint64)
+        found = [_distinct((doc.astype(np.uint64) << np.uint64(bits)) | key) for doc, key, _, _ in self.pairs()]
+        return (_distinct(np.concatenate(found)) if len(found) > 1 else found[0]) & np.uint64(2**bits - 1) if found else np.zeros(0, np.uint64)
 
-    def digests(self, names: list[str]) -> list[str]:
+    def digests(self, names) -> list[str]:
         """SHA-256 of each document's groups as text, and nothing for a document without ids. `names` come from `_names`."""
         last_a, last_b = (np.append(g[1:] != g[:-1], True) if len(g) else g.astype(bool) for g in (self.group_a, self.group_b))
         end = np.append(self.doc[1:] != self.doc[:-1], True)[self.group_b] if len(self.doc) else last_b
@@ -199,17 +210,23 @@ class Aligned:
         before_a, before_b = np.cumsum(self.n_a), np.cumsum(self.n_b) - self.n_b
         line[np.arange(len(self.a)) + before_b[self.group_a]] = self.a * 2 + last_a
         line[np.arange(len(self.b)) + before_a[self.group_b]] = 2 * len(self.by.size_a) + self.b * 3 + last_b + (last_b & end)
-        symbols, at, out = line.tolist(), 0, []
+        at, out = 0, []
         for n in self.per_doc(self.n_a + self.n_b).tolist():
-            text = "".join(map(names.__getitem__, symbols[at : at + n]))
-            out.append(hashlib.sha256(text.encode()).hexdigest() if n else "")
+            sha = hashlib.sha256()
+            for low in range(at, at + n, PAIRS):  # the bytes of these names lie one after another
+                some = names.take(line[low : min(low + PAIRS, at + n)])
+                first, last = np.frombuffer(some.buffers()[1], np.int32)[[0, len(some)]]
+                sha.update(memoryview(some.buffers()[2])[first:last])
+            out.append(sha.hexdigest() if n else "")
             at += n
         return out
 
 
-def _names(size_a: int, size_b: int) -> list[str]:
-    """Each id with what follows it in the text of groups: of a `,` or `|`; of b `,` or `;` or nothing."""
-    return [f"{i}{x}" for i in range(size_a) for x in ",|"] + [f"{i}{x}" for i in range(size_b) for x in (",", ";", "")]
+def _names(size_a: int, size_b: int):
+    """Each id with what follows it in the text of groups: of a `,` or `|`; of b `,` or `;` or nothing. An Arrow array."""
+    import pyarrow as pa
+
+    return pa.array([f"{i}{x}" for i in range(size_a) for x in ",|"] + [f"{i}{x}" for i in range(size_b) for x in (",", ";", "")], pa.string())
 
 
 def _runs(batches, aligner: Aligner):
@@ -258,7 +275,7 @@ def hashed_pairs(rows: DataFrame, aligner: Aligner) -> DataFrame:
 
         for _, run in _runs(batches, aligner):
             for _, key, _, _ in run.pairs():
-                seen.append(np.unique(key))
+                seen.append(_distinct(key))
                 size += len(seen[-1])
             if size > REMEMBERED:
                 seen = [np.unique(np.concatenate(seen))]
@@ -419,6 +436,8 @@ def align(docs: DataFrame, spec: str, model: bytes, block: int = BLOCK) -> DataF
         return run
 
     passes = [rows.mapInArrow(look_up(*b), out) for b in _blocks(counted, block)]
+    if len(passes) == 1:
+        return passes[0].drop("row")
     sums = [F.sum(c).alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
     whole = reduce(DataFrame.union, passes).groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums, F.max("groups_sha256").alias("groups_sha256"))
     return whole.drop("row")
