@@ -88,6 +88,18 @@ def test_odd_rows(spark, library, tmp_path, file_ids):
     assert sorted((r.doc_id is not None, r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist()) for r in found) == expect
 
 
+def test_list_is_one_file(spark, tmp_path):
+    """However many tasks write token files, their list is one file of Parquet."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = tokenfiles.write(spark.range(400).selectExpr("id AS doc_id", "'text' AS text"), byte_tokenizer(), str(tmp_path), file_ids=50)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert files.count() > 8 and files.select("part").distinct().count() > 1
+    assert len(files.inputFiles()) == 1
+    assert tokenfiles.read(files, str(tmp_path)).count() == 400
+
+
 def test_empty_table(spark, tmp_path):
     files = tokenfiles.write(spark.createDataFrame([], "doc_id long, text string"), byte_tokenizer(), str(tmp_path))
     assert files.count() == 0 and tokenfiles.read(files, str(tmp_path)).count() == 0

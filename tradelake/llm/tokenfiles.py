@@ -164,7 +164,9 @@ def write(docs: DataFrame, spec: str, folder: str, end: int = 0, file_ids: int =
 
     order = [F.col("doc_id").asc_nulls_first(), "h", "text", "r"]
     sorted_rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), "h", "r").sortWithinPartitions(*order)
-    return materialize(sorted_rows.select("doc_id", "text").mapInArrow(to_files, FILES), "token-files")
+    listed = sorted_rows.select("doc_id", "text").mapInArrow(to_files, FILES)
+    # A row per file: one file of Parquet in place of one from each task. Each costs the JVM some processes that set its rights.
+    return materialize(listed.repartition(1), "token-files")
 
 
 def read(files: DataFrame, folder: str) -> DataFrame:
