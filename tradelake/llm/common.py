@@ -59,17 +59,20 @@ def free_name(docs: DataFrame, name: str) -> str:
 ROWS = 1000
 
 
-def add_columns(docs: DataFrame, compute: Callable, fields: str, finish: Callable[[], None] | None = None) -> tuple[DataFrame, str]:
+def add_columns(
+    docs: DataFrame, compute: Callable, fields: str, finish: Callable[[], None] | None = None, keep: list[str] | None = None
+) -> tuple[DataFrame, str]:
     """`docs` with one more struct column of `fields`, and that column's name, which no column of `docs` has.
 
     `compute` gets the texts of some rows (None where null) and returns one list per field; `finish` is called when a
     task has no more rows. It runs on Arrow batches and so never holds more than a batch; every other column passes
-    through as it is.
+    through as it is, or those in `keep` only.
     """
     ship_package(docs.sparkSession)
     name = free_name(docs, "_added")
     added = StructType.fromDDL(fields)
-    schema = StructType([*docs.schema.fields, StructField(name, added)])
+    passed = [i for i, c in enumerate(docs.columns) if keep is None or c in keep]
+    schema = StructType([*(docs.schema.fields[i] for i in passed), StructField(name, added)])
 
     def run(batches):
         import pyarrow as pa
@@ -79,7 +82,8 @@ def add_columns(docs: DataFrame, compute: Callable, fields: str, finish: Callabl
             values = compute(batch.column("text").to_pylist())
             arrays = [pa.array(v, type=to_arrow_type(f.dataType)) for v, f in zip(values, added.fields, strict=True)]
             struct = pa.StructArray.from_arrays(arrays, names=added.fieldNames())
-            yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, name])
+            others = batch.select(passed)
+            yield pa.RecordBatch.from_arrays([*others.columns, struct], names=[*others.schema.names, name])
         if finish:
             finish()
 
